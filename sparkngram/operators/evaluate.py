@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.operators.predict import last_words
@@ -35,10 +35,14 @@ def split_sentence(lines: DataFrame, keys: list[str], line: str = "line") -> Dat
                     F.slice("_w", F.lit(1), F.col("pos")).alias("prefix_words"))
 
 
-def context_pairs(pairs: DataFrame, m: int, group: str = "dataset") -> DataFrame:
+def context_pairs(pairs: DataFrame, m: int, group: str = "dataset", words: Column | None = None) -> DataFrame:
     """Reduce pairs to ``(group, ctx, next_word, cnt)`` - partial aggregation
-    before the shuffle, so frequent pairs cost one row per map task."""
-    return (pairs.select(group, last_words(F.col("prefix_words"), m - 1).alias("ctx"), "next_word")
+    before the shuffle, so frequent pairs cost one row per map task.
+
+    ``words`` is the predictor's view of the prefix (default: the prefix
+    words as split); ``ctx`` keeps its last m-1 words."""
+    w = words if words is not None else F.col("prefix_words")
+    return (pairs.select(group, last_words(w, m - 1).alias("ctx"), "next_word")
             .groupBy(group, "ctx", "next_word").agg(F.count(F.lit(1)).alias("cnt")))
 
 

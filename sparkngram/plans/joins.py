@@ -55,11 +55,24 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Colum
 
 def hot_split_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
                    hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``left.join(right, on, how)`` for a ``right`` with few rows per key.
+    """``left.join(right, on, how)`` for a lookup ``right`` with few rows per key.
+
+    Both inputs reach this join through their own exchange on ``on``, which
+    is the shape AQE's skew-join rule needs: a hot request key is split
+    into several tasks at run time and the (small) matching lookup
+    partition is replicated to them.  No plan branches are added, so the
+    helper can be nested freely.  ``hot_rows`` / ``max_hot_keys`` are kept
+    for callers that want :func:`split_hot_join` instead.
+    """
+    return left.join(right, list(on), how)
+
 
-    Hot keys of ``left`` (more than ``hot_rows`` rows) are joined against a
-    broadcast slice of ``right``; the slice holds at most ``max_hot_keys``
-    keys, so it is small whatever the data size.
+def split_hot_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+                   hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Explicit hot-key split for shapes AQE cannot split (the inputs are
+    not plain shuffle stages).  Hot keys of ``left`` (more than
+    ``hot_rows`` rows, at most ``max_hot_keys`` of them) are joined with a
+    broadcast slice of ``right``; the rest use a shuffle join.
     """
     on = list(on)
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_key_rows"))
@@ -74,6 +87,24 @@ def hot_split_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return part_hot.unionByName(part_cold)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage by a reliable checkpoint into the shared folder named in
+    ``spark.checkpoint.dir``; without one, return ``df`` unchanged (the
+    plan stays lazy rather than writing to a machine-local folder)."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if d:
+            sc.setCheckpointDir(d)
+        elif sc.master.startswith("local"):
+            from sparkngram.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)  # local run without a configured folder (tests)
+        else:
+            return df
+    return df.checkpoint(eager=True)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 

@@ -10,6 +10,7 @@ from sparkngram.operators import evaluate as E
 from sparkngram.operators import ngrams as NG
 from sparkngram.operators import predict as P
 from sparkngram.operators import sbo as S
+from sparkngram.plans.joins import materialize
 from sparkngram.sources import corpus
 
 
@@ -44,3 +45,38 @@ def evaluate_sbo(spark: SparkSession, sf_dir: str, m: int = 3, max_order: int =
         return P.predict_sbo(ctx, model, ["ctx"], "words", m=m, empty=F.col("empty"))
 
     return E.dataset_report(E.rank_pairs(cp, predictor), lines)
+
+
+def katz_inputs(spark: SparkSession, sf_dir: str, mat: bool = False):
+    """Untrimmed counts of orders 1..3 and their Good-Turing table."""
+    from sparkngram.operators.goodturing import gt_table
+    counts = ngram_counts(spark, sf_dir, (1, 2, 3), 1)
+    if mat:
+        counts = materialize(counts)
+        return counts, materialize(gt_table(counts, (1, 2, 3)))
+    return counts, gt_table(counts, (1, 2, 3))
+
+
+def katz_model(spark: SparkSession, sf_dir: str):
+    from sparkngram.operators.katz import KatzModel
+    counts, gt = katz_inputs(spark, sf_dir, mat=True)
+    return KatzModel(counts, gt, materialize=materialize)
+
+
+def katz_context_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out pairs as the Katz predictor sees them: C17 on the prefix,
+    then the last two words."""
+    pairs = heldout_pairs(spark, sf_dir)
+    return E.context_pairs(pairs, 3, words=C.tokens(C.clean_query(F.col("prefix"))))
+
+
+def evaluate_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkngram.operators.katz import predict_katz
+    model = katz_model(spark, sf_dir)
+    lines = corpus.heldout_clean(spark, sf_dir)
+    cp = materialize(katz_context_pairs(spark, sf_dir))
+
+    def predictor(ctx: DataFrame) -> DataFrame:
+        return predict_katz(materialize(ctx), model, ["ctx"], "words", empty=F.col("empty"))
+
+    return E.dataset_report(E.rank_pairs(cp, predictor), lines)

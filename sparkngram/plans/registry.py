@@ -173,3 +173,71 @@ def q_eval_overall(spark, sf):
 def q_split_sentence(spark, sf):
     p = PL.heldout_pairs(spark, sf)
     return p.select("dataset", F.col("pos").cast("long").alias("pos"), "prefix", "next_word")
+
+
+# ---------------------------------------------------------------- Good-Turing / Katz
+
+from sparkngram.operators import goodturing as GT  # noqa: E402
+from sparkngram.operators import katz as K  # noqa: E402
+
+_KATZ = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"), O.gt_table(), O.katz_tables())
+
+
+@query("gt_discount", O.ctes(*_KATZ) +
+       " SELECT n, r, round(n_r, 6) AS n_r, round(discount, 9) AS discount, round(r_star, 9) AS r_star FROM gt")
+def q_gt_discount(spark, sf):
+    counts, gt = PL.katz_inputs(spark, sf)
+    return gt.select(F.col("n").cast("long").alias("n"), "r", F.round("n_r", 6).alias("n_r"),
+                     r9(F.col("discount")).alias("discount"), r9(F.col("r_star")).alias("r_star"))
+
+
+@query("katz_prob", O.ctes(*_KATZ) +
+       " SELECT n, w, pred, freq, round(d, 9) AS d, round(prob, 9) AS prob, round(leftover, 9) AS leftover FROM kt")
+def q_katz_prob(spark, sf):
+    counts, gt = PL.katz_inputs(spark, sf, mat=True)
+    t = K.katz_tables(counts, gt, (2, 3))
+    return t.select(F.col("n").cast("long").alias("n"), "w", "pred", "freq", r9(F.col("d")).alias("d"),
+                    r9(F.col("prob")).alias("prob"), r9(F.col("leftover")).alias("leftover"))
+
+
+@query("katz_unigram", O.ctes(*_KATZ) + " SELECT word, freq, round(d, 9) AS d, round(prob, 9) AS prob FROM ku")
+def q_katz_unigram(spark, sf):
+    counts, gt = PL.katz_inputs(spark, sf)
+    u = K.katz_unigram(counts, gt)
+    return u.select("word", "freq", r9(F.col("d")).alias("d"), r9(F.col("prob")).alias("prob"))
+
+
+_KCTX = ("kpairs AS (SELECT DISTINCT CASE WHEN len(cw) = 0 THEN '' ELSE array_to_string(cw[len(cw) - least(len(cw), 2) + 1 : len(cw)], ' ') END AS ctx FROM ("
+         f"SELECT {T.tokens(T.clean_query(chr(39) + chr(39) + ' || ' + 'prefix'))} AS cw FROM ("
+         "SELECT CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[1:pos], ' ') || ' ' END AS prefix FROM pairs) a) b)")
+
+
+def _katz_ctx(spark, sf):
+    cp = PL.katz_context_pairs(spark, sf).select("ctx").distinct()
+    return PL.materialize(cp.select("ctx", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")).alias("words"),
+                                    (F.col("ctx") == F.lit("")).alias("empty")))
+
+
+@query("predict_katz", O.ctes(*_KATZ, O.heldout_clean(), O.pairs(3), _KCTX, O.katz_predictions("kpairs")) +
+       " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word, round(score, 9) AS score FROM kpreds")
+def q_predict_katz(spark, sf):
+    p = K.predict_katz(_katz_ctx(spark, sf), PL.katz_model(spark, sf), ["ctx"], "words", empty=F.col("empty"))
+    return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", r9(F.col("score")).alias("score"))
+
+
+@query("eval_katz", O.ctes(*_KATZ, O.heldout_clean(), O.pairs(3),
+                           "kcp AS (SELECT dataset, CASE WHEN len(cw) = 0 THEN '' ELSE array_to_string(cw[len(cw) - least(len(cw), 2) + 1 : len(cw)], ' ') END AS ctx, "
+                           "next_word, count(*) AS cnt FROM (SELECT dataset, lower(next_word) AS next_word, "
+                           f"{T.tokens(T.clean_query(chr(39) + chr(39) + ' || prefix'))} AS cw FROM ("
+                           "SELECT dataset, next_word, CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[1:pos], ' ') || ' ' END AS prefix FROM pairs) a) b GROUP BY ALL)",
+                           O.katz_predictions("(SELECT DISTINCT ctx FROM kcp)")) +
+       " SELECT l.dataset AS list_name, l.line_count, l.word_count, CAST(coalesce(r.score, 0) AS BIGINT) AS score, "
+       "CAST(coalesce(r.max_score, 0) AS BIGINT) AS max_score, CAST(coalesce(r.top3, 0) AS BIGINT) AS hit_count_top3, "
+       "CAST(coalesce(r.top1, 0) AS BIGINT) AS hit_count_top1, CAST(coalesce(r.total, 0) AS BIGINT) AS total_count FROM "
+       "(SELECT dataset, count(*) AS line_count, CAST(sum(len(list_filter(string_split(line, ' '), lambda x: x <> ''))) AS BIGINT) AS word_count "
+       "FROM hlines GROUP BY dataset) l LEFT JOIN (SELECT dataset, sum(cnt * (4 - rk)) AS score, sum(cnt) * 3 AS max_score, "
+       "sum(CASE WHEN rk < 4 THEN cnt ELSE 0 END) AS top3, sum(CASE WHEN rk = 1 THEN cnt ELSE 0 END) AS top1, sum(cnt) AS total "
+       "FROM (SELECT c.dataset, c.cnt, coalesce(p.rnk, 4) AS rk FROM kcp c LEFT JOIN kpreds p ON p.ctx = c.ctx AND p.word = c.next_word) q "
+       "GROUP BY dataset) r ON l.dataset = r.dataset")
+def q_eval_katz(spark, sf):
+    return PL.evaluate_katz(spark, sf)

@@ -22,6 +22,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     """A local[N] session for tests and the benchmark (UI off)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
