@@ -241,3 +241,96 @@ def q_predict_katz(spark, sf):
        "GROUP BY dataset) r ON l.dataset = r.dataset")
 def q_eval_katz(spark, sf):
     return PL.evaluate_katz(spark, sf)
+
+
+# ---------------------------------------------------------------- Kneser-Ney
+
+from sparkngram.operators import kneserney as KN  # noqa: E402
+
+_KN = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"),
+       "knd AS (SELECT n, CAST(count(*) FILTER (WHERE freq = 1) AS DOUBLE) / (count(*) FILTER (WHERE freq = 1) + 2 * count(*) FILTER (WHERE freq = 2)) AS D, "
+       "count(*) AS types FROM kcounts GROUP BY n)",
+       "knb AS (SELECT b.word, b.w, b.pred, b.freq, greatest(b.freq - d.D, 0) / u.freq + d.D / u.freq * "
+       "(count(*) OVER (PARTITION BY b.w)) * (count(*) OVER (PARTITION BY b.pred)) / d.types AS pkn "
+       "FROM kcounts b JOIN knd d ON d.n = 2 LEFT JOIN kcounts u ON u.n = 1 AND u.word = b.w WHERE b.n = 2)")
+
+
+@query("kn_unigram", O.ctes(*_KN) +
+       " SELECT word, freq, round(freq / (sum(freq) OVER () - 3), 9) AS pkn FROM kcounts WHERE n = 1")
+def q_kn_unigram(spark, sf):
+    u = KN.kn_unigram(PL.ngram_counts(spark, sf, (1,), 1))
+    return u.select("word", "freq", r9(F.col("pkn")).alias("pkn"))
+
+
+@query("kn_bigram", O.ctes(*_KN) + " SELECT word, freq, round(pkn, 9) AS pkn FROM knb")
+def q_kn_bigram(spark, sf):
+    b = KN.kn_bigram(PL.materialize(PL.ngram_counts(spark, sf, (1, 2), 1)))
+    return b.select("word", "freq", r9(F.col("pkn")).alias("pkn"))
+
+
+@query("kn_trigram", O.ctes(*_KN) +
+       " SELECT t.word, t.freq, round(greatest(t.freq - d.D, 0) / b.freq + d.D / b.freq * "
+       "(count(*) OVER (PARTITION BY t.w)) * kb.pkn, 9) AS pkn FROM kcounts t JOIN knd d ON d.n = 3 "
+       "LEFT JOIN kcounts b ON b.n = 2 AND b.word = t.w "
+       "LEFT JOIN knb kb ON kb.word = regexp_extract(t.word, '^[^_]+_(.*)$', 1) WHERE t.n = 3")
+def q_kn_trigram(spark, sf):
+    t = KN.kn_trigram(PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1)))
+    return t.select("word", "freq", r9(F.col("pkn")).alias("pkn"))
+
+
+# ---------------------------------------------------------------- absolute discounting
+
+from sparkngram.operators import absdisc as AD  # noqa: E402
+
+_HIST = ("hist AS (SELECT DISTINCT replace(ctx, ' ', '_') AS h FROM kpairs WHERE ctx LIKE '% %')")
+_AD = (*_KATZ, O.heldout_clean(), O.pairs(3), _KCTX, _HIST,
+       "adu AS (SELECT pred AS c, freq AS cu FROM kcounts WHERE n = 1)",
+       "adtot AS (SELECT sum(cu) AS U FROM adu)",
+       "adh AS (SELECT h.h, regexp_extract(h.h, '[^_]+$') AS b, ab.freq AS cab, ub.cu AS cbb FROM hist h "
+       "LEFT JOIN kcounts ab ON ab.n = 2 AND ab.word = h.h LEFT JOIN adu ub ON ub.c = regexp_extract(h.h, '[^_]+$'))",
+       "ad3 AS (SELECT a.h, t.pred AS c, (t.freq - 0.5) / a.cab AS p3 FROM adh a JOIN kcounts t ON t.n = 3 AND t.w = a.h)",
+       "ad2 AS (SELECT a.h, t.pred AS c, t.freq AS cb, a.cbb FROM adh a JOIN kcounts t ON t.n = 2 AND t.w = a.b)",
+       "adx AS (SELECT a.h, a.cbb, "
+       "CASE WHEN (SELECT count(*) FROM ad3 WHERE ad3.h = a.h) = 0 THEN 1.0 ELSE 1 - (SELECT sum(p3) FROM ad3 WHERE ad3.h = a.h) END AS alpha3, "
+       "CASE WHEN (SELECT count(*) FROM kcounts t WHERE t.n = 2 AND t.w = a.b) = 0 THEN 0.0 "
+       "ELSE 1 - (SELECT sum(t.freq - 0.5) FROM kcounts t WHERE t.n = 2 AND t.w = a.b) / a.cbb END AS alpha2, "
+       "(SELECT U FROM adtot) - (SELECT coalesce(sum(u.cu), 0) FROM adu u WHERE u.c IN (SELECT c FROM ad2 WHERE ad2.h = a.h) "
+       "OR u.c IN (SELECT c FROM ad3 WHERE ad3.h = a.h)) AS pool_u FROM adh a)",
+       "adq AS (SELECT x.*, coalesce((SELECT sum((cb - 0.5) / ad2.cbb) FROM ad2 WHERE ad2.h = x.h "
+       "AND ad2.c NOT IN (SELECT c FROM ad3 WHERE ad3.h = x.h)), 0) "
+       "+ CASE WHEN pool_u > 0 THEN alpha2 ELSE 0 END AS sum_q FROM adx x)",
+       "addist AS (SELECT h, c AS word, p3 AS prob, 'trigram' AS kind FROM ad3 "
+       "UNION ALL SELECT d.h, d.c, q.alpha3 * ((d.cb - 0.5) / d.cbb) / q.sum_q, 'bigram' FROM ad2 d JOIN adq q ON q.h = d.h "
+       "WHERE d.c NOT IN (SELECT c FROM ad3 WHERE ad3.h = d.h) "
+       "UNION ALL SELECT h, NULL, alpha3 * alpha2 / sum_q, 'rest' FROM adq WHERE pool_u > 0)")
+
+
+def _histories(spark, sf):
+    cp = PL.katz_context_pairs(spark, sf).select("ctx").distinct().where(F.col("ctx").contains(" "))
+    return PL.materialize(cp.select(F.regexp_replace("ctx", " ", "_").alias("h")))
+
+
+@query("absdisc_trigram", O.ctes(*_AD) +
+       " SELECT h, kind, count(word) AS words, round(sum(CASE WHEN isnan(prob) THEN NULL ELSE prob END), 6) AS mass FROM addist GROUP BY h, kind")
+def q_absdisc_trigram(spark, sf):
+    """Per history and part (trigram / bigram / rest): explicit words and
+    probability mass of the absolute-discount distribution."""
+    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    d = AD.absdisc_distribution(counts, _histories(spark, sf), 0.5, 0.5)
+    p = F.when(F.isnan("prob"), F.lit(None)).otherwise(F.col("prob"))
+    return d.groupBy("h", "kind").agg(F.count("word").alias("words"), F.round(F.sum(p), 6).alias("mass"))
+
+
+@query("absdisc_argmax", O.ctes(*_AD, "adr AS (SELECT x.h, x.alpha3 * x.alpha2 / x.sum_q / x.pool_u AS coef FROM adq x WHERE x.pool_u > 0)",
+                                "adrank AS (SELECT c, cu, row_number() OVER (ORDER BY cu DESC, c) AS ur FROM adu)",
+                                "ader AS (SELECT DISTINCT e.h, k.ur FROM addist e JOIN adrank k ON k.c = e.word)",
+                                "adfm AS (SELECT h, min(r) AS ur FROM (SELECT h, ur + 1 AS r FROM ader UNION ALL SELECT h, 1 FROM adr) z "
+                                "WHERE NOT EXISTS (SELECT 1 FROM ader e WHERE e.h = z.h AND e.ur = z.r) GROUP BY h)",
+                                "adrest AS (SELECT r.h, k.c AS word, r.coef * k.cu AS prob FROM adr r JOIN adfm f ON f.h = r.h JOIN adrank k ON k.ur = f.ur)",
+                                "adall AS (SELECT h, word, prob FROM (SELECT h, word, prob FROM addist WHERE kind <> 'rest' UNION ALL SELECT h, word, prob FROM adrest) a "
+                                "WHERE prob IS NOT NULL AND NOT isnan(prob))") +
+       " SELECT h, word, round(prob, 9) AS prob FROM (SELECT h, word, prob, row_number() OVER (PARTITION BY h ORDER BY prob DESC, word) AS rn FROM adall) z WHERE rn = 1")
+def q_absdisc_argmax(spark, sf):
+    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    a = AD.absdisc_argmax(counts, _histories(spark, sf), 0.5, 0.5)
+    return a.select("h", "word", r9(F.col("prob")).alias("prob"))
