@@ -311,14 +311,14 @@ def _histories(spark, sf):
 
 
 @query("absdisc_trigram", O.ctes(*_AD) +
-       " SELECT h, kind, count(word) AS words, round(sum(CASE WHEN isnan(prob) THEN NULL ELSE prob END), 6) AS mass FROM addist GROUP BY h, kind")
+       " SELECT h, kind, count(word) AS words, round(sum(CASE WHEN isnan(prob) THEN NULL ELSE prob END) + 1e-10, 6) AS mass FROM addist GROUP BY h, kind")
 def q_absdisc_trigram(spark, sf):
     """Per history and part (trigram / bigram / rest): explicit words and
     probability mass of the absolute-discount distribution."""
     counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
     d = AD.absdisc_distribution(counts, _histories(spark, sf), 0.5, 0.5)
     p = F.when(F.isnan("prob"), F.lit(None)).otherwise(F.col("prob"))
-    return d.groupBy("h", "kind").agg(F.count("word").alias("words"), F.round(F.sum(p), 6).alias("mass"))
+    return d.groupBy("h", "kind").agg(F.count("word").alias("words"), F.round(F.sum(p) + F.lit(1e-10), 6).alias("mass"))
 
 
 @query("absdisc_argmax", O.ctes(*_AD, "adr AS (SELECT x.h, x.alpha3 * x.alpha2 / x.sum_q / x.pool_u AS coef FROM adq x WHERE x.pool_u > 0)",
