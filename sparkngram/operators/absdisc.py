@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.operators.ranking import global_rank
-from sparkngram.plans.joins import attach_group_totals
+from sparkngram.plans.joins import attach_group_totals, materialize
 
 
 def _history_parts(counts: DataFrame, histories: DataFrame, g2: float, g3: float):
@@ -60,10 +60,11 @@ def _history_parts(counts: DataFrame, histories: DataFrame, g2: float, g3: float
 def absdisc_distribution(counts: DataFrame, histories: DataFrame, g2: float = 0.5, g3: float = 0.5) -> DataFrame:
     """F11-F19 for the histories in ``histories(h)`` (``a_b`` strings).
 
-    Returns ``(h, word, prob, kind)``: kind ``trigram`` / ``bigram`` rows
-    are explicit words; the single ``rest`` row per history has
-    ``word = NULL`` and the total probability of all other words, each of
-    which gets ``rest_coef * C(word)`` (see :func:`absdisc_rest_coef`).
+    Returns ``(h, word, prob, kind, pool_u)``: kind ``trigram`` / ``bigram``
+    rows are explicit words; the single ``rest`` row per history has
+    ``word = NULL``, the total probability of all other words and their
+    summed unigram count ``pool_u``; each such word gets
+    ``prob / pool_u * C(word)`` (see :func:`absdisc_rest_coef`).
     """
     hs, obs3, obs2 = _history_parts(counts, histories, g2, g3)
     # tail words outside the trigram set: bigram-observed ones and the rest
@@ -82,27 +83,23 @@ def absdisc_distribution(counts: DataFrame, histories: DataFrame, g2: float = 0.
     rest_q = F.when(pool_u > 0, F.col("alpha2")).otherwise(F.lit(0.0))  # sum of q over the pool
     sum_q = F.col("q2") + rest_q
     x = x.select("h", "b", "cbb", "alpha2", "alpha3", pool_u.alias("pool_u"), sum_q.alias("sum_q"), rest_q.alias("rest_q"))
-    tri_rows = obs3.select("h", F.col("c").alias("word"), F.col("p3").alias("prob"), F.lit("trigram").alias("kind"))
+    none = F.lit(None).cast("double").alias("pool_u")
+    tri_rows = obs3.select("h", F.col("c").alias("word"), F.col("p3").alias("prob"), F.lit("trigram").alias("kind"), none)
     bi_rows = e2.join(x.select("h", "alpha3", "sum_q"), "h").select(
         "h", F.col("c").alias("word"),
         F.try_divide(F.col("alpha3") * F.try_divide(F.col("cb") - F.lit(g2), F.col("cbb")), F.col("sum_q")).alias("prob"),
-        F.lit("bigram").alias("kind"))
+        F.lit("bigram").alias("kind"), none)
     rest = x.where(F.col("pool_u") > 0).select(
         "h", F.lit(None).cast("string").alias("word"),
-        F.try_divide(F.col("alpha3") * F.col("rest_q"), F.col("sum_q")).alias("prob"), F.lit("rest").alias("kind"))
+        F.try_divide(F.col("alpha3") * F.col("rest_q"), F.col("sum_q")).alias("prob"), F.lit("rest").alias("kind"),
+        F.col("pool_u").cast("double").alias("pool_u"))
     return tri_rows.unionByName(bi_rows).unionByName(rest)
 
 
-def absdisc_rest_coef(counts: DataFrame, histories: DataFrame, g2: float = 0.5, g3: float = 0.5) -> DataFrame:
-    """``(h, rest_coef, pool_u)``: ``P(c | h) = rest_coef * C(c)`` for every
-    word c seen neither after h nor after its last word."""
-    d = absdisc_distribution(counts, histories, g2, g3)
-    hs, _, obs2 = _history_parts(counts, histories, g2, g3)
-    rest = d.where(F.col("kind") == "rest").select("h", F.col("prob").alias("rest_mass"))
-    uni_t = counts.where(F.col("n") == 1).agg(F.sum("freq").alias("U"))
-    seen = obs2.groupBy("h").agg(F.sum(F.coalesce("cu", F.lit(0))).alias("s"))
-    return rest.join(seen, "h", "left").crossJoin(F.broadcast(uni_t)).select(
-        "h", F.try_divide(F.col("rest_mass"), F.col("U") - F.coalesce("s", F.lit(0))).alias("rest_coef"))
+def absdisc_rest_coef(dist: DataFrame) -> DataFrame:
+    """``(h, rest_coef)`` from a distribution: ``P(c | h) = rest_coef * C(c)``
+    for every word c seen neither after h nor after its last word."""
+    return dist.where(F.col("kind") == "rest").select("h", F.try_divide(F.col("prob"), F.col("pool_u")).alias("rest_coef"))
 
 
 def absdisc_argmax(counts: DataFrame, histories: DataFrame, g2: float = 0.5, g3: float = 0.5) -> DataFrame:
@@ -115,7 +112,7 @@ def absdisc_argmax(counts: DataFrame, histories: DataFrame, g2: float = 0.5, g3:
     explicit set does not skew - and a min aggregate.
     Ties: probability desc, then word asc.
     """
-    d = absdisc_distribution(counts, histories, g2, g3)
+    d = materialize(absdisc_distribution(counts, histories, g2, g3))
     uni = counts.where(F.col("n") == 1).select(F.col("word"), F.col("freq").alias("cu"))
     ranked = global_rank(uni, [F.col("cu").desc(), F.col("word").asc()], "urank")
     explicit = d.where(F.col("kind") != "rest").select("h", "word").distinct()
@@ -126,7 +123,7 @@ def absdisc_argmax(counts: DataFrame, histories: DataFrame, g2: float = 0.5, g3:
     first_missing = d.select("h").distinct().join(has1, "h", "left").join(
         missing_after.groupBy("h").agg(F.min("cand").alias("_m")), "h", "left").select(
         "h", F.when(F.col("_has1").isNull(), F.lit(1)).otherwise(F.col("_m")).alias("urank"))
-    coef = absdisc_rest_coef(counts, histories, g2, g3)
+    coef = absdisc_rest_coef(d)
     rest_best = first_missing.join(ranked, "urank", "inner").join(coef, "h", "inner").select(
         "h", "word", (F.col("rest_coef") * F.col("cu")).alias("prob"))
     cands = d.where(F.col("kind") != "rest").select("h", "word", "prob").unionByName(rest_best)
