@@ -80,3 +80,10 @@ def evaluate_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
         return predict_katz(materialize(ctx), model, ["ctx"], "words", empty=F.col("empty"))
 
     return E.dataset_report(E.rank_pairs(cp, predictor), lines)
+
+
+def train_dfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long document-feature matrix ``(doc_id, source, feature, count)``."""
+    t = train_tokens(spark, sf_dir)
+    return (t.select("doc_id", "source", F.explode("tokens").alias("feature"))
+            .groupBy("doc_id", "source", "feature").agg(F.count(F.lit(1)).alias("count")))

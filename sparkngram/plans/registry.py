@@ -334,3 +334,294 @@ def q_absdisc_argmax(spark, sf):
     counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
     a = AD.absdisc_argmax(counts, _histories(spark, sf), 0.5, 0.5)
     return a.select("h", "word", r9(F.col("prob")).alias("prob"))
+
+
+# ---------------------------------------------------------------- sampling / summary
+
+from sparkngram.operators import sampling as SM  # noqa: E402
+from sparkngram.operators import stats as ST  # noqa: E402
+from sparkngram.operators import interp as IP  # noqa: E402
+
+_SRC_LINES = ("sl AS (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, "
+              "unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents WHERE lang = 'en')")
+_HRANK = ("hr AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('1234|' || CAST(doc_id AS VARCHAR) || '|' || "
+          "CAST(line_no AS VARCHAR)), doc_id, line_no) AS hrank, count(*) OVER (PARTITION BY source) AS group_n FROM sl)")
+
+
+@query("sample_lines", O.ctes(_SRC_LINES, _HRANK) +
+       " SELECT source, doc_id, line_no FROM hr WHERE hrank <= floor(group_n * 0.25)")
+def q_sample_lines(spark, sf):
+    lines = corpus.training_lines(spark, sf).withColumn("line_no", F.col("line_no").cast("long"))
+    return SM.sample_lines(lines, 0.25).select("source", "doc_id", "line_no")
+
+
+@query("split_lines", O.ctes(_SRC_LINES, _HRANK) +
+       " SELECT source, doc_id, line_no, CASE WHEN hrank <= round_even(group_n * 0.6, 0) THEN 'train' "
+       "WHEN hrank <= round_even(group_n * 0.6, 0) + round_even((group_n - round_even(group_n * 0.6, 0)) * 0.5, 0) THEN 'holdout' "
+       "ELSE 'test' END AS part FROM hr")
+def q_split_lines(spark, sf):
+    lines = corpus.training_lines(spark, sf).withColumn("line_no", F.col("line_no").cast("long"))
+    return SM.split_lines(lines).select("source", "doc_id", "line_no", "part")
+
+
+_SUMMARY_SQL = ("SELECT coalesce(source, 'total') AS file_name, round(sum(octet_length(encode(line))) / 1048576.0, 6) AS size_mb, "
+                "count(*) AS line_count, CAST(sum(len(regexp_extract_all(line, '\\w+'))) AS BIGINT) AS word_count "
+                "FROM {src} GROUP BY ROLLUP (source)")
+
+
+@query("corpus_summary", O.ctes(_SRC_LINES, _HRANK) + " " + _SUMMARY_SQL.format(src="sl") + " UNION ALL " +
+       _SUMMARY_SQL.format(src="(SELECT * FROM hr WHERE hrank <= floor(group_n * 0.25))").replace(
+           "coalesce(source, 'total')", "'sample ' || coalesce(source, 'total')"))
+def q_corpus_summary(spark, sf):
+    lines = corpus.training_lines(spark, sf).withColumn("line_no", F.col("line_no").cast("long"))
+    full = SM.corpus_summary(lines)
+    samp = SM.corpus_summary(SM.sample_lines(lines, 0.25), prefix="sample ")
+    return full.unionByName(samp)
+
+
+# ---------------------------------------------------------------- counting variants
+
+@query("docfreq", O.ctes(_NUMBERED_LINES,
+                         f"dtok AS (SELECT doc_id, line_no, {T.tokens(T.clean_train('line'))} AS t FROM nl)",
+                         "dl AS (SELECT DISTINCT doc_id, line_no, n, array_to_string(t[i:i+n-1], '_') AS word FROM ("
+                         "SELECT doc_id, line_no, t, n, unnest(range(1, len(t) - n + 2)) AS i FROM dtok, "
+                         "(SELECT unnest([1, 2, 3]) AS n) ns WHERE len(t) >= n) x)") +
+       " SELECT n, word, count(*) AS docfreq FROM dl GROUP BY n, word")
+def q_docfreq(spark, sf):
+    t = PL.train_tokens(spark, sf)
+    c = NG.count_ngrams(t, "tokens", (1, 2, 3), doc_freq=True)
+    return c.select(F.col("n").cast("long").alias("n"), "word", F.col("freq").alias("docfreq"))
+
+
+_SRC_COUNTS = ("sc AS (SELECT source, n, word, count(*) AS freq FROM (SELECT source, n, array_to_string(t[i:i+n-1], '_') AS word FROM ("
+               "SELECT source, t, n, unnest(range(1, len(t) - n + 2)) AS i FROM toks, (SELECT unnest([1, 2]) AS n) ns WHERE len(t) >= n) x) y "
+               "GROUP BY source, n, word)")
+
+
+@query("merge_counts", O.ctes(*_TRAIN, _SRC_COUNTS) + " SELECT n, word, CAST(sum(freq) AS BIGINT) AS freq, count(*) AS sources FROM sc GROUP BY n, word")
+def q_merge_counts(spark, sf):
+    """Per-source count tables merged (union + sum), with the number of
+    sources each n-gram came from."""
+    t = PL.train_tokens(spark, sf)
+    per = NG.explode_ngrams(t, "tokens", (1, 2), keep=["source"]).groupBy("source", "n", "word").agg(
+        F.count(F.lit(1)).alias("freq"))
+    return per.groupBy("n", "word").agg(F.sum("freq").alias("freq"), F.count(F.lit(1)).alias("sources")) \
+        .select(F.col("n").cast("long").alias("n"), "word", "freq", "sources")
+
+
+@query("merge_counts_outer", O.ctes(*_TRAIN, O.grams((1, 2)), O.counts(1),
+                                    "btok AS (SELECT " + T.tokens(T.clean_train("line")) + " AS t FROM "
+                                    "(SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark) b)",
+                                    O.grams((1, 2), src="btok", name="bgrams"), O.counts(1, src="bgrams", name="bcounts")) +
+       " SELECT coalesce(a.n, b.n) AS n, coalesce(a.word, b.word) AS word, coalesce(a.freq, 0) + coalesce(b.freq, 0) AS freq "
+       "FROM counts a FULL OUTER JOIN bcounts b ON a.n = b.n AND a.word = b.word")
+def q_merge_counts_outer(spark, sf):
+    """E6 literal form: training counts full-outer-joined with the counts
+    of the benchmark text, NA-ignoring sum."""
+    a = PL.ngram_counts(spark, sf, (1, 2), 1)
+    bl = corpus.explode_lines(corpus.table(spark, sf, "benchmark"), "text", ["item_id"])
+    b = NG.count_ngrams(bl.select(C.tokens(C.clean_train(F.col("line"))).alias("tokens")), "tokens", (1, 2))
+    m = NG.merge_counts_outer(a, b)
+    return m.select(F.col("n").cast("long").alias("n"), "word", "freq")
+
+
+# ---------------------------------------------------------------- statistics
+
+_DFM = ("dfm AS (SELECT doc_id, source, f AS feature, count(*) AS count FROM (SELECT doc_id, source, unnest(t) AS f FROM toks) x "
+        "GROUP BY doc_id, source, f)")
+
+
+@query("topn_log", O.ctes(*_TRAIN, O.grams((1, 2, 3, 4)), O.counts(5)) +
+       " SELECT n, rnk, word, freq, round(log10(freq), 9) AS log10_freq FROM (SELECT n, word, freq, "
+       "row_number() OVER (PARTITION BY n ORDER BY freq DESC, word) AS rnk FROM counts) z WHERE rnk <= 30")
+def q_topn_log(spark, sf):
+    t = ST.top_log(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 5), 30)
+    return t.select(F.col("n").cast("long").alias("n"), F.col("rnk").cast("long").alias("rnk"), "word", "freq",
+                    r9(F.col("log10_freq")).alias("log10_freq"))
+
+
+@query("rank_frequency", O.ctes(*_TRAIN, O.grams((1, 2, 3, 4)), O.counts(5)) +
+       " SELECT n, rnk, freq FROM (SELECT n, freq, row_number() OVER (PARTITION BY n ORDER BY freq DESC, word) AS rnk "
+       "FROM counts) z WHERE rnk <= 2000")
+def q_rank_frequency(spark, sf):
+    t = ST.top_log(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 5), 2000)
+    return t.select(F.col("n").cast("long").alias("n"), F.col("rnk").cast("long").alias("rnk"), "freq")
+
+
+@query("freq_spectrum", O.ctes(*_TRAIN, O.grams((1, 2, 3, 4)), O.counts(1)) +
+       " SELECT n, freq AS r, count(*) AS n_r, round(log10(freq), 9) AS log10_r, round(log10(count(*)), 9) AS log10_n_r "
+       "FROM counts GROUP BY n, freq")
+def q_freq_spectrum(spark, sf):
+    s = ST.freq_spectrum(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1))
+    return s.select(F.col("n").cast("long").alias("n"), "r", "n_r", r9(F.col("log10_r")).alias("log10_r"),
+                    r9(F.col("log10_n_r")).alias("log10_n_r"))
+
+
+@query("wordcloud_groups", O.ctes(*_TRAIN, _DFM) +
+       " SELECT source, feature, freq, rnk FROM (SELECT source, feature, sum(count) AS freq, row_number() OVER "
+       "(PARTITION BY source ORDER BY sum(count) DESC, feature) AS rnk FROM dfm GROUP BY source, feature) z WHERE rnk <= 100")
+def q_wordcloud_groups(spark, sf):
+    t = ST.top_features_by_group(PL.train_dfm(spark, sf), "source", 100)
+    return t.select("source", "feature", "freq", F.col("rnk").cast("long").alias("rnk"))
+
+
+@query("text_frequency", O.ctes(*_TRAIN, _DFM) +
+       " SELECT feature, frequency, docfreq, rnk AS rank FROM (SELECT feature, sum(count) AS frequency, count(DISTINCT doc_id) AS docfreq, "
+       "row_number() OVER (ORDER BY sum(count) DESC, feature) AS rnk FROM dfm GROUP BY feature) z WHERE rnk <= 15")
+def q_text_frequency(spark, sf):
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    t = ST.text_frequency(d, "doc_id", 15)
+    return t.select("feature", "frequency", "docfreq", F.col("rank").cast("long").alias("rank"))
+
+
+_TOPF = ("dfd AS (SELECT doc_id, feature, sum(count) AS count FROM dfm GROUP BY doc_id, feature),\n"
+         "topf AS (SELECT feature, sum(count) AS freq FROM dfd GROUP BY feature ORDER BY freq DESC, feature LIMIT 50)")
+
+
+@query("cooccurrence", O.ctes(*_TRAIN, _DFM, _TOPF) +
+       " SELECT a.feature AS f1, b.feature AS f2, sum(a.count * b.count) AS count FROM dfd a JOIN dfd b ON a.doc_id = b.doc_id "
+       "AND a.feature < b.feature WHERE a.feature IN (SELECT feature FROM topf) AND b.feature IN (SELECT feature FROM topf) "
+       "GROUP BY a.feature, b.feature")
+def q_cooccurrence(spark, sf):
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    return ST.cooccurrence(d, "doc_id", 50)
+
+
+@query("feature_sizes", O.ctes(*_TRAIN, _DFM, _TOPF) +
+       " SELECT feature, freq, round(ln(freq) / max(ln(freq)) OVER () * 3, 9) AS size FROM topf")
+def q_feature_sizes(spark, sf):
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    s = ST.feature_sizes(d, 50)
+    return s.select("feature", "freq", r9(F.col("size")).alias("size"))
+
+
+@query("ttr", O.ctes(*_TRAIN, _DFM) +
+       " SELECT doc_id, round(count(*) / sum(count), 9) AS ttr, count(*) AS types, CAST(sum(count) AS BIGINT) AS tokens "
+       "FROM (SELECT doc_id, feature, sum(count) AS count FROM dfm GROUP BY doc_id, feature) d GROUP BY doc_id")
+def q_ttr(spark, sf):
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    t = ST.type_token_ratio(d, "doc_id")
+    return t.select("doc_id", r9(F.col("ttr")).alias("ttr"), "types", "tokens")
+
+
+@query("keyness", O.ctes(*_TRAIN, _DFM,
+                         "kf AS (SELECT d.feature, sum(CASE WHEN l.quality = 1 THEN d.count ELSE 0 END) AS a, "
+                         "sum(CASE WHEN l.quality = 1 THEN 0 ELSE d.count END) AS b FROM dfm d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.feature)",
+                         "kt AS (SELECT sum(a) AS ta, sum(b) AS tb FROM kf)",
+                         "kx AS (SELECT feature, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(ta - a AS DOUBLE) AS c, CAST(tb - b AS DOUBLE) AS dd FROM kf, kt)") +
+       " SELECT feature, CAST(a AS BIGINT) AS n_target, CAST(b AS BIGINT) AS n_reference, round(CASE WHEN a * dd >= b * c THEN 1.0 ELSE -1.0 END * "
+       "(a + b + c + dd) * pow(greatest(abs(a * dd - b * c) - (a + b + c + dd) / 2, 0), 2) / "
+       "nullif((a + b) * (c + dd) * (a + c) * (b + dd), 0), 6) + 0.0 AS chi2 FROM kx")
+def q_keyness(spark, sf):
+    """I8 + I11: documents flagged by their quality label (target = 1)."""
+    lab = corpus.table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("target"))
+    d = PL.train_dfm(spark, sf).join(lab, "doc_id")
+    k = ST.keyness(d, "target")
+    return k.select("feature", "n_target", "n_reference", F.round("chi2", 6).alias("chi2"))
+
+
+@query("collocations", O.ctes(*_TRAIN, O.grams((2,)), O.counts(1),
+                              "cx AS (SELECT word, freq AS n11, sum(freq) OVER (PARTITION BY w) AS r1, sum(freq) OVER (PARTITION BY pred) AS c1, "
+                              "sum(freq) OVER () AS N FROM counts)") +
+       " SELECT replace(word, '_', ' ') AS collocation, n11 AS count, "
+       "round(ln(n11 + 0.5) + ln(N - r1 - c1 + n11 + 0.5) - ln(r1 - n11 + 0.5) - ln(c1 - n11 + 0.5), 9) AS lambda, "
+       "round((ln(n11 + 0.5) + ln(N - r1 - c1 + n11 + 0.5) - ln(r1 - n11 + 0.5) - ln(c1 - n11 + 0.5)) / "
+       "sqrt(1 / (n11 + 0.5) + 1 / (r1 - n11 + 0.5) + 1 / (c1 - n11 + 0.5) + 1 / (N - r1 - c1 + n11 + 0.5)), 9) AS z "
+       "FROM cx WHERE n11 >= 100")
+def q_collocations(spark, sf):
+    c = ST.collocations(PL.ngram_counts(spark, sf, (2,), 1), 100)
+    return c.select("collocation", "count", r9(F.col("lambda")).alias("lambda"), r9(F.col("z")).alias("z"))
+
+
+@query("doc_distance", O.ctes(*_TRAIN, _DFM,
+                              "dd AS (SELECT doc_id, feature, sum(count) AS count FROM dfm GROUP BY doc_id, feature)",
+                              "dr AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('1234|' || CAST(doc_id AS VARCHAR)), doc_id) AS hrank "
+                              "FROM (SELECT DISTINCT doc_id, source FROM documents WHERE lang = 'en') z)",
+                              "pr AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM dr a JOIN dr b ON b.source = a.source AND b.hrank = a.hrank + 1)",
+                              "sq AS (SELECT doc_id, sum(count * count) AS sq FROM dd GROUP BY doc_id)",
+                              "dt AS (SELECT p.doc_a, p.doc_b, sum(x.count * y.count) AS dot FROM pr p JOIN dd x ON x.doc_id = p.doc_a "
+                              "JOIN dd y ON y.doc_id = p.doc_b AND y.feature = x.feature GROUP BY p.doc_a, p.doc_b)") +
+       " SELECT p.doc_a, p.doc_b, round(sqrt(greatest(CAST(coalesce(a.sq, 0) + coalesce(b.sq, 0) - 2 * coalesce(t.dot, 0) AS DOUBLE), 0)), 9) AS distance "
+       "FROM pr p LEFT JOIN dt t ON t.doc_a = p.doc_a AND t.doc_b = p.doc_b LEFT JOIN sq a ON a.doc_id = p.doc_a LEFT JOIN sq b ON b.doc_id = p.doc_b")
+def q_doc_distance(spark, sf):
+    """I10 for each document and its successor in the seeded hash order of
+    its source (skew-safe two-level rank + equi-join, not all pairs)."""
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    docs = corpus.table(spark, sf, "documents").where(F.col("lang") == "en").select("doc_id", "source").distinct()
+    r = SM.hash_rank(docs, "source", ["doc_id"])
+    pairs = r.select(F.col("doc_id").alias("doc_a"), "source", "hrank").join(
+        r.select(F.col("doc_id").alias("doc_b"), "source", (F.col("hrank") - 1).alias("hrank")), ["source", "hrank"]) \
+        .select("doc_a", "doc_b")
+    out = ST.doc_distance(d, pairs)
+    return out.select("doc_a", "doc_b", r9(F.col("distance")).alias("distance"))
+
+
+@query("group_max_date",
+       "SELECT user_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_ts, count(*) FILTER (WHERE year(ts) >= 2024) AS recent "
+       "FROM events GROUP BY user_id")
+def q_group_max_date(spark, sf):
+    """I13 + J15: latest event per user and a year flag count."""
+    ev = corpus.table(spark, sf, "events")
+    g = ev.groupBy("user_id").agg(F.max("ts").alias("m"), F.count(F.when(F.year("ts") >= 2024, 1)).alias("recent"))
+    return g.select("user_id", F.date_format("m", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("max_ts"), "recent")
+
+
+@query("json_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def q_json_props(spark, sf):
+    """JSON documents parsed with a declared schema."""
+    return corpus.json_props(spark, sf)
+
+
+_HTML_BODY = ("regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script\\s*>', ' ', 'g'), "
+              "'(?is)<style\\b.*?</style\\s*>', ' ', 'g')")
+
+
+@query("html_paragraphs",
+       "WITH px AS (SELECT page_id, regexp_extract_all(" + _HTML_BODY + ", '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1) AS ps FROM pages),\n"
+       "pu AS (SELECT page_id, unnest(ps) AS raw, unnest(range(len(ps))) AS pos FROM px),\n"
+       "pt AS (SELECT page_id, pos, trim(regexp_replace(translate(replace(replace(replace(replace(replace(replace("
+       "regexp_replace(raw, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), "
+       "chr(13) || chr(10), '  '), '[[:space:]]+', ' ', 'g')) AS text FROM pu)\n"
+       "SELECT page_id, text, CAST(min(pos) AS INTEGER) AS pos FROM pt WHERE text <> '' GROUP BY page_id, text")
+def q_html_paragraphs(spark, sf):
+    return corpus.html_paragraphs(spark, sf)
+
+
+# ---------------------------------------------------------------- interpolation / perplexity
+
+_GRID = ("grid AS (SELECT i / 10.0 AS l1, j / 10.0 AS l2, (10 - i - j) / 10.0 AS l3 FROM range(0, 11) a(i), range(0, 11) b(j) "
+         "WHERE i + j <= 9)")
+_ITEST = ("itest AS (SELECT split_part(ctx, ' ', 1) AS a, split_part(ctx, ' ', 2) AS b, next_word AS c, sum(cnt) AS cnt "
+          "FROM cpairs WHERE ctx LIKE '% %' GROUP BY ALL)",
+          "icomp AS (SELECT t.a, t.b, t.c, t.cnt, coalesce(abc.freq / ab.freq, 0) AS p3, coalesce(bc.freq / ub.freq, 0) AS p2, "
+          "uc.freq / (SELECT sum(freq) FROM kcounts WHERE n = 1) AS p1 FROM itest t "
+          "JOIN kcounts uc ON uc.n = 1 AND uc.word = t.c LEFT JOIN kcounts ub ON ub.n = 1 AND ub.word = t.b "
+          "LEFT JOIN kcounts ab ON ab.n = 2 AND ab.word = t.a || '_' || t.b LEFT JOIN kcounts bc ON bc.n = 2 AND bc.word = t.b || '_' || t.c "
+          "LEFT JOIN kcounts abc ON abc.n = 3 AND abc.word = t.a || '_' || t.b || '_' || t.c)")
+_INTERP = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"), O.heldout_clean(), O.pairs(3), *_ITEST, _GRID,
+           "isc AS (SELECT l1, l2, l3, sum(cnt * ln(l1 * p3 + l2 * p2 + l3 * p1)) AS loglik, CAST(sum(cnt) AS BIGINT) AS n FROM icomp, grid GROUP BY l1, l2, l3)")
+
+
+def _interp_scored(spark, sf):
+    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    pairs = PL.heldout_pairs(spark, sf)
+    cp = E.context_pairs(pairs, 3).where(F.col("ctx").contains(" "))
+    test = cp.select(F.split("ctx", " ")[0].alias("a"), F.split("ctx", " ")[1].alias("b"),
+                     F.col("next_word").alias("c"), "cnt").groupBy("a", "b", "c").agg(F.sum("cnt").alias("cnt"))
+    comp = IP.ml_components(counts, test)
+    return IP.interpolate(comp, IP.lambda_grid(spark))
+
+
+@query("interp", O.ctes(*_INTERP) +
+       " SELECT l1, l2, l3, round(loglik, 6) AS loglik, n, round(exp(-loglik / n), 6) AS perplexity FROM isc")
+def q_interp(spark, sf):
+    s = _interp_scored(spark, sf)
+    return s.select("l1", "l2", "l3", F.round("loglik", 6).alias("loglik"), "n", F.round("perplexity", 6).alias("perplexity"))
+
+
+@query("interp_best", O.ctes(*_INTERP) +
+       " SELECT l1, l2, l3, round(loglik, 6) AS loglik, round(exp(-loglik / n), 6) AS perplexity FROM isc "
+       "ORDER BY loglik DESC, l1 DESC, l2 DESC LIMIT 1")
+def q_interp_best(spark, sf):
+    b = IP.best_lambda(_interp_scored(spark, sf))
+    return b.select("l1", "l2", "l3", F.round("loglik", 6).alias("loglik"), F.round("perplexity", 6).alias("perplexity"))
