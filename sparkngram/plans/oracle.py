@@ -156,3 +156,31 @@ def katz_predictions(ctx_src: str, k: int = 3, defaults=("the", "to", "and")) ->
         f"kfull AS (SELECT ctx FROM kr GROUP BY ctx HAVING count(*) >= {k}),\n"
         f"kpreds AS (SELECT ctx, rnk, word, score FROM kr WHERE ctx IN (SELECT ctx FROM kfull) "
         f"UNION ALL SELECT c.ctx, d.r, d.p, NULL FROM kc c, (VALUES {dl}) d(p, r) WHERE c.ctx NOT IN (SELECT ctx FROM kfull))")
+
+
+def sbo_variant(kind: str, k: int = 3, per_level: int = 3, defaults=("the", "on", "a"), model: str = "model",
+                ctx_src: str = "(SELECT DISTINCT ctx FROM cpairs)", m: int = 3) -> str:
+    """Predictor variants: ``unigram`` fill (G3), ``first_hit`` (G4),
+    ``none`` (G6: no fill), all over ``ctx_src(ctx)``."""
+    dl = ", ".join(f"('{d}', {i + 1})" for i, d in enumerate(defaults))
+    base = (f"vctx AS (SELECT ctx, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS cw FROM {ctx_src} c),\n"
+            f"vlv AS (SELECT ctx, lvl, lvl + 1 AS n, array_to_string(cw[len(cw) - lvl + 1 : len(cw)], '_') AS w FROM ("
+            f"SELECT ctx, cw, unnest(range(1, least(len(cw), {m - 1}) + 1)) AS lvl FROM vctx) z),\n"
+            f"vhit AS (SELECT v.ctx, v.lvl, mm.rnk, mm.pred FROM vlv v JOIN {model} mm ON mm.n = v.n AND mm.w = v.w "
+            f"WHERE mm.rnk <= {per_level}),\n")
+    empty = f"SELECT c.ctx, 0, d.r, d.p FROM vctx c, (VALUES {dl}) d(p, r) WHERE c.ctx = ''"
+    if kind == "unigram":
+        fill = (f"UNION ALL SELECT c.ctx, 0, mm.rnk, mm.pred FROM vctx c, {model} mm WHERE c.ctx <> '' AND mm.n = 1 "
+                f"AND mm.rnk <= {per_level} UNION ALL {empty}")
+        cand = f"vcand AS (SELECT * FROM vhit {fill}),\n"
+    elif kind == "first_hit":
+        cand = (f"vbest AS (SELECT ctx, max(lvl) AS b FROM vhit GROUP BY ctx),\n"
+                f"vcand AS (SELECT h.* FROM vhit h JOIN vbest b ON b.ctx = h.ctx AND b.b = h.lvl "
+                f"UNION ALL SELECT c.ctx, 0, d.r, d.p FROM vctx c, (VALUES {dl}) d(p, r) "
+                f"WHERE c.ctx NOT IN (SELECT ctx FROM vbest)),\n")
+    else:
+        cand = f"vcand AS (SELECT * FROM vhit UNION ALL {empty}),\n"
+    return (base + cand +
+            "vkf AS (SELECT ctx, pred, max(lvl) AS lvl, arg_min(rnk, (-lvl) * 1000 + rnk) AS lrnk FROM vcand GROUP BY ctx, pred),\n"
+            f"vpreds AS (SELECT ctx, pred AS word, row_number() OVER (PARTITION BY ctx ORDER BY lvl DESC, lrnk ASC) AS rnk "
+            f"FROM vkf QUALIFY rnk <= {k})")

@@ -625,3 +625,108 @@ def q_interp(spark, sf):
 def q_interp_best(spark, sf):
     b = IP.best_lambda(_interp_scored(spark, sf))
     return b.select("l1", "l2", "l3", F.round("loglik", 6).alias("loglik"), F.round("perplexity", 6).alias("perplexity"))
+
+
+# ---------------------------------------------------------------- predictor variants
+
+@query("predict_sbo_unigram", O.ctes(*_EVAL, O.sbo_variant("unigram", defaults=P.APP_DEFAULTS)) +
+       " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+def q_predict_sbo_unigram(spark, sf):
+    """The app's predictor - unigram top 3 as the last level."""
+    model = PL.sbo_lookup(spark, sf)
+    return _ctx_predictions(spark, sf, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, fill="unigram",
+                                                               defaults=P.APP_DEFAULTS, empty=F.col("empty")))
+
+
+@query("predict_first_hit", O.ctes(*_EVAL, O.sbo_variant("first_hit")) + " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+def q_predict_first_hit(spark, sf):
+    """Stop at the highest order with any hit."""
+    model = PL.sbo_lookup(spark, sf)
+    return _ctx_predictions(spark, sf, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, first_hit_only=True,
+                                                               empty=F.col("empty")))
+
+
+@query("predict_top5", O.ctes(*_EVAL, O.sbo_variant("none", k=5, per_level=5)) + " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+def q_predict_top5(spark, sf):
+    """Five suggestions, no padding (phrases without a hit get none)."""
+    model = PL.sbo_lookup(spark, sf)
+    return _ctx_predictions(spark, sf, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, k=5, per_level=5, fill="none",
+                                                               empty=F.col("empty")))
+
+
+@query("predict_4gram", O.ctes(*_EVAL, O.sbo_variant("none", m=4, defaults=("the", "on", "a"),
+                                                       ctx_src="(SELECT DISTINCT CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[pos - least(pos, 3) + 1 : pos], ' ') END AS ctx FROM pairs)").replace(
+    "vcand AS (SELECT * FROM vhit UNION ALL", "vcand AS (SELECT * FROM vhit UNION ALL SELECT c.ctx, 0, d.r, d.p FROM vctx c, (VALUES ('the', 1), ('on', 2), ('a', 3)) d(p, r) WHERE c.ctx <> '' UNION ALL")) +
+       " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+def q_predict_4gram(spark, sf):
+    """G2 with m = 4 (three-word histories, orders 4..2)."""
+    model = PL.sbo_lookup(spark, sf)
+    lines = corpus.heldout_clean(spark, sf)
+    pairs = E.split_sentence(lines, ["dataset", "src_id", "line_no"])
+    ctx = E.context_pairs(pairs, 4).select("ctx").distinct()
+    ctx = ctx.select("ctx", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")).alias("words"),
+                     (F.col("ctx") == F.lit("")).alias("empty"))
+    return P.predict_sbo(ctx, model, ["ctx"], m=4, empty=F.col("empty")).select(
+        "ctx", F.col("rnk").cast("long").alias("rnk"), "word")
+
+
+@query("eval_rank", O.ctes(*_EVAL, O.sbo_predictions()) +
+       " SELECT c.dataset, c.ctx, c.next_word, c.cnt, CAST(coalesce(p.rnk, 4) AS BIGINT) AS rank FROM cpairs c "
+       "LEFT JOIN preds p ON p.ctx = c.ctx AND p.word = c.next_word")
+def q_eval_rank(spark, sf):
+    """H2: rank of the true next word (4 = not in the top 3) per distinct
+    (dataset, context, next word) with its count."""
+    model = PL.sbo_lookup(spark, sf)
+    cp = E.context_pairs(PL.heldout_pairs(spark, sf), 3)
+    r = E.rank_pairs(cp, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, empty=F.col("empty")))
+    return r.select("dataset", "ctx", "next_word", "cnt", "rank")
+
+
+@query("eval_baseline", O.ctes(O.heldout_clean(), O.pairs(3)) +
+       " SELECT dataset, CAST(sum(cnt * (4 - CASE next_word WHEN 'the' THEN 1 WHEN 'on' THEN 2 WHEN 'a' THEN 3 ELSE 4 END)) AS BIGINT) AS score, "
+       "CAST(sum(cnt) * 3 AS BIGINT) AS max_score FROM cpairs GROUP BY dataset")
+def q_eval_baseline(spark, sf):
+    """G19 + H3: the constant predictor (the, on, a) scored on held-out pairs."""
+    cp = E.context_pairs(PL.heldout_pairs(spark, sf), 3)
+    r = E.rank_pairs(cp, lambda c: P.baseline(c, ["ctx"]))
+    return r.groupBy("dataset").agg(F.sum(F.col("cnt") * (4 - F.col("rank"))).cast("long").alias("score"),
+                                    (F.sum("cnt") * 3).cast("long").alias("max_score"))
+
+
+# ---------------------------------------------------------------- features
+
+from sparkngram.operators import features as FT  # noqa: E402
+
+# A small neutral block list for the block-list queries (the reference's
+# own word file is not reproduced here).
+BLOCKLIST = ("ing", "tion", "ness", "ly", "nt")
+
+
+@query("blocklist_tokens", O.ctes(_NUMBERED_LINES) +
+       f" SELECT doc_id, line_no, array_to_string(list_filter({T.tokens(T.clean_train('line'))}, "
+       f"lambda x: x NOT IN ({', '.join(repr(w) for w in BLOCKLIST)})), ' ') AS tokens FROM nl")
+def q_blocklist_tokens(spark, sf):
+    """Listed words removed from the token lists (neighbours close up)."""
+    t = PL.train_tokens(spark, sf)
+    words = spark.createDataFrame([(w,) for w in BLOCKLIST], "word string")
+    r = FT.remove_listed_tokens(t, "tokens", words, ["doc_id", "line_no"])
+    return r.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("blocklist_features", O.ctes(*_TRAIN, O.grams((1, 2)), O.counts(1)) +
+       f" SELECT n, word, freq FROM counts WHERE word NOT IN ({', '.join(repr(w) for w in BLOCKLIST)})")
+def q_blocklist_features(spark, sf):
+    """D3: listed features removed after counting (exact n-gram match)."""
+    c = PL.ngram_counts(spark, sf, (1, 2), 1)
+    words = spark.createDataFrame([(w,) for w in BLOCKLIST], "word string")
+    return FT.remove_listed_features(c, words).select(F.col("n").cast("long").alias("n"), "word", "freq")
+
+
+@query("dfm_prop", O.ctes(*_TRAIN, _DFM) +
+       " SELECT doc_id, feature, count, round(count / sum(count) OVER (PARTITION BY doc_id), 9) AS prop "
+       "FROM (SELECT doc_id, feature, sum(count) AS count FROM dfm GROUP BY doc_id, feature) d")
+def q_dfm_prop(spark, sf):
+    """D10 + D11: long DFM with per-document feature shares."""
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    p = FT.dfm_prop(d, "doc_id")
+    return p.select("doc_id", "feature", "count", r9(F.col("prop")).alias("prop"))
