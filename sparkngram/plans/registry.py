@@ -730,3 +730,34 @@ def q_dfm_prop(spark, sf):
     d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
     p = FT.dfm_prop(d, "doc_id")
     return p.select("doc_id", "feature", "count", r9(F.col("prop")).alias("prop"))
+
+
+# ---------------------------------------------------------------- streaming
+
+from sparkngram.streaming import scoring as STR  # noqa: E402
+
+
+@query("stream_counts", O.ctes(*_TRAIN, O.grams((1, 2)), O.counts(1)) + " SELECT n, word, freq FROM counts")
+def q_stream_counts(spark, sf):
+    """K2: running counts of the English documents read as a file stream;
+    the merged table equals the batch counts."""
+    c = STR.stream_ngram_counts(spark, f"{sf}/documents.parquet",
+                                "doc_id long, text string, lang string, source string, n_chars long", "text",
+                                orders=(1, 2), where="lang = 'en'")
+    return c.select(F.col("n").cast("long").alias("n"), "word", "freq")
+
+
+@query("stream_predict", O.ctes(*_SBO, O.sbo_model(),
+                                "sq AS (SELECT conv_id, turn, " + T.tokens(T.clean_query("text")) + " AS cw, text = '' AS is_empty FROM conversations WHERE role = 'user')",
+                                "sctx AS (SELECT DISTINCT CASE WHEN is_empty THEN '' ELSE array_to_string(cw[len(cw) - least(len(cw), 2) + 1 : len(cw)], ' ') END AS ctx FROM sq)",
+                                O.sbo_variant("unigram", defaults=("the", "to", "and"), ctx_src="sctx")) +
+       " SELECT q.conv_id, q.turn, CAST(p.rnk AS BIGINT) AS rnk, p.word FROM sq q JOIN vpreds p ON p.ctx = "
+       "CASE WHEN q.is_empty THEN '' ELSE array_to_string(q.cw[len(q.cw) - least(len(q.cw), 2) + 1 : len(q.cw)], ' ') END")
+def q_stream_predict(spark, sf):
+    """K1: user turns arriving as a stream, scored against the static
+    stupid-backoff table (app variant, unigram fill)."""
+    model = PL.materialize(PL.sbo_lookup(spark, sf))
+    out = STR.stream_predictions(spark, f"{sf}/conversations.parquet",
+                                 "conv_id long, turn long, role string, text string", model, ["conv_id", "turn"], "text",
+                                 where="role = 'user'")
+    return out.select("conv_id", "turn", F.col("rnk").cast("long").alias("rnk"), "word")
