@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.operators.ngrams import SEP, top_by_group
+from pyspark.sql.window import Window
 from sparkngram.plans.joins import hot_split_join
 
 # Fixed values that must equal the reference's: default words.
@@ -102,3 +103,64 @@ def baseline(q: DataFrame, keys: Sequence[str], defaults: Sequence[str] = EVAL_D
     """The constant predictor."""
     d = _defaults_rows(q.select(*keys), keys, defaults)
     return d.select(*keys, "rnk", F.col("pred").alias("word"), "score", "level")
+
+
+def score_options(q: DataFrame, scores: DataFrame, keys: Sequence[str], words: str = "words",
+                  option: str = "option", max_order: int = 4, sep: str = SEP, rank: bool = False) -> DataFrame:
+    """Score candidate words of a phrase by backoff - the score of the
+    highest-order n-gram (history suffix + option) present in the score
+    table ``(n, word, score)``.  ``q`` has one row per (phrase, option);
+    options never seen get a null score.  Returns ``keys, option, n,
+    score`` (+ ``opt_rank`` by score then word when ``rank``).
+    """
+    keys = list(keys)
+    base = q.select(*keys, words, option).distinct()
+    h = F.sequence(F.lit(0), F.least(F.size(words), F.lit(max_order - 1)))
+    x = base.select(*keys, words, option, F.explode(h).alias("h"))
+    hist = F.slice(F.col(words), -F.greatest(F.col("h"), F.lit(1)), F.greatest(F.col("h"), F.lit(1)))
+    full = F.when(F.col("h") == 0, F.col(option)).otherwise(F.array_join(F.concat(hist, F.array(F.col(option))), sep))
+    x = x.select(*keys, option, (F.col("h") + 1).alias("n"), full.alias("word"))
+    hit = x.join(scores.select("n", "word", "score"), ["n", "word"], "inner")
+    best = hit.groupBy(*keys, option).agg(F.max("n").alias("n"), F.max_by("score", "n").alias("score"))
+    out = base.select(*keys, option).join(best, [*keys, option], "left")
+    if rank:
+        out = out.withColumn("opt_rank", F.row_number().over(
+            Window.partitionBy(*keys).orderBy(F.col("score").desc_nulls_last(), F.col(option).asc())))
+    return out
+
+
+def freq_clusters(q: DataFrame, counts: DataFrame, gt: DataFrame, keys: Sequence[str], words: str = "words",
+                  cluster: int = 7) -> DataFrame:
+    """G16 + G17: 4-gram predictor by frequency clusters.
+
+    The longest history with 4-gram evidence is used: the last three words
+    as a 4-gram prefix, else the last two as words 2-3 of a 4-gram, else
+    the last word as word 3.  4-gram counts are summed per next word,
+    rows down to the ``cluster``-th distinct frequency are kept, counts
+    <= 5 are replaced by the Good-Turing r* of the matching order (one
+    history word -> bigram, two -> trigram, three -> 4-gram), and
+    ``probability = count / total * 100`` with the total of the raw counts.
+    """
+    keys = list(keys)
+    four = counts.where(F.col("n") == 4).select("word", "pred", "freq")
+    parts = F.split(F.col("word"), "_")
+    t3 = four.select(F.lit(3).alias("lvl"), F.concat_ws("_", parts[0], parts[1], parts[2]).alias("h"), "pred", "freq")
+    t2 = four.select(F.lit(2).alias("lvl"), F.concat_ws("_", parts[1], parts[2]).alias("h"), "pred", "freq")
+    t1 = four.select(F.lit(1).alias("lvl"), parts[2].alias("h"), "pred", "freq")
+    tab = t3.unionByName(t2).unionByName(t1).groupBy("lvl", "h", "pred").agg(F.sum("freq").alias("freq"))
+    tot = tab.groupBy("lvl", "h").agg(F.sum("freq").alias("total"))
+    sz = F.size(words)
+    hs = q.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("lvl"), F.when(sz >= i, F.array_join(F.slice(F.col(words), -i, i), "_")).alias("h"))
+        for i in (3, 2, 1)])).alias("x")).select(*keys, "x.lvl", "x.h").where(F.col("h").isNotNull())
+    found = hs.join(tot, ["lvl", "h"], "inner")
+    best = found.groupBy(*keys).agg(F.max("lvl").alias("lvl"))
+    chosen = found.join(best, [*keys, "lvl"], "inner")
+    rows = chosen.join(tab, ["lvl", "h"], "inner")
+    rows = rows.withColumn("crank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col("freq").desc())))
+    rows = rows.where(F.col("crank") <= F.lit(cluster))
+    rs = gt.where((F.col("r") >= 1) & (F.col("r") <= 5)).select((F.col("n") - 1).alias("lvl"), F.col("r").alias("freq"), "r_star")
+    rows = rows.join(F.broadcast(rs), ["lvl", "freq"], "left")  # <= 15 rows
+    adj = F.when(F.col("freq") <= 5, F.col("r_star")).otherwise(F.col("freq").cast("double"))
+    return rows.select(*keys, "lvl", F.col("pred").alias("word"), "freq", adj.alias("count"),
+                       (adj / F.col("total") * 100).alias("probability"), "crank")

@@ -761,3 +761,62 @@ def q_stream_predict(spark, sf):
                                  "conv_id long, turn long, role string, text string", model, ["conv_id", "turn"], "text",
                                  where="role = 'user'")
     return out.select("conv_id", "turn", F.col("rnk").cast("long").alias("rnk"), "word")
+
+
+# ---------------------------------------------------------------- option scoring / frequency clusters
+
+_CPAIRS4 = ("cp4 AS (SELECT DISTINCT CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[pos - least(pos, 3) + 1 : pos], ' ') END AS ctx, "
+            "lower(next_word) AS option FROM pairs)")
+_SCORES = ("scr AS (SELECT n, word, pow(0.4, 4 - n) * freq / sum(freq) OVER (PARTITION BY n, w) AS score FROM counts WHERE n > 1 "
+           "UNION ALL SELECT n, word, freq / sum(freq) OVER () FROM counts WHERE n = 1)")
+
+
+@query("score_options", O.ctes(*_SBO, _SCORES, O.heldout_clean(), O.pairs(3), _CPAIRS4,
+                               "so AS (SELECT ctx, option, h + 1 AS n, CASE WHEN h = 0 THEN option ELSE "
+                               "array_to_string(list_concat(cw[len(cw) - h + 1 : len(cw)], [option]), '_') END AS word FROM ("
+                               "SELECT ctx, option, cw, unnest(range(0, least(len(cw), 3) + 1)) AS h FROM ("
+                               "SELECT ctx, option, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS cw FROM cp4) a) b)",
+                               "sb AS (SELECT so.ctx, so.option, max(so.n) AS n, arg_max(s.score, so.n) AS score FROM so JOIN scr s "
+                               "ON s.n = so.n AND s.word = so.word GROUP BY so.ctx, so.option)") +
+       " SELECT c.ctx, c.option, CAST(b.n AS BIGINT) AS n, round(b.score, 9) AS score FROM cp4 c LEFT JOIN sb b ON b.ctx = c.ctx AND b.option = c.option")
+def q_score_options(spark, sf):
+    """G15 on held-out data: every observed (3-word context, next word)
+    pair's next word scored by backoff over the stupid-backoff scores."""
+    scores = S.sbo_scores(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 5), 4)
+    scores = scores.withColumn("word", F.when(F.col("n") == 1, F.col("pred")).otherwise(F.concat_ws("_", "w", "pred")))
+    pairs = PL.heldout_pairs(spark, sf)
+    q = pairs.select(E.last_words(F.col("prefix_words"), 3).alias("ctx"), F.col("next_word").alias("option"))
+    q = q.distinct().withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
+    r = P.score_options(q, scores, ["ctx"], "words", "option", 4)
+    return r.select("ctx", "option", F.col("n").cast("long").alias("n"), r9(F.col("score")).alias("score"))
+
+
+@query("freq_clusters", O.ctes(*_TRAIN, O.grams((1, 2, 3, 4)), O.counts(1, name="kcounts"), O.gt_table(),
+                               O.heldout_clean(), O.pairs(3),
+                               "fc AS (SELECT DISTINCT array_to_string(ws[pos - least(pos, 3) + 1 : pos], ' ') AS ctx FROM pairs WHERE pos > 0)",
+                               "f4 AS (SELECT string_split(word, '_') AS p, pred, freq FROM kcounts WHERE n = 4)",
+                               "ftab AS (SELECT lvl, h, pred, sum(freq) AS freq FROM ("
+                               "SELECT 3 AS lvl, p[1] || '_' || p[2] || '_' || p[3] AS h, pred, freq FROM f4 UNION ALL "
+                               "SELECT 2, p[2] || '_' || p[3], pred, freq FROM f4 UNION ALL SELECT 1, p[3], pred, freq FROM f4) z GROUP BY lvl, h, pred)",
+                               "ftot AS (SELECT lvl, h, sum(freq) AS total FROM ftab GROUP BY lvl, h)",
+                               "fh AS (SELECT ctx, lvl, array_to_string(cw[len(cw) - lvl + 1 : len(cw)], '_') AS h FROM ("
+                               "SELECT ctx, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS cw FROM fc) a, (SELECT unnest([1, 2, 3]) AS lvl) l "
+                               "WHERE len(cw) >= lvl)",
+                               "fb AS (SELECT fh.ctx, max(fh.lvl) AS lvl FROM fh JOIN ftot t ON t.lvl = fh.lvl AND t.h = fh.h GROUP BY fh.ctx)",
+                               "fr AS (SELECT fh.ctx, fh.lvl, ft.pred, ft.freq, t.total, dense_rank() OVER (PARTITION BY fh.ctx ORDER BY ft.freq DESC) AS crank "
+                               "FROM fh JOIN fb ON fb.ctx = fh.ctx AND fb.lvl = fh.lvl JOIN ftot t ON t.lvl = fh.lvl AND t.h = fh.h "
+                               "JOIN ftab ft ON ft.lvl = fh.lvl AND ft.h = fh.h)") +
+       " SELECT r.ctx, r.lvl, r.pred AS word, r.freq, round(CASE WHEN r.freq <= 5 THEN g.r_star ELSE r.freq END, 9) AS count, "
+       "round(CASE WHEN r.freq <= 5 THEN g.r_star ELSE r.freq END / r.total * 100, 9) AS probability, CAST(r.crank AS BIGINT) AS crank "
+       "FROM fr r LEFT JOIN gt g ON g.n = r.lvl + 1 AND g.r = r.freq WHERE r.crank <= 7")
+def q_freq_clusters(spark, sf):
+    """G16 + G17 for the three-word histories of held-out prefixes."""
+    from sparkngram.operators.goodturing import gt_table
+    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1))
+    gt = gt_table(counts, (1, 2, 3, 4))
+    pairs = PL.heldout_pairs(spark, sf).where(F.col("pos") > 0)
+    q = pairs.select(E.last_words(F.col("prefix_words"), 3).alias("ctx")).distinct() \
+        .withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
+    r = P.freq_clusters(q, counts, gt, ["ctx"], "words", 7)
+    return r.select("ctx", F.col("lvl").cast("int").alias("lvl"), "word", "freq", r9(F.col("count")).alias("count"),
+                    r9(F.col("probability")).alias("probability"), F.col("crank").cast("long").alias("crank"))
