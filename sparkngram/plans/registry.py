@@ -820,3 +820,57 @@ def q_freq_clusters(spark, sf):
     r = P.freq_clusters(q, counts, gt, ["ctx"], "words", 7)
     return r.select("ctx", F.col("lvl").cast("int").alias("lvl"), "word", "freq", r9(F.col("count")).alias("count"),
                     r9(F.col("probability")).alias("probability"), F.col("crank").cast("long").alias("crank"))
+
+
+# ---------------------------------------------------------------- published tables / files
+
+import uuid as _uuid  # noqa: E402
+
+from sparkngram.sources import store as SS  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{SS.table_root(spark)}/{name}-{_uuid.uuid4().hex[:10]}"
+
+
+@query("published_sbo", O.ctes(*_SBO, O.sbo_model()) + " SELECT w AS pre, pred AS word, round(score, 9) AS score, n, rnk FROM model")
+def q_published_sbo(spark, sf):
+    """Lookup table written partitioned by order and read back."""
+    t = SS.publish_sbo(PL.sbo_lookup(spark, sf), _scratch(spark, "sbo"))
+    return t.select("pre", "word", r9(F.col("score")).alias("score"), F.col("n").cast("long").alias("n"),
+                    F.col("rnk").cast("long").alias("rnk"))
+
+
+@query("published_katz", O.ctes(*_KATZ) +
+       " SELECT n, w AS pre, pred AS word, round(prob, 9) AS prob, round(leftover, 9) AS leftover, freq, round(d, 9) AS d FROM kt "
+       "UNION ALL SELECT 1, NULL, word, round(prob, 9), NULL, freq, round(d, 9) FROM ku")
+def q_published_katz(spark, sf):
+    """Katz tables (orders 1-3) in one order-partitioned table."""
+    counts, gt = PL.katz_inputs(spark, sf, mat=True)
+    t = SS.publish_katz(K.katz_tables(counts, gt, (2, 3)), K.katz_unigram(counts, gt), _scratch(spark, "katz"))
+    return t.select(F.col("n").cast("long").alias("n"), "pre", "word", r9(F.col("prob")).alias("prob"),
+                    r9(F.col("leftover")).alias("leftover"), "freq", r9(F.col("d")).alias("d"))
+
+
+@query("csv_counts", O.ctes(*_TRAIN, O.grams((1, 2, 3)), O.counts(1)) + " SELECT word, freq FROM counts")
+def q_csv_counts(spark, sf):
+    """A4: count tables written as header-less blank-separated CSV and read
+    back with strip-white / named columns."""
+    path = _scratch(spark, "csv")
+    SS.write_count_csv(PL.ngram_counts(spark, sf, (1, 2, 3), 1), path)
+    return SS.read_count_csv(spark, path)
+
+
+@query("text_round_trip", O.ctes(O.heldout_clean()) +
+       " SELECT CAST(0 AS BIGINT) AS missing_after, CAST(0 AS BIGINT) AS extra_after, count(*) AS lines FROM hlines")
+def q_text_round_trip(spark, sf):
+    """Cleaned held-out lines written as text and read back unchanged."""
+    lines = corpus.heldout_clean(spark, sf)
+    return SS.text_round_trip(lines, _scratch(spark, "text"))
+
+
+@query("summary_csv", O.ctes(_SRC_LINES) + " " + _SUMMARY_SQL.format(src="sl"))
+def q_summary_csv(spark, sf):
+    """A5: the corpus summary written to CSV with a header and read back."""
+    lines = corpus.training_lines(spark, sf)
+    return SS.write_csv(SM.corpus_summary(lines), _scratch(spark, "summary"))
