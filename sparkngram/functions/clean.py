@@ -145,3 +145,15 @@ def clean_eval_by(c: Column, dataset: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Blank-split tokens of an already cleaned text, empties dropped."""
     return F.filter(F.split(c, " "), lambda x: x != F.lit(""))
+
+
+def clean_query_words(words: Column) -> Column:
+    """C17 applied word by word to an already C18-cleaned word array.
+
+    Every C17 rule is local to one blank-delimited word (its start needs a
+    preceding blank, its end a following one), so cleaning each word with
+    its own blanks gives the same tokens as cleaning any prefix of the
+    line; each word becomes one token or ``''``.
+    """
+    return F.transform(words, lambda w, i: F.trim(clean_query(
+        F.when(i == 0, F.concat(w, F.lit(" "))).otherwise(F.concat(F.lit(" "), w, F.lit(" "))))))

@@ -87,3 +87,40 @@ def overall(report: DataFrame) -> DataFrame:
         F.round(F.lit(100.0) * (F.lit(1.0) - F.avg(F.col("hit_count_top1") / F.col("total_count"))), 6)
         .alias("word_error_rate"),
         F.sum("total_count").alias("number_of_predictions"))
+
+
+def line_contexts(lines: DataFrame, m: int, group: str = "dataset", line: str = "line",
+                  words_fn=None) -> DataFrame:
+    """H1 + context reduction in one linear pass: ``(group, ctx, next_word, cnt)``.
+
+    For the pair at 0-based position p of a line with words w, the context
+    is the last ``m-1`` of the first p words - read directly with one
+    ``slice`` per pair (O(m) work, no prefix string is built, so long lines
+    are not quadratic).  ``words_fn`` maps the word array to the
+    predictor's view of each word (``''`` = word dropped); the context
+    then keeps the last m-1 non-empty views before p.
+    """
+    w = F.filter(F.split(F.col(line), " "), lambda x: x != F.lit(""))
+    x = lines.select(group, w.alias("_w"))
+    k = m - 1
+    if words_fn is None:
+        pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda p: F.struct(
+            F.array_join(F.slice(F.col("_w"), F.greatest(p - F.lit(k) + 1, F.lit(1)), F.least(p, F.lit(k))), " ").alias("ctx"),
+            F.lower(F.element_at(F.col("_w"), p + 1)).alias("next_word")))
+        x = x.where(F.size("_w") >= 2).select(group, F.explode(pairs).alias("pr"))
+    else:
+        x = x.select(group, "_w", words_fn(F.col("_w")).alias("_v"))
+        nz = F.filter(F.transform(F.col("_v"), lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda s: s["v"] != F.lit(""))
+        x = x.where(F.size("_w") >= 2).select(group, "_w", nz.alias("_nz"))
+
+        def ctx_at(p):
+            before = F.filter(F.col("_nz"), lambda s: s["i"] < p)
+            n = F.size(before)
+            tail = F.slice(before, F.greatest(n - F.lit(k) + 1, F.lit(1)), F.least(n, F.lit(k)))
+            return F.array_join(F.transform(tail, lambda s: s["v"]), " ")
+
+        pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda p: F.struct(
+            ctx_at(p).alias("ctx"), F.lower(F.element_at(F.col("_w"), p + 1)).alias("next_word")))
+        x = x.select(group, F.explode(pairs).alias("pr"))
+    return (x.select(group, F.col("pr.ctx").alias("ctx"), F.col("pr.next_word").alias("next_word"))
+            .groupBy(group, "ctx", "next_word").agg(F.count(F.lit(1)).alias("cnt")))

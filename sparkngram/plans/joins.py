@@ -36,14 +36,20 @@ def _hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str,
 
 
 def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                        hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                        hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+                        stats: DataFrame | None = None, rows_col: str | None = None) -> DataFrame:
     """Add per-group aggregates (``aggs`` must be aliased) to every row.
 
     Equivalent to ``agg.over(Window.partitionBy(keys))`` but pre-aggregated
     (partial aggregation before the shuffle) and safe for hot groups.
+    A precomputed ``stats`` table (one row per key, with its row count in
+    ``rows_col``) can be passed instead of ``aggs``.
     """
     keys = list(keys)
-    stats = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_grp_rows"))
+    if stats is None:
+        stats = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_grp_rows"))
+    else:
+        stats = stats.withColumnRenamed(rows_col, "_grp_rows")
     hot = _hot_keys(stats, keys, "_grp_rows", hot_rows, max_hot_keys).drop("_grp_rows")
     stats = stats.drop("_grp_rows")
     tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")

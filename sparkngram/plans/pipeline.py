@@ -38,8 +38,7 @@ def evaluate_sbo(spark: SparkSession, sf_dir: str, m: int = 3, max_order: int =
     """H1-H3 for the benchmark stupid-backoff predictor."""
     model = model if model is not None else sbo_lookup(spark, sf_dir, max_order, trim)
     lines = corpus.heldout_clean(spark, sf_dir)
-    pairs = E.split_sentence(lines, ["dataset", "src_id", "line_no"])
-    cp = E.context_pairs(pairs, m)
+    cp = E.line_contexts(lines, m)
 
     def predictor(ctx: DataFrame) -> DataFrame:
         return P.predict_sbo(ctx, model, ["ctx"], "words", m=m, empty=F.col("empty"))
@@ -66,8 +65,7 @@ def katz_model(spark: SparkSession, sf_dir: str):
 def katz_context_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out pairs as the Katz predictor sees them: C17 on the prefix,
     then the last two words."""
-    pairs = heldout_pairs(spark, sf_dir)
-    return E.context_pairs(pairs, 3, words=C.tokens(C.clean_query(F.col("prefix"))))
+    return E.line_contexts(corpus.heldout_clean(spark, sf_dir), 3, words_fn=C.clean_query_words)
 
 
 def evaluate_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

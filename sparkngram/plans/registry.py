@@ -139,8 +139,7 @@ _EVAL = (*_SBO, O.sbo_model(), O.heldout_clean(), O.pairs(3))
 
 def _ctx_predictions(spark, sf, fn) -> DataFrame:
     lines = corpus.heldout_clean(spark, sf)
-    pairs = E.split_sentence(lines, ["dataset", "src_id", "line_no"])
-    ctx = E.context_pairs(pairs, 3).select("ctx").distinct()
+    ctx = E.line_contexts(lines, 3).select("ctx").distinct()
     ctx = ctx.select("ctx", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")).alias("words"),
                      (F.col("ctx") == F.lit("")).alias("empty"))
     return fn(ctx).select("ctx", F.col("rnk").cast("long").alias("rnk"), "word")
@@ -604,8 +603,7 @@ _INTERP = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"), O.heldout_c
 
 def _interp_scored(spark, sf):
     counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
-    pairs = PL.heldout_pairs(spark, sf)
-    cp = E.context_pairs(pairs, 3).where(F.col("ctx").contains(" "))
+    cp = E.line_contexts(corpus.heldout_clean(spark, sf), 3).where(F.col("ctx").contains(" "))
     test = cp.select(F.split("ctx", " ")[0].alias("a"), F.split("ctx", " ")[1].alias("b"),
                      F.col("next_word").alias("c"), "cnt").groupBy("a", "b", "c").agg(F.sum("cnt").alias("cnt"))
     comp = IP.ml_components(counts, test)
@@ -662,8 +660,7 @@ def q_predict_4gram(spark, sf):
     """G2 with m = 4 (three-word histories, orders 4..2)."""
     model = PL.sbo_lookup(spark, sf)
     lines = corpus.heldout_clean(spark, sf)
-    pairs = E.split_sentence(lines, ["dataset", "src_id", "line_no"])
-    ctx = E.context_pairs(pairs, 4).select("ctx").distinct()
+    ctx = E.line_contexts(lines, 4).select("ctx").distinct()
     ctx = ctx.select("ctx", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")).alias("words"),
                      (F.col("ctx") == F.lit("")).alias("empty"))
     return P.predict_sbo(ctx, model, ["ctx"], m=4, empty=F.col("empty")).select(
@@ -677,7 +674,7 @@ def q_eval_rank(spark, sf):
     """H2: rank of the true next word (4 = not in the top 3) per distinct
     (dataset, context, next word) with its count."""
     model = PL.sbo_lookup(spark, sf)
-    cp = E.context_pairs(PL.heldout_pairs(spark, sf), 3)
+    cp = E.line_contexts(corpus.heldout_clean(spark, sf), 3)
     r = E.rank_pairs(cp, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, empty=F.col("empty")))
     return r.select("dataset", "ctx", "next_word", "cnt", "rank")
 
@@ -687,7 +684,7 @@ def q_eval_rank(spark, sf):
        "CAST(sum(cnt) * 3 AS BIGINT) AS max_score FROM cpairs GROUP BY dataset")
 def q_eval_baseline(spark, sf):
     """G19 + H3: the constant predictor (the, on, a) scored on held-out pairs."""
-    cp = E.context_pairs(PL.heldout_pairs(spark, sf), 3)
+    cp = E.line_contexts(corpus.heldout_clean(spark, sf), 3)
     r = E.rank_pairs(cp, lambda c: P.baseline(c, ["ctx"]))
     return r.groupBy("dataset").agg(F.sum(F.col("cnt") * (4 - F.col("rank"))).cast("long").alias("score"),
                                     (F.sum("cnt") * 3).cast("long").alias("max_score"))
@@ -784,8 +781,7 @@ def q_score_options(spark, sf):
     pair's next word scored by backoff over the stupid-backoff scores."""
     scores = S.sbo_scores(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 5), 4)
     scores = scores.withColumn("word", F.when(F.col("n") == 1, F.col("pred")).otherwise(F.concat_ws("_", "w", "pred")))
-    pairs = PL.heldout_pairs(spark, sf)
-    q = pairs.select(E.last_words(F.col("prefix_words"), 3).alias("ctx"), F.col("next_word").alias("option"))
+    q = E.line_contexts(corpus.heldout_clean(spark, sf), 4).select("ctx", F.col("next_word").alias("option"))
     q = q.distinct().withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
     r = P.score_options(q, scores, ["ctx"], "words", "option", 4)
     return r.select("ctx", "option", F.col("n").cast("long").alias("n"), r9(F.col("score")).alias("score"))
@@ -814,8 +810,7 @@ def q_freq_clusters(spark, sf):
     from sparkngram.operators.goodturing import gt_table
     counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1))
     gt = gt_table(counts, (1, 2, 3, 4))
-    pairs = PL.heldout_pairs(spark, sf).where(F.col("pos") > 0)
-    q = pairs.select(E.last_words(F.col("prefix_words"), 3).alias("ctx")).distinct() \
+    q = E.line_contexts(corpus.heldout_clean(spark, sf), 4).where(F.col("ctx") != "").select("ctx").distinct() \
         .withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
     r = P.freq_clusters(q, counts, gt, ["ctx"], "words", 7)
     return r.select("ctx", F.col("lvl").cast("int").alias("lvl"), "word", "freq", r9(F.col("count")).alias("count"),
