@@ -24,9 +24,10 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     single-row-group file), spread the rows; a large input already has
     enough splits and is left untouched (no extra shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
+    want = 4 * cores  # documents vary from one word to tens of thousands: smaller slices balance better
     return df.repartition(want, key) if key else df.repartition(want)
 
 
