@@ -48,9 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured folder; only when none is set (local tests) make one."""
+    """Use the configured shared folder.  Only a local[...] session without
+    one (tests, single-machine runs) gets a temporary folder; a cluster
+    session must name ``spark.checkpoint.dir``."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object storage)")
         d = tempfile.mkdtemp(prefix="sparkngram-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
