@@ -28,6 +28,13 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 2_000
 
 
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    """A threshold from the session conf (``sparkngram.hotRows`` /
+    ``sparkngram.maxHotKeys``) so operators can tune it per cluster."""
+    v = df.sparkSession.conf.get(key, None)
+    return int(v) if v else default
+
+
 def _hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str,
               hot_rows: int, max_hot_keys: int) -> DataFrame:
     return (counts.where(F.col(count_col) > F.lit(hot_rows))
@@ -36,7 +43,7 @@ def _hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str,
 
 
 def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                        hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+                        hot_rows: int | None = None, max_hot_keys: int | None = None,
                         stats: DataFrame | None = None, rows_col: str | None = None) -> DataFrame:
     """Add per-group aggregates (``aggs`` must be aliased) to every row.
 
@@ -46,6 +53,8 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Colum
     ``rows_col``) can be passed instead of ``aggs``.
     """
     keys = list(keys)
+    hot_rows = hot_rows if hot_rows is not None else _conf_int(df, "sparkngram.hotRows", HOT_ROWS)
+    max_hot_keys = max_hot_keys if max_hot_keys is not None else _conf_int(df, "sparkngram.maxHotKeys", MAX_HOT_KEYS)
     if stats is None:
         stats = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_grp_rows"))
     else:
