@@ -109,3 +109,32 @@ def unk_map(tokens: Column, vocab_words: list[str], unk: str = "UNK") -> Column:
 def drop_markers(c: Column, markers: Sequence[str] = ("<EOS>", "<NUM>", "NA")) -> Column:
     """D13."""
     return ~c.isin(list(markers))
+
+
+def stop_words(spark, language: str = "english") -> DataFrame:
+    """Spark's built-in stop-word list as a one-column DataFrame."""
+    from pyspark.ml.feature import StopWordsRemover
+    return spark.createDataFrame([(w,) for w in StopWordsRemover.loadDefaultStopWords(language)], "word string")
+
+
+def unk_tokens(df: DataFrame, keys: Sequence[str], tokens_col: str, vocab: DataFrame, unk: str = "UNK",
+               word_col: str = "word") -> DataFrame:
+    """D8 for a vocabulary of any size: tokens outside ``vocab`` become
+    ``unk``.  Tokens are exploded with their positions, matched by an
+    equi-join against the vocabulary (no list on the driver) and put back
+    in order per row (a row is one line, so each group is small)."""
+    keys = list(keys)
+    ex = df.select(*keys, F.posexplode(tokens_col).alias("_pos", "_tok"))
+    v = vocab.select(F.col(word_col).alias("_tok"), F.lit(True).alias("_known")).distinct()
+    m = ex.join(v, "_tok", "left").select(
+        *keys, "_pos", F.when(F.col("_known"), F.col("_tok")).otherwise(F.lit(unk)).alias("_tok"))
+    back = m.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_tok"))).alias("_a"))
+    back = back.select(*keys, F.transform("_a", lambda s: s["_tok"]).alias(tokens_col))
+    return df.drop(tokens_col).join(back, keys, "left").withColumn(
+        tokens_col, F.coalesce(F.col(tokens_col), F.array().cast("array<string>")))
+
+
+def vocabulary(tokens_df: DataFrame, tokens_col: str, min_count: int) -> DataFrame:
+    """Words seen at least ``min_count`` times (partial aggregation)."""
+    return (tokens_df.select(F.explode(tokens_col).alias("word")).groupBy("word")
+            .agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= F.lit(min_count)).select("word"))

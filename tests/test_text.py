@@ -68,3 +68,15 @@ def test_ngram_orders_short_lines(spark):
     df = spark.createDataFrame([(["a", "b"],), ([],), (["c"],)], "tokens array<string>")
     got = sorted((r.n, r.word) for r in count_ngrams(df, "tokens", (1, 2, 3)).collect())
     assert got == [(1, "a"), (1, "b"), (1, "c"), (2, "a_b")]
+
+
+def test_stop_words_and_unk(spark):
+    from sparkngram.operators.features import remove_listed_tokens, stop_words, unk_tokens, vocabulary
+    df = spark.createDataFrame([(1, ["the", "cat", "and", "the", "hat"]), (2, ["a", "dog"]), (3, [])],
+                               "id int, tokens array<string>")
+    sw = stop_words(spark)
+    out = {r.id: r.tokens for r in remove_listed_tokens(df, "tokens", sw, ["id"]).collect()}
+    assert out == {1: ["cat", "hat"], 2: ["dog"], 3: []}
+    vocab = vocabulary(df, "tokens", 2)  # only "the" appears twice
+    got = {r.id: r.tokens for r in unk_tokens(df, ["id"], "tokens", vocab).collect()}
+    assert got == {1: ["the", "UNK", "UNK", "the", "UNK"], 2: ["UNK", "UNK"], 3: []}
