@@ -8,8 +8,8 @@ count merging (K2).
   ``foreachBatch`` on the micro-batch, and results are appended to a
   parquet sink (idempotent per batch id: one folder per batch).
 * K2 ``stream_ngram_counts``: running n-gram counts of arriving lines.
-  Each micro-batch is counted (partial aggregation) and merged into the
-  count table by union + re-aggregation, written as a new version.
+  Each micro-batch is counted (partial aggregation) and written as a delta
+  keyed by its batch id; the table is the sum of the deltas on read.
 
 Both keep their checkpoints and sinks under the shared checkpoint folder
 (``spark.checkpoint.dir``), so a restarted query resumes exactly where it
@@ -60,22 +60,21 @@ def stream_ngram_counts(spark: SparkSession, path: str, schema: str, text_col: s
     grams = NG.explode_ngrams(toks, "tokens", orders)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        # one folder per batch id: a replayed batch overwrites only itself
         counted = batch.groupBy("n", "word").agg(F.count(F.lit(1)).alias("freq"))
-        prev_path = f"{work}/table/v{batch_id - 1}"
-        out_path = f"{work}/table/v{batch_id}"
-        try:
-            prev = spark.read.parquet(prev_path)
-            merged = prev.unionByName(counted).groupBy("n", "word").agg(F.sum("freq").alias("freq"))
-        except Exception:  # noqa: BLE001 - first batch: no previous version
-            merged = counted
-        merged.write.mode("overwrite").parquet(out_path)
-        spark.createDataFrame([(batch_id,)], "v long").write.mode("overwrite").parquet(f"{work}/latest")
+        counted.write.mode("overwrite").parquet(f"{work}/deltas/batch={batch_id}")
 
     q = (grams.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    latest = spark.read.parquet(f"{work}/latest").first()[0]
-    return spark.read.parquet(f"{work}/table/v{latest}")
+    return read_counts(spark, f"{work}/deltas")
+
+
+def read_counts(spark: SparkSession, deltas: str) -> DataFrame:
+    """The merged count table: the per-batch deltas summed on read (partial
+    aggregation), so a micro-batch costs O(batch), never O(table).  A
+    periodic compaction can rewrite the deltas as one table."""
+    return spark.read.parquet(deltas).groupBy("n", "word").agg(F.sum("freq").alias("freq"))
 
 
 def stream_predictions(spark: SparkSession, path: str, schema: str, model: DataFrame, key_cols: list[str],
