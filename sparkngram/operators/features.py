@@ -138,3 +138,16 @@ def vocabulary(tokens_df: DataFrame, tokens_col: str, min_count: int) -> DataFra
     """Words seen at least ``min_count`` times (partial aggregation)."""
     return (tokens_df.select(F.explode(tokens_col).alias("word")).groupBy("word")
             .agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= F.lit(min_count)).select("word"))
+
+
+def spark_stop_word_list(language: str = "english") -> list[str]:
+    """Spark's built-in stop-word list read from the MLlib jar resource
+    (no JVM needed, so SQL twins can use the identical list)."""
+    import glob
+    import os
+    import zipfile
+
+    import pyspark
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    with zipfile.ZipFile(jars[0]) as z:
+        return z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split()

@@ -884,3 +884,21 @@ def q_summary_csv(spark, sf):
 def q_eval_katz_bench(spark, sf):
     """G8 as the evaluation harness calls it, scored per dataset (H3)."""
     return PL.evaluate_katz_bench(spark, sf)
+
+
+def _stop_sql() -> str:
+    ws = FT.spark_stop_word_list()
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in ws)
+
+
+@query("ttr_nostop", O.ctes(*_TRAIN, _DFM) +
+       " SELECT doc_id, round(count(*) / sum(count), 9) AS ttr, count(*) AS types, CAST(sum(count) AS BIGINT) AS tokens "
+       "FROM (SELECT doc_id, feature, sum(count) AS count FROM dfm WHERE feature NOT IN (" + _stop_sql() + ") "
+       "GROUP BY doc_id, feature) d GROUP BY doc_id")
+def q_ttr_nostop(spark, sf):
+    """I9 as in the reference: type-token ratio per document with stop words
+    (Spark's English list, D4) removed from the features first."""
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    d = FT.remove_listed_features(d, FT.stop_words(spark), "feature")
+    t = ST.type_token_ratio(d, "doc_id")
+    return t.select("doc_id", r9(F.col("ttr")).alias("ttr"), "types", "tokens")
