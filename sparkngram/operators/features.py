@@ -151,3 +151,10 @@ def spark_stop_word_list(language: str = "english") -> list[str]:
     jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
     with zipfile.ZipFile(jars[0]) as z:
         return z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split()
+
+
+def select_by_glob_grouped(d: DataFrame, glob: str, group: str, feature: str = "feature") -> DataFrame:
+    """Keep only features matching a glob, counts grouped by a document
+    variable (``dfm(select=glob, groups=group)``)."""
+    return (d.where(F.col(feature).rlike(glob_to_regex(glob)))
+            .groupBy(group, feature).agg(F.sum("count").alias("count")))

@@ -902,3 +902,21 @@ def q_ttr_nostop(spark, sf):
     d = FT.remove_listed_features(d, FT.stop_words(spark), "feature")
     t = ST.type_token_ratio(d, "doc_id")
     return t.select("doc_id", r9(F.col("ttr")).alias("ttr"), "types", "tokens")
+
+
+@query("glob_features", O.ctes(*_TRAIN, _DFM) +
+       " SELECT source, feature, CAST(sum(count) AS BIGINT) AS count FROM dfm WHERE feature LIKE 'th%' GROUP BY source, feature")
+def q_glob_features(spark, sf):
+    """Features matching ``th*`` with counts per source."""
+    g = FT.select_by_glob_grouped(PL.train_dfm(spark, sf), "th*", "source")
+    return g.select("source", "feature", F.col("count").cast("long").alias("count"))
+
+
+@query("remove_globs", O.ctes(*_TRAIN, _DFM) +
+       " SELECT doc_id, feature, CAST(sum(count) AS BIGINT) AS count FROM dfm "
+       "WHERE NOT (feature LIKE '%ing' OR feature LIKE 'un%') GROUP BY doc_id, feature")
+def q_remove_globs(spark, sf):
+    """DFM without features matching ``*ing`` or ``un*``."""
+    d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    r = FT.remove_by_globs(d, ["*ing", "un*"])
+    return r.select("doc_id", "feature", F.col("count").cast("long").alias("count"))
