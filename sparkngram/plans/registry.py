@@ -920,3 +920,36 @@ def q_remove_globs(spark, sf):
     d = PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
     r = FT.remove_by_globs(d, ["*ing", "un*"])
     return r.select("doc_id", "feature", F.col("count").cast("long").alias("count"))
+
+
+@query("pad_capitalized", O.ctes(_NUMBERED_LINES) +
+       " SELECT doc_id, line_no, array_to_string(list_transform(string_split(line, ' '), "
+       "lambda x: CASE WHEN regexp_matches(x, '^[A-Z]') THEN x ELSE '' END), '|') AS padded FROM nl")
+def q_pad_capitalized(spark, sf):
+    """Raw blank-split tokens, those not starting with a capital letter
+    replaced by '' (padding keeps positions)."""
+    lines = corpus.training_lines(spark, sf)
+    p = FT.pad_unmatched(F.split(F.col("line"), " "), "^[A-Z]")
+    return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.array_join(p, "|").alias("padded"))
+
+
+@query("substring_share", O.ctes(*_TRAIN, O.grams((3,)), O.counts(1)) +
+       " SELECT word, freq, round(freq / sum(freq) OVER (), 9) AS share FROM counts WHERE contains(word, 'the_')")
+def q_substring_share(spark, sf):
+    """Trigrams containing a substring, with their share of the
+    matching frequency (one-row total, broadcast)."""
+    c = PL.ngram_counts(spark, sf, (3,), 1).where(F.col("word").contains("the_"))
+    tot = c.agg(F.sum("freq").alias("_t"))
+    return c.crossJoin(F.broadcast(tot)).select("word", "freq", r9(F.col("freq") / F.col("_t")).alias("share"))
+
+
+@query("prefix_max", O.ctes(*_TRAIN, O.grams((2,)), O.counts(1)) +
+       " SELECT w, min(pred) AS pred, max(freq) AS freq FROM (SELECT w, pred, freq, max(freq) OVER (PARTITION BY w) AS mx FROM counts) z "
+       "WHERE freq = mx GROUP BY w")
+def q_prefix_max(spark, sf):
+    """Per bigram prefix, the continuation with the highest count
+    (ties: first word); hot prefixes go through the split join."""
+    from sparkngram.plans.joins import attach_group_totals
+    c = PL.ngram_counts(spark, sf, (2,), 1).select("w", "pred", "freq")
+    t = attach_group_totals(c, ["w"], [F.max("freq").alias("_mx")])
+    return t.where(F.col("freq") == F.col("_mx")).groupBy("w").agg(F.min("pred").alias("pred"), F.max("freq").alias("freq"))
