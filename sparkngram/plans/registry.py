@@ -953,3 +953,36 @@ def q_prefix_max(spark, sf):
     c = PL.ngram_counts(spark, sf, (2,), 1).select("w", "pred", "freq")
     t = attach_group_totals(c, ["w"], [F.max("freq").alias("_mx")])
     return t.where(F.col("freq") == F.col("_mx")).groupBy("w").agg(F.min("pred").alias("pred"), F.max("freq").alias("freq"))
+
+
+@query("prefix_filter", O.ctes(*_TRAIN, O.grams((2, 3)), O.counts(1)) +
+       " SELECT n, word, freq FROM counts WHERE regexp_matches(word, '^the_')")
+def q_prefix_filter(spark, sf):
+    """N-grams whose name starts with a prefix regex (``^the_``)."""
+    c = PL.ngram_counts(spark, sf, (2, 3), 1).where(F.col("word").rlike("^the_"))
+    return c.select(F.col("n").cast("long").alias("n"), "word", "freq")
+
+
+@query("first_lines", O.ctes(_HELD_NUMBERED) +
+       f" SELECT dataset, src_id, line_no, {T.clean_eval_by('raw', 'dataset')} AS line FROM ("
+       "SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY src_id, line_no) AS rn FROM hn) z WHERE rn <= 5")
+def q_first_lines(spark, sf):
+    """The first five held-out lines of each set (explicit order) - the
+    quick-run subset of the evaluation harness."""
+    from sparkngram.operators.sampling import first_k
+    h = corpus.heldout_clean(spark, sf).withColumn("line_no", F.col("line_no").cast("long"))
+    return first_k(h, "dataset", [F.col("src_id"), F.col("line_no")], 5).select("dataset", "src_id", "line_no", "line")
+
+
+@query("eval_report_text", O.ctes(*_EVAL, O.sbo_predictions()) +
+       " SELECT printf('%s: score %.2f %%, top-1 %.2f %%, top-3 %.2f %%, %d predictions', list_name, "
+       "100.0 * score / max_score, 100.0 * hit_count_top1 / total_count, 100.0 * hit_count_top3 / total_count, total_count) AS report "
+       "FROM (" + O.eval_report() + ") r")
+def q_eval_report_text(spark, sf):
+    """H6: the printed per-dataset report lines."""
+    r = PL.evaluate_sbo(spark, sf)
+    return r.select(F.format_string("%s: score %.2f %%, top-1 %.2f %%, top-3 %.2f %%, %d predictions", "list_name",
+                                    F.lit(100.0) * F.col("score") / F.col("max_score"),
+                                    F.lit(100.0) * F.col("hit_count_top1") / F.col("total_count"),
+                                    F.lit(100.0) * F.col("hit_count_top3") / F.col("total_count"),
+                                    "total_count").alias("report"))
