@@ -986,3 +986,16 @@ def q_eval_report_text(spark, sf):
                                     F.lit(100.0) * F.col("hit_count_top1") / F.col("total_count"),
                                     F.lit(100.0) * F.col("hit_count_top3") / F.col("total_count"),
                                     "total_count").alias("report"))
+
+
+@query("next_words", "SELECT ctx, word, CAST(rn AS BIGINT) AS rnk FROM (SELECT ctx, word, row_number() OVER "
+       "(PARTITION BY ctx ORDER BY probability DESC, word) AS rn FROM (" + SQL["freq_clusters"] + ") z "
+       "WHERE word NOT IN ('<EOS>', '<NUM>', 'NA')) y WHERE rn <= 3")
+def q_next_words(spark, sf):
+    """G18 + D13: the cluster predictor's words without marker words,
+    first three per history."""
+    from sparkngram.operators.features import drop_markers
+    from sparkngram.operators.ngrams import top_by_group
+    fc = QUERIES["freq_clusters"](spark, sf).where(drop_markers(F.col("word")))
+    t = top_by_group(fc, ["ctx"], [F.col("probability").desc(), F.col("word").asc()], 3)
+    return t.select("ctx", "word", F.col("rnk").cast("long").alias("rnk"))
