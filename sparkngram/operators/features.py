@@ -111,10 +111,26 @@ def drop_markers(c: Column, markers: Sequence[str] = ("<EOS>", "<NUM>", "NA")) -
     return ~c.isin(list(markers))
 
 
-def stop_words(spark, language: str = "english") -> DataFrame:
-    """Spark's built-in stop-word list as a one-column DataFrame."""
-    from pyspark.ml.feature import StopWordsRemover
-    return spark.createDataFrame([(w,) for w in StopWordsRemover.loadDefaultStopWords(language)], "word string")
+# The public English stop-word list that Spark's
+# StopWordsRemover ships, held here so that the plan and its SQL twin read
+# the same words without any file, jar or JVM access at import time.
+ENGLISH_STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is
+    are was were be been being have has had having do does did doing a an the and but if or because as until
+    while of at by for with about against between into through during before after above below to from up
+    down in out on off over under again further then once here there when where why how all any both each
+    few more most other some such no nor not only own same so than too very s t can will just don should now
+    i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+    they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't
+    won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's
+    there's what's when's where's who's why's would
+""".split()
+
+
+def stop_words(spark, words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
+    """A stop-word list as a one-column DataFrame."""
+    return spark.createDataFrame([(w,) for w in words], "word string")
 
 
 def unk_tokens(df: DataFrame, keys: Sequence[str], tokens_col: str, vocab: DataFrame, unk: str = "UNK",
@@ -140,19 +156,6 @@ def vocabulary(tokens_df: DataFrame, tokens_col: str, min_count: int) -> DataFra
             .agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= F.lit(min_count)).select("word"))
 
 
-def spark_stop_word_list(language: str = "english") -> list[str]:
-    """Spark's built-in stop-word list read from the MLlib jar resource
-    (no JVM needed, so SQL twins can use the identical list)."""
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        return z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split()
-
-
 def select_by_glob_grouped(d: DataFrame, glob: str, group: str, feature: str = "feature") -> DataFrame:
     """Keep only features matching a glob, counts grouped by a document
     variable (``dfm(select=glob, groups=group)``)."""

@@ -887,8 +887,7 @@ def q_eval_katz_bench(spark, sf):
 
 
 def _stop_sql() -> str:
-    ws = FT.spark_stop_word_list()
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in ws)
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in FT.ENGLISH_STOP_WORDS)
 
 
 @query("ttr_nostop", O.ctes(*_TRAIN, _DFM) +
