@@ -2,12 +2,12 @@
 
 A text is folded (lower case, homoglyphs and accented letters to plain
 letters, digits and signs to the letters they stand in for), an Aho-Corasick
-automaton finds the lexicon's words as whole words, hits inside an exception
-phrase are left out, and the weighted hits are divided by a power of the
+automaton finds the lexicon's entries, whole words or stems ("stem*") that a
+word starts with, hits inside an exception phrase are left out, and the weighted hits are divided by a power of the
 text's length in words before a logistic link.
 
-The lexicon is learnt: words of the toxic training documents whose document
-frequency speaks for the label are candidates; an L1-penalised logistic fit
+The lexicon is learnt: words and stems of the toxic training documents whose
+document frequency speaks for the label are candidates; an L1-penalised logistic fit
 gives their weights, the power of the length and the bias.  The fit sees a
 hash sample of about SAMPLE labelled rows; candidates are counted by Spark,
 only their hits in the sample (at most CANDIDATES per row) reach the driver.
@@ -36,7 +36,10 @@ from sparkngram.llm.common import id_text
 SAMPLE = 12_000       # labelled rows that the fit sees, about
 CANDIDATES = 300      # words that the fit may weigh
 LEAST_DOCS = 5        # toxic documents that a candidate occurs in
+STEMS = (4, 5, 6, 7)  # lengths of stems
 THRESHOLD = 0.7
+PENALTY = 1e-5        # of the L1 fit
+POWERS = (0.05, 0.1, 0.25, 0.5)  # of the length; the fit chooses one
 
 # Look-alike letters and the letters that digits and signs
 # stand in for.
@@ -84,27 +87,39 @@ def words(folded: str) -> list[str]:
 
 
 def automaton(lexicon, exceptions=EXCEPTIONS):
-    """Aho-Corasick automaton over words and exception phrases (None as index)."""
+    """Aho-Corasick automaton over words, stems and exception phrases.  A value
+    is the length and the entry's index as a word, as a stem, and whether it
+    is an exception."""
     import ahocorasick
-    a = ahocorasick.Automaton()
+    at: dict[str, list] = {}
     for i, w in enumerate(lexicon):
-        a.add_word(w, (len(w), i))
+        stem = w.endswith("*")
+        at.setdefault(w.rstrip("*"), [None, None, False])[stem] = i
     for p in exceptions:
-        p = fold(p)
-        a.add_word(p, (len(p), None))
+        at.setdefault(fold(p), [None, None, False])[2] = True
+    a = ahocorasick.Automaton()
+    for w, (word, stem, spare) in at.items():
+        a.add_word(w, (len(w), word, stem, spare))
     a.make_automaton()
     return a
 
 
 def hits(a, folded: str) -> Counter:
-    """Lexicon index -> number of whole-word hits outside exception phrases."""
+    """Lexicon index -> number of hits outside exception phrases."""
     found, spared = [], []
     n = len(folded)
-    for end, (size, index) in a.iter(folded):
+    for end, (size, word, stem, spare) in a.iter(folded):
         start, end = end - size + 1, end + 1
-        if start and folded[start - 1].isalnum() or end < n and folded[end].isalnum():
+        if start and folded[start - 1].isalnum():
+            continue
+        if stem is not None:
+            found.append((start, end, stem))
+        if end < n and folded[end].isalnum():
             continue
-        (spared if index is None else found).append((start, end, index))
+        if word is not None:
+            found.append((start, end, word))
+        if spare:
+            spared.append((start, end, None))
     if spared:
         found = [f for f in found if not any(s <= f[0] and f[1] <= e for s, e, _ in spared)]
     return Counter(i for _, _, i in found)
@@ -153,7 +168,8 @@ def candidate_words(rows: DataFrame, most: int = CANDIDATES, least: int = LEAST_
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1)):
                 total[y] += 1
-                seen[y].update({w for w in words(fold(t.as_py())) if 2 < len(w) <= 40})
+                every = {w for w in words(fold(t.as_py())) if 2 < len(w) <= 40}
+                seen[y].update(every | {w[:k] + "*" for w in every for k in STEMS if len(w) >= k})
                 if len(seen[0]) + len(seen[1]) > 200_000:
                     yield batch(total, seen)
                     total, seen = [0, 0], [Counter(), Counter()]
@@ -169,21 +185,29 @@ def candidate_words(rows: DataFrame, most: int = CANDIDATES, least: int = LEAST_
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     top = c.where((F.col("word") == "") | ((F.col("toxic") >= least) & (F.col("toxic") > F.col("clean"))))
     # a word that a document in ten holds counts more than one that a single group of copies holds
-    got = top.orderBy(F.col("word") != "", (F.col("toxic") * F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))).desc(), "word").limit(most + 1).collect()
-    return [r["word"] for r in got if r["word"]]
+    got = top.orderBy(F.col("word") != "", (F.col("toxic") * F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))).desc(), "word").limit(4 * most + 1).collect()
+    # of entries in the same documents, as counts and a common beginning tell, the longest stays
+    kept: dict[tuple, str] = {}
+    for r in got:
+        if r["word"]:
+            key = (r["toxic"], r["clean"], r["word"][:min(STEMS)])
+            kept[key] = max(kept.get(key, ""), r["word"], key=lambda w: (len(w.rstrip("*")), w))
+    return list(kept.values())[:most]
 
 
-def _fit(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> tuple[np.ndarray, float]:
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 800) -> tuple[np.ndarray, float]:
     """L1-penalised logistic weights, never negative (accelerated proximal gradient)."""
-    n, d = x.shape
-    w, bias, v, vb, t = np.zeros(d), np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)), np.zeros(d), 0.0, 1.0
-    vb = bias
-    step = 4 / max(1e-9, float(np.linalg.norm(x, 2) ** 2) / n + 1)
+    share = weight / weight.sum()
+    mean = float(share @ y)
+    bias = float(np.log((mean + 1e-3) / (1 - mean + 1e-3)))
+    w = v = np.zeros(x.shape[1])
+    vb, t = bias, 1.0
+    both = np.column_stack([x, np.ones(len(x))]) * np.sqrt(share)[:, None]
+    step = 4 / max(1e-9, float(np.linalg.norm(both, 2) ** 2))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ v + vb, -30, 30)))
-        g = p - y
-        w2 = np.maximum(0, v - step * (x.T @ g / n + penalty))
-        b2 = vb - step * g.mean()
+        g = (1 / (1 + np.exp(-np.clip(x @ v + vb, -30, 30))) - y) * share
+        w2 = np.maximum(0, v - step * (x.T @ g + penalty))
+        b2 = vb - step * g.sum()
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         v, vb = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - bias)
         w, bias, t = w2, b2, t2
@@ -207,25 +231,29 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions=E
                           pa.list_(pa.struct([("i", pa.int32()), ("k", pa.int32())])))],
                 ["toxic", "n", "h"])
 
-    got = rows.mapInArrow(find, "toxic int, n long, h array<struct<i: int, k: int>>").collect()
+    # rows without a hit are alike whatever their length: only their number counts
+    found = rows.mapInArrow(find, "toxic int, n long, h array<struct<i: int, k: int>>")
+    got = (found.withColumn("n", F.when(F.size("h") > 0, F.col("n")).otherwise(0)).groupBy("toxic", "n", "h")
+           .agg(F.count(F.lit(1)).alias("rows")).collect())
     y = np.array([r["toxic"] for r in got], float)
     if not y.any():
         return Model(exceptions=tuple(exceptions))
     n = np.array([r["n"] for r in got], float)
+    weight = np.array([r["rows"] for r in got], float)
     x = np.zeros((len(got), len(lexicon)))
     for row, r in enumerate(got):
         for h in r["h"]:
             x[row, h["i"]] = np.log1p(h["k"])
     best = None
-    fold_ = np.arange(len(got)) % 4 == 0
-    for power in (0.1, 0.25, 0.5):
+    test = (np.arange(len(got)) % 4 == 0) & (n > 0)
+    for power in POWERS:
         z = x * strength(n, power)[:, None]
-        w, b = _fit(z[~fold_], y[~fold_], 2e-4)
-        p = np.clip(1 / (1 + np.exp(-np.clip(z[fold_] @ w + b, -30, 30))), 1e-6, 1 - 1e-6)
-        loss = -float(np.mean(y[fold_] * np.log(p) + (1 - y[fold_]) * np.log(1 - p)))
+        w, b = _fit(z[~test], y[~test], weight[~test], PENALTY)
+        p = np.clip(1 / (1 + np.exp(-np.clip(z[test] @ w + b, -30, 30))), 1e-6, 1 - 1e-6)
+        loss = -float(weight[test] @ (y[test] * np.log(p) + (1 - y[test]) * np.log(1 - p)))
         if best is None or loss < best[0] - 1e-6:
             best = (loss, power)
-    w, b = _fit(x * strength(n, best[1])[:, None], y, 2e-4)
+    w, b = _fit(x * strength(n, best[1])[:, None], y, weight, PENALTY)
     keep = np.flatnonzero(w > 1e-3)
     return Model(tuple(lexicon[i] for i in keep), tuple(float(w[i]) for i in keep), b, best[1], tuple(exceptions))
 
