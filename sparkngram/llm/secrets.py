@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkngram.llm.common import cut
 from sparkngram.llm.spans import matches
 
 # The base patterns and least lengths.  The lookbehinds only
@@ -42,8 +43,8 @@ def _spans(found: Column, kind: int, value: str = "value") -> Column:
 
 def base_spans(text: Column) -> Column:
     """Base spans by start, then kind."""
-    assign = F.filter(matches(text, ASSIGN, 1), lambda x: F.char_length(x["part"]) >= ASSIGN_CHARS)
-    return F.array_sort(F.concat(_spans(assign, 0, "part"), _spans(matches(text, ACCESS), 1), _spans(matches(text, HEX), 2)).cast(_SPAN))
+    assign = F.filter(matches(text, ASSIGN, 1, (":", "=")), lambda x: F.char_length(x["part"]) >= ASSIGN_CHARS)
+    return F.array_sort(F.concat(_spans(assign, 0, "part"), _spans(matches(text, ACCESS, needs=("AKIA",)), 1), _spans(matches(text, HEX), 2)).cast(_SPAN))
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
@@ -81,7 +82,7 @@ def digest(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 def scan(docs: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, and
     n_live and n_example, the spans whose value one owner or several hold."""
-    found = candidates(docs)
+    found = cut(candidates(docs))  # one pass over the texts; the candidates are few
     own = ownership(found)
     some = F.size(F.concat("base", "more")) > 0
     spread = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

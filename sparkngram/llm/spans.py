@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def matches(text: Column, pattern: str, group: int | None = None) -> Column:
+def matches(text: Column, pattern: str, group: int | None = None, needs: tuple[str, ...] = ()) -> Column:
     """``array<struct<start, end, value[, part]>>``: the leftmost matches, one
     after another without overlap, in code points; ``part`` is a group's text.
     The stretches between matches, as a split by the same pattern gives them,
-    tell where the matches lie.  ``pattern`` must not match the empty text."""
+    tell where the matches lie.  ``pattern`` must not match the empty text.
+    Any match holds one of the strings ``needs``, which are cheaper to seek."""
     quoted = F.lit(pattern)
     found = F.regexp_extract_all(text, quoted, F.lit(0))
     gap = F.transform(F.split(text, pattern, -1), lambda s: F.char_length(s))
@@ -27,4 +30,7 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
         return F.struct((begin + x["s"]).alias("at"), F.concat(acc["out"], F.array(F.struct(*fields).cast(kind))).alias("out"))
 
     none = F.array().cast(f"array<{kind}>")
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["out"])).otherwise(none)
+    likely = text.rlike(pattern)
+    if needs:
+        likely = reduce(lambda a, b: a | b, [text.contains(x) for x in needs]) & likely
+    return F.when(likely, F.aggregate(zipped, start, step, lambda acc: acc["out"])).otherwise(none)
