@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkngram.llm import bpe, chat, decontaminate, neardup, pii, secrets, sharding, toxicity, winnowing
+from sparkngram.llm import bpe, chat, decontaminate, neardup, pii, secrets, sharding, suffix_dedup, toxicity, winnowing
 from sparkngram.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group_documents(documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir))
 
@@ -55,5 +59,5 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_decontamination, op2_near_duplicates, op4_byte_bpe, op5_pii, op6_secrets, op7_toxicity, op8_chat_format, op9_sharding, op10_winnowing)}
+    op1_decontamination, op2_near_duplicates, op3_suffix_dedup, op4_byte_bpe, op5_pii, op6_secrets, op7_toxicity, op8_chat_format, op9_sharding, op10_winnowing)}
 SQL: dict[str, str] = {"op1_decontamination": decontaminate.oracle_sql(), "op9_sharding": sharding.oracle_sql()}
