@@ -398,3 +398,19 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, pattern: str |
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Per row: doc_id, n_tokens, ids, and decoded_sha256, the digest of the
+    bytes that the ids decode to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path, pattern)
+        for b in batches:
+            ids = list(c.batch(b.column(1)))
+            sha = [hashlib.sha256(c.decode(x)).hexdigest() for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(sha, pa.string())],
+                ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")

@@ -309,3 +309,13 @@ def _result(docs: DataFrame, sig: DataFrame, classes: DataFrame, labels: DataFra
         F.nullif(F.col("node"), F.lit(NOBODY)).alias("doc_id"), F.col("n").alias("n_shingles"),
         F.nullif(F.col("grp"), F.lit(NOBODY)).alias("component_id"), (F.col("node") == F.col("grp")).alias("kept"),
         F.when(F.col("n") > 0, F.col("cls")).alias("class_id"))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """One document of each group, all columns as they were: the one with the
+    least doc_id, of its rows the one with the least text (null first).  Rows
+    without a doc_id can't be told apart by it and stay."""
+    stay = group_documents(docs, words, numerator, denominator).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(stay, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    first = named.withColumn("_row", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).where("_row = 1").drop("_row")
+    return first.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -258,8 +258,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions=E
     return Model(tuple(lexicon[i] for i in keep), tuple(float(w[i]) for i in keep), b, best[1], tuple(exceptions))
 
 
-def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of ``docs`` and ``score double``; one pass, no shuffle."""
+def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` and ``name double``; one pass, no shuffle."""
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,9 +271,15 @@ def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
                 found = hits(a, f) if a is not None else Counter()
                 # the length counts only where something was found
                 out.append(model.score(found, len(words(f)) if found else 0))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(out, pa.float64())], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(out, pa.float64())], [*keep, name])
 
-    return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")).mapInArrow(run, f"{fields}, score double")
+    return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")).mapInArrow(run, f"{fields}, `{name}` double")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they were."""
+    scored = score_documents(docs, train(docs, labels, sample), tuple(docs.columns), "_toxicity")
+    return scored.where(F.col("_toxicity") < threshold).drop("_toxicity")
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
