@@ -187,12 +187,20 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(anchor, sub, id, th, start, content) of each segment of the rows
-    (id, th, text, segments); those of hot anchors in ranges of windows, ``sub``
-    being the hash of the bytes that all windows of the range share."""
+    """(anchor, sub, content, places) of the segments of the rows (id, th,
+    text, segments), equal ones of a few megabytes of text in one row; those
+    of hot anchors in ranges of windows, ``sub`` being the hash of the bytes
+    that all windows of the range share."""
+    out: dict[tuple, list] = {}
+    size = 0
+
+    def flush():
+        kind = pa.list_(pa.struct([("id", pa.int64()), ("th", pa.int64()), ("start", pa.int32())]))
+        keys = list(out)
+        cols = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(list(out.values()), kind)], ["anchor", "sub", "content", "places"])
+
     for b in batches:
-        out: list[list] = [[], [], [], [], [], []]
-        size = 0
         for i, (id_, th, found) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist())):
             data = b.column(2)[i].as_buffer().to_pybytes()
             for s in found:
@@ -204,69 +212,81 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
                     for g in range(low // RANGE, high // RANGE + 1):
                         a, z = max(low, g * RANGE), min(high, g * RANGE + RANGE - 1)
                         start = s["start"] + high - z
-                        core = data[s["start"] + high - g * RANGE:s["start"] + high - g * RANGE - RANGE + 1 + length]
-                        mark = int.from_bytes(hashlib.blake2b(core, digest_size=7, salt=g.to_bytes(4, "big", signed=True)).digest(), "big")
-                        cuts.append((start, z - a + 1, mark + 1))
+                        at = s["start"] + s["shift"]  # of the anchor
+                        core = data[max(0, at - g * RANGE):at - g * RANGE - RANGE + 1 + length]
+                        mark = hashlib.blake2b(core, digest_size=7, salt=g.to_bytes(4, "big", signed=True)).digest()
+                        cuts.append((start, z - a + 1, int.from_bytes(mark, "big") + 1))
                 for start, count, sub in cuts:
-                    for c, v in zip(out, (s["anchor"], sub, id_, th, start, data[start:start + count - 1 + length])):
-                        c.append(v)
-                    size += count + length
-            if size > 4_000_000 or i + 1 == b.num_rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "sub", "id", "th", "start", "content"])
-                out, size = [[], [], [], [], [], []], 0
+                    content = data[start:start + count - 1 + length]
+                    out.setdefault((s["anchor"], sub, content), []).append((id_, th, start))
+                    size += len(content)
+            if size > 8_000_000:
+                yield flush()
+                out, size = {}, 0
+    yield flush()
 
 
 def _marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """(id, th, a, b): ranges of repeated windows, from pieces sorted by
-    (anchor, sub).  Whole groups are gathered until their distinct contents
+    (anchor, sub).  A content met twice repeats as a whole, and its places are
+    written out at once; whole groups are gathered until the distinct contents
     fill an index."""
     seen: dict[tuple, int] = {}      # (group, content) -> index
     contents: list[bytes] = []
-    weight: list[int] = []
+    single: list[tuple | None] = []  # the place of a content met once
     several: list[bool] = []         # whether the content's group has others
     group: list[int] = []
-    where: list[tuple] = []          # (id, th, start, index)
+    rows: list[tuple] = []
     size, at = 0, None
 
-    def flush():
-        nonlocal seen, contents, weight, several, group, where, size
-        flags: list = [None] * len(contents)
-        todo = [i for i in range(len(contents)) if several[i]]
-        if todo:
-            for i, f in zip(todo, RunIndex([contents[i] for i in todo]).repeated(length)):
-                flags[i] = f
-        rows: list[tuple] = []
-        for id_, th, start, i in where:
-            n = len(contents[i]) - length + 1
-            for a, z in ([(0, n)] if weight[i] > 1 else runs_of(flags[i]) if flags[i] is not None else []):
-                rows.append((id_, th, start + a, start + z))
-        seen, contents, weight, several, group, where, size = {}, [], [], [], [], [], 0
+    def written():
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], ["id", "th", "a", "b"])
 
+    def judge():
+        todo = [i for i in range(len(contents)) if several[i]]
+        if todo and any(single[i] for i in todo):
+            for i, flags in zip(todo, RunIndex([contents[i] for i in todo]).repeated(length)):
+                if single[i]:
+                    id_, th, start = single[i]
+                    rows.extend((id_, th, start + a, start + z) for a, z in runs_of(flags))
+
     for b in batches:
-        for anchor, sub, id_, th, start, content in zip(*(b.column(i).to_pylist() for i in range(6))):
+        for anchor, sub, content, places in zip(*(b.column(i).to_pylist() for i in range(4))):
             if (anchor, sub) != at:
                 if size > INDEX_BYTES:
-                    yield flush()
+                    judge()
+                    seen, contents, single, several, size = {}, [], [], [], 0
+                if len(rows) > 50_000:
+                    yield written()
+                    rows = []
                 at, group = (anchor, sub), []
-            key = (anchor, sub, content)
-            i = seen.get(key)
+            i = seen.get((anchor, sub, content))
             if i is None:
-                i = seen[key] = len(contents)
+                i = seen[anchor, sub, content] = len(contents)
                 contents.append(content)
-                weight.append(0)
+                single.append(None)
                 several.append(False)
                 group.append(i)
                 size += len(content)
                 if len(group) > 1:
-                    several[i] = True
-                    several[group[0]] = True
-            weight[i] += 1
-            where.append((id_, th, start, i))
-    if where:
-        yield flush()
+                    several[i] = several[group[0]] = True
+                new = len(places) == 1
+                if new:
+                    single[i] = tuple(places[0].values())
+            else:
+                new = False
+                if single[i]:
+                    places = [dict(zip(("id", "th", "start"), single[i])), *places]
+                    single[i] = None
+            if not new:
+                n = len(content) - length + 1
+                rows.extend((p["id"], p["th"], p["start"], p["start"] + n) for p in places)
+                if len(rows) > 50_000:
+                    yield written()
+                    rows = []
+    judge()
+    yield written()
 
 
 def _removed(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -302,7 +322,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int =
     texts = _keyed(docs).repartition(parts, "id", "th")  # one exchange of the texts for both joins below
     mixed = (found.where("mixed").groupBy("id", "th").agg(F.collect_set(F.struct("start", "count", "shift", "anchor", "hot")).alias("found")))
     pieces = (texts.join(mixed, ["id", "th"]).select("id", "th", "text", "found")
-              .mapInArrow(lambda it: _pieces(it, length), "anchor long, sub long, id long, th long, start int, content binary"))
+              .mapInArrow(lambda it: _pieces(it, length), "anchor long, sub long, content binary, places array<struct<id: long, th: long, start: int>>"))
     marks = (pieces.repartition(parts, "anchor", "sub").sortWithinPartitions("anchor", "sub")
              .mapInArrow(lambda it: _marks(it, length), "id long, th long, a int, b int"))
     plain = found.where("not mixed").select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("count")).alias("b"))
