@@ -283,7 +283,10 @@ def group_documents(docs: DataFrame, words: int = WORDS, numerator: int = NUMERA
             break
         most = F.expr("least(m.i, h.i) + least(m.e - m.i, h.e - h.i)")  # shingles that the two may share
         could = most * (numerator + denominator) >= F.expr("m.n + h.n") * numerator
-        pairs = cut(mixed.alias("m").join(hub.alias("h"), F.expr("m.key = h.key and m.grp != h.grp") & could)
+        # of the buckets that a pair shares only the first emits it
+        keys = classes.select("cls", "keys")
+        once = F.expr("array_intersect(m.keys, h.keys)[0] = m.key")
+        pairs = cut(mixed.join(keys, "cls").alias("m").join(hub.join(keys, "cls").alias("h"), F.expr("m.key = h.key and m.grp != h.grp") & could & once)
                     .select(F.least("m.cls", "h.cls").alias("a"), F.greatest("m.cls", "h.cls").alias("b")).distinct())
         met = linked(pairs, sets, numerator, denominator)
         # a hub has met the whole bucket and leaves it
