@@ -35,7 +35,7 @@ from sparkngram.llm.common import id_text
 
 SAMPLE = 12_000       # labelled rows that the fit sees, about
 CANDIDATES = 300      # words that the fit may weigh
-LEAST_DOCS = 5        # toxic documents that a candidate occurs in
+LEAST_DOCS = 3        # toxic documents that a candidate occurs in
 STEMS = (4, 5, 6, 7)  # lengths of stems
 THRESHOLD = 0.7
 PENALTY = 1e-5        # of the L1 fit
