@@ -11,8 +11,8 @@ Two shapes recur in language-model scoring:
 Both split the hottest keys off and serve them with a broadcast hash join.
 The broadcast side is a ``limit(max_hot_keys)`` of keys (times the few
 lookup rows per key), so its size is bounded by construction and never by
-the data.  Everything else goes through the ordinary shuffle join, where
-no key can exceed the hot threshold.
+the data.  Everything else goes through the ordinary shuffle join, where no
+key exceeds the hot threshold unless more than ``max_hot_keys`` keys are hot.
 """
 
 from __future__ import annotations
@@ -72,12 +72,10 @@ def hot_split_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
                    hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``left.join(right, on, how)`` for a lookup ``right`` with few rows per key.
 
-    Both inputs reach this join through their own exchange on ``on``, which
-    is the shape AQE's skew-join rule needs: a hot request key is split
-    into several tasks at run time and the (small) matching lookup
-    partition is replicated to them.  No plan branches are added, so the
-    helper can be nested freely.  ``hot_rows`` / ``max_hot_keys`` are kept
-    for callers that want :func:`split_hot_join` instead.
+    It is a plain join: nothing is split here.  Where both inputs reach it
+    through their own exchange, AQE's skew-join rule can split a hot request
+    key at run time.  The thresholds are not used; :func:`split_hot_join` is
+    the explicit form.
     """
     return left.join(right, list(on), how)
 
@@ -104,19 +102,11 @@ def split_hot_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint into the shared folder named in
-    ``spark.checkpoint.dir``; without one, return ``df`` unchanged (the
-    plan stays lazy rather than writing to a machine-local folder)."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if d:
-            sc.setCheckpointDir(d)
-        elif sc.master.startswith("local"):
-            from sparkngram.session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(spark)  # local run without a configured folder (tests)
-        else:
-            return df
+    ``spark.checkpoint.dir``.  A cluster session without one is refused: a
+    plan that stays lazy could be laid out differently each time it runs."""
+    from sparkngram.session import ensure_checkpoint_dir
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -11,8 +11,10 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="fixtures not pre
 
 def test_registry_complete():
     import __spark_entry__ as ent
-    assert set(ent.queries()) == set(ent.oracle_sql())
-    assert len(ent.queries()) >= 60
+    from sparkngram.plans import registry
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(ent.queries()) and set(ent.oracle_sql()) <= set(ent.queries())
+    assert len(registry.QUERIES) >= 60
 
 
 def test_entry_smoke(spark):
