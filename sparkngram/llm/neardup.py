@@ -48,6 +48,7 @@ BANDS, ROWS = 24, 4
 HUBS = 512            # members that a bucket compares with the rest in one round
 NOBODY = -(1 << 63)   # stands for a null doc_id
 PER_SALT = 500        # comparisons of one hub that a task gets, about
+SPREAD = 256          # parts that the comparisons of one hub are counted and salted in
 FILTER = 1 << 18      # buckets of the broadcast that spares needless shuffling
 ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -223,8 +224,12 @@ def linked(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)], ["a", "b", "both", "link"])
 
-    per_hub = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PER_SALT)).cast("int").alias("salts"))
-    members = (pairs.join(per_hub, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
+    # a hub may hold a third of all pairs: only its parts, SPREAD at most, meet the number of its salts
+    split = pairs.withColumn("part", F.pmod(F.xxhash64("b", F.lit(1)), F.lit(SPREAD)).cast("int"))
+    parts = split.groupBy("a", "part").agg(F.count(F.lit(1)).alias("k"))
+    per_hub = parts.groupBy("a").agg(F.ceil(F.sum("k") / F.lit(PER_SALT)).cast("int").alias("salts"))
+    members = (split.join(parts.select("a", "part").join(per_hub, "a"), ["a", "part"])
+               .withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
                .join(sets, F.col("b") == F.col("cls")).select("a", "salt", "b", "hashes"))
     hubs = (per_hub.join(sets, F.col("a") == F.col("cls"))
             .select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "hashes"))
