@@ -112,15 +112,19 @@ def line_contexts(lines: DataFrame, m: int, group: str = "dataset", line: str =
         x = x.select(group, "_w", words_fn(F.col("_w")).alias("_v"))
         nz = F.filter(F.transform(F.col("_v"), lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda s: s["v"] != F.lit(""))
         x = x.where(F.size("_w") >= 2).select(group, "_w", nz.alias("_nz"))
-
-        def ctx_at(p):
-            before = F.filter(F.col("_nz"), lambda s: s["i"] < p)
-            n = F.size(before)
-            tail = F.slice(before, F.greatest(n - F.lit(k) + 1, F.lit(1)), F.least(n, F.lit(k)))
-            return F.array_join(F.transform(tail, lambda s: s["v"]), " ")
-
-        pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda p: F.struct(
-            ctx_at(p).alias("ctx"), F.lower(F.element_at(F.col("_w"), p + 1)).alias("next_word")))
+        last = F.size("_w") - 2
+
+        def run_after(j):
+            """The pairs whose prefix holds the first ``j`` views: one context,
+            from behind the j-th view to the next one."""
+            tail = F.slice(F.col("_nz"), F.greatest(j - F.lit(k) + 1, F.lit(1)), F.least(j, F.lit(k)))
+            ctx = F.array_join(F.transform(tail, lambda s: s["v"]), " ")
+            lo = F.when(j > 0, F.get(F.col("_nz"), j - 1)["i"] + 1).otherwise(F.lit(0))
+            hi = F.least(F.when(j < F.size("_nz"), F.get(F.col("_nz"), j)["i"]).otherwise(last), last)
+            at = F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi))).otherwise(F.array().cast("array<int>"))
+            return F.transform(at, lambda p: F.struct(ctx.alias("ctx"), F.lower(F.element_at(F.col("_w"), p + 1)).alias("next_word")))
+
+        pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_nz")), run_after))
         x = x.select(group, F.explode(pairs).alias("pr"))
     return (x.select(group, F.col("pr.ctx").alias("ctx"), F.col("pr.next_word").alias("next_word"))
             .groupBy(group, "ctx", "next_word").agg(F.count(F.lit(1)).alias("cnt")))

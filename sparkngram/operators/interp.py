@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 def ml_components(counts: DataFrame, test: DataFrame) -> DataFrame:
     """``test(a, b, c, cnt)`` -> ``+ p3, p2, p1`` maximum-likelihood terms.
-    Test trigrams whose last word is out of vocabulary are dropped."""
+    A test trigram whose last word is out of vocabulary keeps its row, with a
+    null ``p1``."""
     uni = counts.where(F.col("n") == 1).select(F.col("word").alias("c"), F.col("freq").alias("cc"))
     total = uni.agg(F.sum("cc").alias("N"))
     big = counts.where(F.col("n") == 2).select("word", "freq")
@@ -23,7 +24,7 @@ def ml_components(counts: DataFrame, test: DataFrame) -> DataFrame:
     t = test.withColumn("ab", F.concat_ws("_", "a", "b")).withColumn("bc", F.concat_ws("_", "b", "c")) \
         .withColumn("abc", F.concat_ws("_", "a", "b", "c"))
     ub = uni.select(F.col("c").alias("b"), F.col("cc").alias("cb_"))
-    t = (t.join(uni, "c", "inner")
+    t = (t.join(uni, "c", "left")
          .join(ub, "b", "left")
          .join(big.select(F.col("word").alias("ab"), F.col("freq").alias("cab")), "ab", "left")
          .join(big.select(F.col("word").alias("bc"), F.col("freq").alias("cbc")), "bc", "left")
@@ -44,11 +45,13 @@ def lambda_grid(spark, step: int = 10) -> DataFrame:
 
 
 def interpolate(comp: DataFrame, grid: DataFrame) -> DataFrame:
-    """Per grid point: log-likelihood, predictions and perplexity."""
+    """Per grid point: log-likelihood, predictions and perplexity over targets
+    of the vocabulary, and ``oov``, the number of predictions outside it."""
     p = F.col("l1") * F.col("p3") + F.col("l2") * F.col("p2") + F.col("l3") * F.col("p1")
-    x = comp.crossJoin(F.broadcast(grid)).select("l1", "l2", "l3", "cnt", (F.col("cnt") * F.log(p)).alias("ll"))
-    g = x.groupBy("l1", "l2", "l3").agg(F.sum("ll").alias("loglik"), F.sum("cnt").alias("n"))
-    return g.withColumn("perplexity", F.exp(-F.col("loglik") / F.col("n")))
+    x = comp.crossJoin(F.broadcast(grid)).select("l1", "l2", "l3", "cnt", F.col("p1").isNotNull().alias("known"), (F.col("cnt") * F.log(p)).alias("ll"))
+    g = x.groupBy("l1", "l2", "l3").agg(F.sum("ll").alias("loglik"), F.sum(F.when(F.col("known"), F.col("cnt")).otherwise(0)).alias("n"),
+                                         F.sum(F.when(~F.col("known"), F.col("cnt")).otherwise(0)).alias("oov"))
+    return g.withColumn("perplexity", F.exp(F.try_divide(-F.col("loglik"), F.col("n"))))
 
 
 def best_lambda(scored: DataFrame) -> DataFrame:

@@ -23,9 +23,11 @@ from sparkngram.operators.ngrams import SEP, top_by_group
 from pyspark.sql.window import Window
 from sparkngram.plans.joins import hot_split_join
 
-# Fixed values that must equal the reference's: default words.
+# Fixed values that must equal the reference's: default words and the
+# message for a phrase without a hit.
 EVAL_DEFAULTS = ("the", "on", "a")   # evaluation harness / constant baseline
 APP_DEFAULTS = ("the", "to", "and")  # interactive app
+NO_MATCH = "Sorry! Cannot Find it!"
 
 
 def last_words(words: Column, n: int, sep: str = " ") -> Column:
@@ -64,13 +66,14 @@ def _rank_keep_first(cand: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
 def predict_sbo(q: DataFrame, model: DataFrame, keys: Sequence[str], words: str = "words", m: int = 3,
                 k: int = 3, per_level: int = 3, fill: str = "defaults",
                 defaults: Sequence[str] = EVAL_DEFAULTS, first_hit_only: bool = False,
-                empty: Column | None = None) -> DataFrame:
+                empty: Column | None = None, message: str | None = None) -> DataFrame:
     """Stupid-backoff prediction for every row of ``q``.
 
     * G2 ``fill='defaults'``: suffix levels, then pad with ``defaults``;
     * G3 ``fill='unigram'``: the model's top unigrams as the last level;
     * G4 ``first_hit_only``: stop at the highest level with any hit;
-    * G6/G7 ``k=5, per_level=5, fill='none'``.
+    * G6/G7 ``k=5, per_level=5, fill='none'``; with ``message`` a phrase
+      without a hit keeps one row, rank 0, whose word is the message.
 
     ``empty`` (a boolean column of ``q``) marks phrases answered with the
     default words alone (the reference's ``raw == ""`` branch).
@@ -96,7 +99,12 @@ def predict_sbo(q: DataFrame, model: DataFrame, keys: Sequence[str], words: str
         elif fill == "defaults":
             cand = cand.unionByName(_defaults_rows(q.where(~F.col("_empty")), keys, defaults))
     cand = cand.unionByName(_defaults_rows(q.where(F.col("_empty")), keys, defaults))
-    return _rank_keep_first(cand, keys, k)
+    found = _rank_keep_first(cand, keys, k)
+    if message is None:
+        return found
+    none = q.select(*keys).join(found.select(*keys).distinct(), keys, "left_anti")
+    return found.unionByName(none.select(*keys, F.lit(message).alias("word"), F.lit(None).cast("int").alias("level"),
+                                         F.lit(None).cast("double").alias("score"), F.lit(0).alias("rnk")))
 
 
 def baseline(q: DataFrame, keys: Sequence[str], defaults: Sequence[str] = EVAL_DEFAULTS) -> DataFrame:
@@ -156,9 +164,9 @@ def freq_clusters(q: DataFrame, counts: DataFrame, gt: DataFrame, keys: Sequence
     found = hs.join(tot, ["lvl", "h"], "inner")
     best = found.groupBy(*keys).agg(F.max("lvl").alias("lvl"))
     chosen = found.join(best, [*keys, "lvl"], "inner")
-    rows = chosen.join(tab, ["lvl", "h"], "inner")
-    rows = rows.withColumn("crank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col("freq").desc())))
-    rows = rows.where(F.col("crank") <= F.lit(cluster))
+    # the rank hangs on the history alone: the table is cut before any request meets it
+    ranked = tab.withColumn("crank", F.dense_rank().over(Window.partitionBy("lvl", "h").orderBy(F.col("freq").desc())))
+    rows = chosen.join(ranked.where(F.col("crank") <= F.lit(cluster)), ["lvl", "h"], "inner")
     rs = gt.where((F.col("r") >= 1) & (F.col("r") <= 5)).select((F.col("n") - 1).alias("lvl"), F.col("r").alias("freq"), "r_star")
     rows = rows.join(F.broadcast(rs), ["lvl", "freq"], "left")  # <= 15 rows
     adj = F.when(F.col("freq") <= 5, F.col("r_star")).otherwise(F.col("freq").cast("double"))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.operators.ngrams import top_by_group
-from sparkngram.plans.joins import attach_group_totals
 
 
 def top_log(counts: DataFrame, k: int = 30) -> DataFrame:
@@ -90,12 +89,15 @@ def keyness(d: DataFrame, flag: str) -> DataFrame:
 
 def collocations(counts: DataFrame, min_count: int = 100) -> DataFrame:
     """Two-word collocations with log odds ratio ``lambda`` (0.5
-    smoothing) and ``z = lambda / sigma``."""
+    smoothing) and ``z = lambda / sigma``.  ``counts`` is read four times:
+    pass a stored table."""
     big = counts.where(F.col("n") == 2).select("word", "w", "pred", F.col("freq").alias("n11"))
-    x = attach_group_totals(big, ["w"], [F.sum("n11").alias("r1")])
-    x = attach_group_totals(x, ["pred"], [F.sum("n11").alias("c1")])
-    tot = big.agg(F.sum("n11").alias("N"))
-    x = x.where(F.col("n11") >= F.lit(min_count)).crossJoin(F.broadcast(tot))
+    # only pairs that reach min_count meet their marginals
+    x = big.where(F.col("n11") >= F.lit(min_count))
+    x = x.join(big.groupBy("w").agg(F.sum("n11").alias("r1")), "w")
+    x = x.join(big.groupBy("pred").agg(F.sum("n11").alias("c1")), "pred")
+    tot = big.agg(F.sum("n11").alias("N"))  # one row
+    x = x.crossJoin(F.broadcast(tot))
     n11 = F.col("n11") + 0.5
     n12 = F.col("r1") - F.col("n11") + 0.5
     n21 = F.col("c1") - F.col("n11") + 0.5

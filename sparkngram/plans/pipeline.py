@@ -56,10 +56,10 @@ def katz_inputs(spark: SparkSession, sf_dir: str, mat: bool = False):
     return counts, gt_table(counts, (1, 2, 3))
 
 
-def katz_model(spark: SparkSession, sf_dir: str):
+def katz_model(spark: SparkSession, sf_dir: str, k: int = 3):
     from sparkngram.operators.katz import KatzModel
     counts, gt = katz_inputs(spark, sf_dir, mat=True)
-    return KatzModel(counts, gt, materialize=materialize)
+    return KatzModel(counts, gt, k, materialize=materialize)
 
 
 def katz_context_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

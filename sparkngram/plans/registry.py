@@ -77,6 +77,20 @@ def q_clean_eval(spark, sf):
     return corpus.heldout_clean(spark, sf).withColumn("line_no", F.col("line_no").cast("long"))
 
 
+@query("heldout_fingerprint", O.ctes(_HELD_NUMBERED) +
+       " SELECT dataset, CAST(sum(CAST('0x' || substr(md5(raw), 1, 14) AS BIGINT)) AS VARCHAR) AS hash, count(*) AS lines "
+       "FROM hn GROUP BY dataset")
+def q_heldout_fingerprint(spark, sf):
+    """A2 + the hash of H3: one order-free fingerprint per held-out set."""
+    return corpus.line_set_fingerprint(corpus.heldout_lines(spark, sf), "dataset")
+
+
+@query("matching_lines", O.ctes(O.train_lines()) + " SELECT DISTINCT line FROM lines WHERE contains(line, 'the')")
+def q_matching_lines(spark, sf):
+    """Distinct English lines with a given substring."""
+    return corpus.matching_lines(corpus.training_lines(spark, sf), "the")
+
+
 @query("tokens", O.ctes(_NUMBERED_LINES) +
        f" SELECT doc_id, line_no, CAST(len({T.tokens(T.clean_train('line'))}) AS BIGINT) AS n_tokens, "
        f"array_to_string({T.tokens(T.clean_train('line'))}, ' ') AS tokens FROM nl")
@@ -224,6 +238,14 @@ def q_predict_katz(spark, sf):
     return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", r9(F.col("score")).alias("score"))
 
 
+@query("predict_katz_top5", O.ctes(*_KATZ, O.heldout_clean(), O.pairs(3), _KCTX, O.katz_predictions("kpairs", k=5)) +
+       " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word, round(score, 9) AS score FROM kpreds")
+def q_predict_katz_top5(spark, sf):
+    """Five Katz suggestions per phrase (the trigram form of G12)."""
+    p = K.predict_katz(_katz_ctx(spark, sf), PL.katz_model(spark, sf, 5), ["ctx"], "words", k=5, empty=F.col("empty"))
+    return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", r9(F.col("score")).alias("score"))
+
+
 @query("eval_katz", O.ctes(*_KATZ, O.heldout_clean(), O.pairs(3),
                            "kcp AS (SELECT dataset, CASE WHEN len(cw) = 0 THEN '' ELSE array_to_string(cw[len(cw) - least(len(cw), 2) + 1 : len(cw)], ' ') END AS ctx, "
                            "next_word, count(*) AS cnt FROM (SELECT dataset, lower(next_word) AS next_word, "
@@ -528,7 +550,7 @@ def q_keyness(spark, sf):
        "sqrt(1 / (n11 + 0.5) + 1 / (r1 - n11 + 0.5) + 1 / (c1 - n11 + 0.5) + 1 / (N - r1 - c1 + n11 + 0.5)), 9) AS z "
        "FROM cx WHERE n11 >= 100")
 def q_collocations(spark, sf):
-    c = ST.collocations(PL.ngram_counts(spark, sf, (2,), 1), 100)
+    c = ST.collocations(PL.materialize(PL.ngram_counts(spark, sf, (2,), 1)), 100)
     return c.select("collocation", "count", r9(F.col("lambda")).alias("lambda"), r9(F.col("z")).alias("z"))
 
 
@@ -594,11 +616,12 @@ _ITEST = ("itest AS (SELECT split_part(ctx, ' ', 1) AS a, split_part(ctx, ' ', 2
           "FROM cpairs WHERE ctx LIKE '% %' GROUP BY ALL)",
           "icomp AS (SELECT t.a, t.b, t.c, t.cnt, coalesce(abc.freq / ab.freq, 0) AS p3, coalesce(bc.freq / ub.freq, 0) AS p2, "
           "uc.freq / (SELECT sum(freq) FROM kcounts WHERE n = 1) AS p1 FROM itest t "
-          "JOIN kcounts uc ON uc.n = 1 AND uc.word = t.c LEFT JOIN kcounts ub ON ub.n = 1 AND ub.word = t.b "
+          "LEFT JOIN kcounts uc ON uc.n = 1 AND uc.word = t.c LEFT JOIN kcounts ub ON ub.n = 1 AND ub.word = t.b "
           "LEFT JOIN kcounts ab ON ab.n = 2 AND ab.word = t.a || '_' || t.b LEFT JOIN kcounts bc ON bc.n = 2 AND bc.word = t.b || '_' || t.c "
           "LEFT JOIN kcounts abc ON abc.n = 3 AND abc.word = t.a || '_' || t.b || '_' || t.c)")
 _INTERP = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"), O.heldout_clean(), O.pairs(3), *_ITEST, _GRID,
-           "isc AS (SELECT l1, l2, l3, sum(cnt * ln(l1 * p3 + l2 * p2 + l3 * p1)) AS loglik, CAST(sum(cnt) AS BIGINT) AS n FROM icomp, grid GROUP BY l1, l2, l3)")
+           "isc AS (SELECT l1, l2, l3, sum(cnt * ln(l1 * p3 + l2 * p2 + l3 * p1)) AS loglik, CAST(coalesce(sum(cnt) FILTER (WHERE p1 IS NOT NULL), 0) AS BIGINT) AS n, "
+           "CAST(coalesce(sum(cnt) FILTER (WHERE p1 IS NULL), 0) AS BIGINT) AS oov FROM icomp, grid GROUP BY l1, l2, l3)")
 
 
 def _interp_scored(spark, sf):
@@ -611,10 +634,10 @@ def _interp_scored(spark, sf):
 
 
 @query("interp", O.ctes(*_INTERP) +
-       " SELECT l1, l2, l3, round(loglik, 6) AS loglik, n, round(exp(-loglik / n), 6) AS perplexity FROM isc")
+       " SELECT l1, l2, l3, round(loglik, 6) AS loglik, n, oov, round(exp(-loglik / n), 6) AS perplexity FROM isc")
 def q_interp(spark, sf):
     s = _interp_scored(spark, sf)
-    return s.select("l1", "l2", "l3", F.round("loglik", 6).alias("loglik"), "n", F.round("perplexity", 6).alias("perplexity"))
+    return s.select("l1", "l2", "l3", F.round("loglik", 6).alias("loglik"), "n", "oov", F.round("perplexity", 6).alias("perplexity"))
 
 
 @query("interp_best", O.ctes(*_INTERP) +
@@ -644,11 +667,20 @@ def q_predict_first_hit(spark, sf):
                                                                empty=F.col("empty")))
 
 
-@query("predict_top5", O.ctes(*_EVAL, O.sbo_variant("none", k=5, per_level=5)) + " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+@query("predict_top5", O.ctes(*_EVAL, O.sbo_variant("none", k=5, per_level=5)) + " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds "
+       f"UNION ALL SELECT ctx, 0, '{P.NO_MATCH}' FROM vctx WHERE ctx NOT IN (SELECT ctx FROM vpreds)")
 def q_predict_top5(spark, sf):
-    """Five suggestions, no padding (phrases without a hit get none)."""
+    """Five suggestions, no padding; a phrase without a hit gets the message."""
     model = PL.sbo_lookup(spark, sf)
     return _ctx_predictions(spark, sf, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, k=5, per_level=5, fill="none",
+                                                               empty=F.col("empty"), message=P.NO_MATCH))
+
+
+@query("predict_top5_unigram", O.ctes(*_EVAL, O.sbo_variant("unigram", k=5, per_level=5)) + " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, word FROM vpreds")
+def q_predict_top5_unigram(spark, sf):
+    """Five suggestions from trigrams, bigrams, then unigrams."""
+    model = PL.sbo_lookup(spark, sf)
+    return _ctx_predictions(spark, sf, lambda c: P.predict_sbo(c, model, ["ctx"], m=3, k=5, per_level=5, fill="unigram",
                                                                empty=F.col("empty")))
 
 
@@ -719,6 +751,21 @@ def q_blocklist_features(spark, sf):
     return FT.remove_listed_features(c, words).select(F.col("n").cast("long").alias("n"), "word", "freq")
 
 
+@query("unk_tokens", O.ctes(_NUMBERED_LINES,
+                            f"ut AS (SELECT doc_id, line_no, {T.tokens(T.clean_train('line'))} AS t FROM nl)",
+                            "ux AS (SELECT doc_id, line_no, unnest(t) AS w, unnest(range(len(t))) AS i FROM ut)",
+                            "uv AS (SELECT w FROM ux GROUP BY w HAVING count(*) >= 5)",
+                            "us AS (SELECT doc_id, line_no, string_agg(coalesce(uv.w, 'UNK'), ' ' ORDER BY i) AS tokens "
+                            "FROM ux LEFT JOIN uv ON uv.w = ux.w GROUP BY doc_id, line_no)") +
+       " SELECT ut.doc_id, ut.line_no, coalesce(us.tokens, '') AS tokens FROM ut LEFT JOIN us "
+       "ON us.doc_id = ut.doc_id AND us.line_no = ut.line_no")
+def q_unk_tokens(spark, sf):
+    """Words seen fewer than five times become UNK."""
+    t = PL.train_tokens(spark, sf)
+    r = FT.unk_tokens(t, ["doc_id", "line_no"], "tokens", FT.vocabulary(t, "tokens", 5))
+    return r.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.array_join("tokens", " ").alias("tokens"))
+
+
 @query("dfm_prop", O.ctes(*_TRAIN, _DFM) +
        " SELECT doc_id, feature, count, round(count / sum(count) OVER (PARTITION BY doc_id), 9) AS prop "
        "FROM (SELECT doc_id, feature, sum(count) AS count FROM dfm GROUP BY doc_id, feature) d")

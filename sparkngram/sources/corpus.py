@@ -69,21 +69,16 @@ def heldout_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                     C.clean_eval_by(F.col("line"), F.col("dataset")).alias("line"))
 
 
-def line_set_fingerprint(df: DataFrame, group: str, order: list[str], line: str = "line") -> DataFrame:
-    """A2 for a small set: SHA-256 of all lines, in ``order``, joined by ``||``.
-
-    The lines of one set are gathered into one value by definition of the
-    checksum; use :func:`line_set_xor` for large sets.
-    """
-    s = F.struct(*[F.col(c) for c in order], F.col(line).alias("_l"))
-    return (df.groupBy(group).agg(F.sort_array(F.collect_list(s)).alias("_a"))
-            .select(group, F.sha2(F.array_join(F.transform("_a", lambda x: x["_l"]), "||"), 256).alias("hash")))
+def line_set_fingerprint(df: DataFrame, group: str, line: str = "line") -> DataFrame:
+    """A2: order-free fingerprint of a line set of any size, the sum of the
+    lines' hashes (partial aggregation; repeated lines count each time)."""
+    part = F.conv(F.substring(F.md5(F.col(line)), 1, 14), 16, 10).cast("decimal(20,0)")
+    return df.groupBy(group).agg(F.sum(part).cast("string").alias("hash"), F.count(F.lit(1)).alias("lines"))
 
 
-def line_set_xor(df: DataFrame, group: str, line: str = "line") -> DataFrame:
-    """Order-free fingerprint of a line set of any size (bit-xor of hashes)."""
-    return df.groupBy(group).agg(F.bit_xor(F.xxhash64(F.col(line))).alias("fingerprint"),
-                                 F.count(F.lit(1)).alias("lines"))
+def matching_lines(lines: DataFrame, substring: str, line: str = "line") -> DataFrame:
+    """The distinct lines that contain ``substring``."""
+    return lines.where(F.col(line).contains(substring)).select(line).distinct()
 
 
 def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,9 +11,10 @@ count merging (K2).
   Each micro-batch is counted (partial aggregation) and written as a delta
   keyed by its batch id; the table is the sum of the deltas on read.
 
-Both keep their checkpoints and sinks under the shared checkpoint folder
-(``spark.checkpoint.dir``), so a restarted query resumes exactly where it
-stopped after an executor or driver loss.
+Both keep their checkpoint and sink under ``work``, a folder of the caller's
+choice on shared storage: a job started again with the same folder resumes
+where the last one stopped and reads only what has arrived since.  Without it
+a run of its own is made under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -42,16 +43,18 @@ def _file_stream(spark: SparkSession, path: str, schema: str, max_files: int | N
     return r.parquet(path)
 
 
-def _work_dir(spark: SparkSession, name: str) -> str:
+def _work_dir(spark: SparkSession, name: str, work: str | None) -> str:
+    if work:
+        return work.rstrip("/")
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stream_ngram_counts(spark: SparkSession, path: str, schema: str, text_col: str, orders=(1, 2),
-                        where: str | None = None, max_files_per_trigger: int = 1) -> DataFrame:
+                        where: str | None = None, max_files_per_trigger: int = 1, work: str | None = None) -> DataFrame:
     """K2: run the stream to completion (availableNow) and return the
     merged count table ``(n, word, freq)``."""
-    work = _work_dir(spark, "counts")
+    work = _work_dir(spark, "counts", work)
     src = _file_stream(spark, path, schema, max_files_per_trigger)
     if where:
         src = src.where(where)
@@ -78,10 +81,10 @@ def read_counts(spark: SparkSession, deltas: str) -> DataFrame:
 
 
 def stream_predictions(spark: SparkSession, path: str, schema: str, model: DataFrame, key_cols: list[str],
-                       text_col: str, where: str | None = None, m: int = 3, k: int = 3) -> DataFrame:
+                       text_col: str, where: str | None = None, m: int = 3, k: int = 3, work: str | None = None) -> DataFrame:
     """K1: score every arriving phrase (C17 cleaning, stupid backoff with
     the app's unigram fill) and return the appended predictions."""
-    work = _work_dir(spark, "predict")
+    work = _work_dir(spark, "predict", work)
     src = _file_stream(spark, path, schema)
     if where:
         src = src.where(where)

@@ -28,7 +28,9 @@ def test_entry_smoke(spark):
         assert 0 <= r.score <= r.max_score and r.hit_count_top1 <= r.hit_count_top3 <= r.total_count
 
 
-@pytest.mark.parametrize("name", ["eval_dataset", "sbo_top5", "freq_of_freq", "kn_bigram", "sample_lines"])
+@pytest.mark.parametrize("name", ["eval_dataset", "sbo_top5", "freq_of_freq", "kn_bigram", "sample_lines", "collocations",
+                                  "predict_top5", "predict_top5_unigram", "predict_katz_top5", "heldout_fingerprint",
+                                  "matching_lines", "unk_tokens", "interp"])
 def test_against_duckdb(spark, name):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__ as ent
