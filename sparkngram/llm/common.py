@@ -14,15 +14,25 @@ from sparkngram.session import ensure_checkpoint_dir
 # Text bytes that one vectorised step holds at a time (one longer text is a
 # step of its own).
 CHUNK_BYTES = 1 << 20
+# Rows of an Arrow batch of texts, unless the session sets a number of its own:
+# Spark's default of 10,000 rows of long texts would not fit beside others.
+BATCH_ROWS, BATCH_KEY, BATCH_DEFAULT = 500, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows where the session has Spark's default."""
+    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """The two columns an operator reads, whatever else the table holds; a
     null text counts as the empty text."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkngram.llm.common import id_text
+from sparkngram.llm.common import bounded_batches, id_text
 
 SAMPLE = 12_000       # labelled rows that the fit sees, about
 CANDIDATES = 300      # words that the fit may weigh
@@ -260,20 +260,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions=E
 
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """``keep`` columns of ``docs`` and ``name double``; one pass, no shuffle."""
+    bounded_batches(docs.sparkSession)
+    # a text that is kept anyway is sent once
+    once = "text" in keep and docs.schema["text"].dataType.simpleString() == "string"
+    at = keep.index("text") if once else len(keep)
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(model.lexicon, model.exceptions) if model.lexicon else None
         for b in batches:
             out = []
-            for t in b.column(len(keep)):
-                f = fold(t.as_py())
+            for t in b.column(at):
+                f = fold(t.as_py() or "")
                 found = hits(a, f) if a is not None else Counter()
                 # the length counts only where something was found
                 out.append(model.score(found, len(words(f)) if found else 0))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(out, pa.float64())], [*keep, name])
 
-    return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")).mapInArrow(run, f"{fields}, `{name}` double")
+    read = docs.select(*keep) if once else docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    return read.mapInArrow(run, f"{fields}, `{name}` double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
