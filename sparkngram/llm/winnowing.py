@@ -5,7 +5,9 @@ consecutive k-grams the least hash is selected, the rightmost one on ties,
 and its byte position kept.  Any two texts that share w + k - 1 bytes share a
 selected hash, and a selected gram of one text is found in the other at the
 positions kept.  A fingerprint is written as hex, 16 digits per entry: 8 for
-the position, 8 for the hash.
+the position, 8 for the hash.  With K = 8 and W = 16 any 23 bytes shared are
+found, and a text of 23 bytes or more has several windows; a shorter one is a
+single window, so a single entry.  About 2 of W + 1 grams are selected.
 
 Edge cases: a null text is the empty text, whose fingerprint is empty; a text
 shorter than k bytes is one gram; a text with fewer than ``w`` grams is one
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sparkngram.llm.common import chunks, id_text, prefix_hash, span_hash
 
-K, W = 32, 100
+K, W = 8, 16
 LOWEST = -(1 << 63)
 FAR = np.uint64(0xFFFFFFFF)
 

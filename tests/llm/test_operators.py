@@ -394,6 +394,15 @@ def test_winnowing(docs, empty, parts):
     assert W.compare_neighbours(empty).count() == 0
 
 
+def test_winnowing_short_texts(spark):
+    """Texts of 40 to 130 bytes, three quarters of them unchanged, are alike in part."""
+    from sparkngram.llm import winnowing as W
+    rows = [(i, lorem(40, f"short{i}")[:40 + i]) for i in range(90)]
+    got = W.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 90 and sum(0 < r.near_edited < 1 for r in got) >= 85
+    assert all(len(r.fingerprint) >= 32 for r in got)
+
+
 # all ----------------------------------------------------------------
 
 def test_queries_and_pipeline(spark, tmp_path):
