@@ -2,11 +2,12 @@
 
 Base spans come from three fixed patterns.  The method judges each candidate
 value over the whole corpus: the value's hash is aggregated by distinct owners
-(the ``source`` of a document) and repositories (documents).  A value that
-several owners hold is a widely copied example; one that a single owner holds,
-in few repositories, looks live.  It also adds spans: high-entropy tokens
-(letters of both cases and digits, ENTROPY_CHARS or more) outside the base
-spans that belong to one owner only, kind ``entropy``.
+(the ``source`` of a document) and repositories (documents, told apart by
+doc_id and text).  A value that several owners hold, or one owner in
+WIDE_REPOSITORIES documents or more, is a widely copied example; one that a
+single owner holds in fewer looks live.  It also adds spans: high-entropy
+tokens (letters of both cases and digits, ENTROPY_CHARS or more) outside the
+base spans that look live, kind ``entropy``.
 
 Edge cases: a null text is the empty text; a null source is an owner of its
 own, null; rows come out one for one, repeated ids included (a repeated
@@ -32,6 +33,7 @@ ENTROPY_CHARS = 28
 ENTROPY = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,200}[0-9])(?=[A-Za-z0-9+/_-]{0,200}[A-Z])(?=[A-Za-z0-9+/_-]{0,200}[a-z])[A-Za-z0-9+/_-]{28,}"
 KINDS = ("assign", "access", "hex", "entropy")
 WIDE_OWNERS = 2       # owners from which on a value is a copied example
+WIDE_REPOSITORIES = 10  # one owner's documents from which on it is, too
 SALTS = 16
 _SPAN = "array<struct<start: int, kind: int, end: int, value: string>>"
 
@@ -66,8 +68,8 @@ def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repositories) of each candidate value: distinct
     owners and documents, counted pair by pair first, so that a value in a
     third of all rows is summed up before it meets itself."""
-    values = found.select("owner", "doc_id", F.explode(F.concat("base", "more")).alias("s"))
-    pairs = values.select(F.xxhash64("s.value").alias("hash"), "owner", "doc_id").distinct()
+    values = found.select("owner", "doc_id", "text_hash", F.explode(F.concat("base", "more")).alias("s"))
+    pairs = values.select(F.xxhash64("s.value").alias("hash"), "owner", "doc_id", "text_hash").distinct()
     by_owner = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("docs"))
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("docs").alias("n_repositories"))
 
@@ -79,9 +81,9 @@ def digest(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
                                                                  x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, wide_owners: int = WIDE_OWNERS, wide_repositories: int = WIDE_REPOSITORIES) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, and
-    n_live and n_example, the spans whose value one owner or several hold."""
+    n_live and n_example, the spans whose value looks live or is an example."""
     found = cut(candidates(docs))  # one pass over the texts; the candidates are few
     own = ownership(found)
     some = F.size(F.concat("base", "more")) > 0
@@ -89,7 +91,7 @@ def scan(docs: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
     each = (found.where(some).select("doc_id", "owner", "text_hash", F.explode(F.concat("base", "more")).alias("s"))
             .withColumn("hash", F.xxhash64("s.value")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
             .join(spread, ["hash", "salt"]))
-    live = F.col("n_owners") < wide_owners
+    live = (F.col("n_owners") < wide_owners) & (F.col("n_repositories") < wide_repositories)
     # repeated rows give repeated spans: distinct ones are collected, and every row gets them all
     judged = each.groupBy("doc_id", "owner", "text_hash").agg(
         F.array_sort(F.collect_set(F.when((F.col("s.kind") < 3) | live, F.struct("s.start", "s.kind", "s.end", live.alias("live"))))).alias("all"))

@@ -279,6 +279,20 @@ def test_secrets(spark, docs, empty):
     assert own[0] == (0, 1) and own[99] == (1, 0) and own[100] == (1, 0)
 
 
+def test_secrets_of_one_source(spark):
+    """A value in many documents of one source is an example, in a few it looks live."""
+    from sparkngram.llm import secrets
+    wide, few, token = "token=copiedwide1", "token=infewplaces", "Zq3fGh7Lm2Xw9Rt4Vb8Nk1Pc6Dj5Ys"
+    rows = [(i, f"{wide} number {i} {token}", "big") for i in range(secrets.WIDE_REPOSITORIES)]
+    rows += [(100 + i, f"{few} number {i}", "big") for i in range(secrets.WIDE_REPOSITORIES - 1)] * 3
+    rows += [(None, f"token=withoutids {i}", "big") for i in range(secrets.WIDE_REPOSITORIES)] + [(200, token[::-1], "big")]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        live = r.doc_id is not None and r.doc_id >= 100
+        assert (r.n_live, r.n_example) == (int(live), int(not live)) and ("entropy" in r.spans) == (r.doc_id == 200)
+
+
 # 7 ------------------------------------------------------------------
 
 def test_toxicity(spark, docs, empty):
