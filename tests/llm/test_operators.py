@@ -130,6 +130,18 @@ def test_near_duplicates_chain(spark):
     assert set(got.values()) == {0}
 
 
+def test_keep_one_with_repeated_ids(spark):
+    """Texts that only share a doc_id stay; each group of alike texts keeps one row."""
+    from sparkngram.llm import neardup as N
+    a, b, c, d = (lorem(40, f"text{i}") for i in range(4))
+    rows = [(5, a), (5, b), (5, b), (9, b), (9, ""), (9, c), (5, ""), (7, c + " end"), (None, d), (None, a + " end"), (8, d)]
+    kept = N.keep_one(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n int"), 5, 80, 100)
+    assert kept.columns == ["doc_id", "text", "n"]
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    # a and d stay in the rows without an id
+    assert got == sorted([(5, b), (5, ""), (9, ""), (7, c + " end"), (None, d), (None, a + " end")], key=repr)
+
+
 def test_super_minhash_estimates():
     import numpy as np
     from sparkngram.llm import neardup as N
