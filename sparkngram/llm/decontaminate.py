@@ -19,9 +19,10 @@ passage that a third of all documents share is dealt to many tasks.
 
 Edge cases: a null text is the empty text; items without words match nothing,
 and nor do documents without words; repeated items each give their rows;
-rows of one doc_id count as one document; a null doc_id or item_id is kept as
-a value of its own; other columns are ignored; empty tables give an empty
-table.  Everything is DataFrame operations.
+rows are judged one by one (a document is a doc_id, null or not, and the hash
+of its text), and of the rows of one doc_id the greatest ``n_shared`` comes
+out; a null item_id is a value of its own; other columns are ignored; empty
+tables give an empty table.  Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -42,15 +43,19 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(folded, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def shingle_rows(table: DataFrame, key: str, name: str, words: int = WORDS) -> DataFrame:
-    """(``name``, shingle): one row per shingle of each text, repeated ones
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def shingle_rows(table: DataFrame, key: str, words: int = WORDS) -> DataFrame:
+    """(``key``, text_hash, shingle): one row per shingle of each text, repeated ones
     included.  The words are laid beside themselves, shifted, and exploded; of
     fewer words than a shingle the missing ones are null and left out."""
-    w = table.select(F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias(name), _words(F.col("text")).alias("w"))
+    w = table.select(F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias(key), text_hash().alias("text_hash"), _words(F.col("text")).alias("w"))
     n = F.size("w")
     shifted = [F.slice("w", i + 1, F.greatest(n - (words - 1), F.lit(1))).alias(f"w{i}") for i in range(words)]
-    rows = w.select(name, F.inline(F.arrays_zip(*shifted)))
-    return rows.select(name, F.concat_ws(" ", *[f"w{i}" for i in range(words)]).alias("shingle"))
+    rows = w.select(key, "text_hash", F.inline(F.arrays_zip(*shifted)))
+    return rows.select(key, "text_hash", F.concat_ws(" ", *[f"w{i}" for i in range(words)]).alias("shingle"))
 
 
 def bucket(shingle: str) -> Column:
@@ -60,7 +65,7 @@ def bucket(shingle: str) -> Column:
 def item_shingles(benchmark: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
     """(item_id, shingle, n, sketched): the distinct shingles of each item, the
     number of them, and whether the item's sketch holds the shingle."""
-    rows = shingle_rows(benchmark, "item_id", "item_id", words).distinct()
+    rows = shingle_rows(benchmark, "item_id", words).select("item_id", "shingle").distinct()
     sets = rows.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("shingle").alias("h"), "shingle"))).alias("s"))
     n = F.size("s").cast("long")
     # k of the item's size partition
@@ -69,28 +74,38 @@ def item_shingles(benchmark: DataFrame, words: int = WORDS, numerator: int = NUM
             .select("item_id", F.col("_x.shingle").alias("shingle"), "n", (F.col("_pos") < F.col("k")).alias("sketched")))
 
 
-def contained_items(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, numerator: int = NUMERATOR,
-                    denominator: int = DENOMINATOR) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item): every item that a document holds."""
+def contained_in_rows(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, numerator: int = NUMERATOR,
+                      denominator: int = DENOMINATOR) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_shared, n): every item that a row's text
+    holds; LOWEST stands for a null id."""
     items = item_shingles(benchmark, words, numerator, denominator)
     buckets = items.select(bucket("shingle").alias("_bucket")).distinct()  # FILTER rows at most
-    rows = shingle_rows(docs, "doc_id", "doc_id", words).withColumn("_bucket", bucket("shingle"))
-    rows = rows.join(F.broadcast(buckets), "_bucket", "left_semi").select("doc_id", "shingle").distinct()
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows = shingle_rows(docs, "doc_id", words).withColumn("_bucket", bucket("shingle"))
+    rows = rows.join(F.broadcast(buckets), "_bucket", "left_semi").select("doc_id", "text_hash", "shingle").distinct()
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
     spread = items.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     shared = salted.join(spread, ["shingle", "_salt"])
     # candidates are the pairs with a sketch shingle; the count of all shared ones verifies them
-    pairs = shared.groupBy("doc_id", "item_id", "n").agg(F.count(F.lit(1)).alias("n_shared"), F.max("sketched").alias("candidate"))
+    pairs = (shared.groupBy("doc_id", "text_hash", "item_id", "n")
+             .agg(F.count(F.lit(1)).alias("n_shared"), F.max("sketched").alias("candidate")))
     held = pairs.where(F.col("candidate") & (F.col("n_shared") * denominator >= F.col("n") * numerator))
+    return held.select("doc_id", "text_hash", "item_id", "n_shared", "n")
+
+
+def contained_items(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, numerator: int = NUMERATOR,
+                    denominator: int = DENOMINATOR) -> DataFrame:
+    """(doc_id, item_id, n_shared, n_item): every item that a document holds."""
+    held = (contained_in_rows(docs, benchmark, words, numerator, denominator)
+            .groupBy("doc_id", "item_id", "n").agg(F.max("n_shared").alias("n_shared")))
     return held.select(F.nullif("doc_id", F.lit(LOWEST)).alias("doc_id"), F.nullif("item_id", F.lit(LOWEST)).alias("item_id"),
                        "n_shared", F.col("n").alias("n_item"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item (rows with a null doc_id are
-    judged together and, if any holds one, go together)."""
-    dirty = contained_items(docs, benchmark).select("doc_id").distinct()
-    return docs.join(dirty.withColumnRenamed("doc_id", "_dirty"), F.col("doc_id").cast("long").eqNullSafe(F.col("_dirty")), "left_anti")
+    """The rows of ``docs`` that hold no item, judged one by one."""
+    dirty = contained_in_rows(docs, benchmark).select(F.nullif("doc_id", F.lit(LOWEST)).alias("_dirty"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_dirty")) & (text_hash() == F.col("_hash"))
+    return docs.join(dirty, same, "left_anti")
 
 
 def oracle_sql(words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> str:

@@ -83,6 +83,21 @@ def test_decontamination(spark, docs, empty):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in ROWS if i not in {x for x, *_ in want})
 
 
+def test_decontamination_judges_rows(spark):
+    """Rows of one doc_id, or of none, are judged one by one."""
+    from sparkngram.llm import decontaminate as D
+    item = lorem(24, "item")
+    w = item.split()
+    halves = [" ".join(w[:14]), " ".join(w[10:])]  # together, not alone, they hold the item
+    rows = [(None, "clean and without an id"), (None, f"here it is {item} whole"), (None, halves[0]), (None, halves[1]), (3, item), (3, "another text"), (3, None),
+            (4, halves[0]), (4, halves[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(map(tuple, D.contained_items(docs, bench).collect()), key=repr) == [(3, 1, 20, 20), (None, 1, 20, 20)]
+    want = [r for i, r in enumerate(rows) if i not in (1, 4)]
+    assert sorted(map(tuple, D.clean_documents(docs, bench).collect()), key=repr) == sorted(want, key=repr)
+
+
 # 2 ------------------------------------------------------------------
 
 def groups(words, num, den):
