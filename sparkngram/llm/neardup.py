@@ -253,10 +253,10 @@ def group_documents(docs: DataFrame, words: int = WORDS, numerator: int = NUMERA
     full = sig.where("n > 0")
     classes = cut(full.groupBy("cls").agg(F.min("node").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     member = full.select("node", "cls").join(classes.select("cls", "rep"), "cls")
-    # a doc_id with several texts joins their classes
-    links = (member.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b")
-             .select(F.explode(F.array(F.struct(F.col("node").alias("u"), F.col("a").alias("v")),
-                                       F.struct(F.col("node").alias("u"), F.col("b").alias("v")))).alias("x")).select("x.u", "x.v"))
+    # a doc_id with several texts joins their classes, each through its first
+    # document; ids whose texts are all of one class need no link
+    several = member.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("node")
+    links = _spared(member.where("node != rep"), "node", several).select(F.col("node").alias("u"), F.col("rep").alias("v")).distinct()
     buckets = classes.select(F.explode("keys").alias("key"), "cls")
     crowded = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     seats = cut(buckets.join(crowded, "key"))

@@ -145,6 +145,15 @@ def test_near_duplicates_chain(spark):
     assert set(got.values()) == {0}
 
 
+def test_near_duplicates_many_texts_of_one_id(spark):
+    """Every text of a doc_id links its group, not only the least and the greatest."""
+    from sparkngram.llm import neardup as N
+    texts = [lorem(30, f"own{i}") for i in range(5)]
+    rows = [(i + 1, t) for i, t in enumerate(texts)] + [(9, t) for t in texts] + [(20, lorem(30, "other"))]
+    got = N.group_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 11 and all(r.component_id == (20 if r.doc_id == 20 else 1) for r in got)
+
+
 def test_keep_one_with_repeated_ids(spark):
     """Texts that only share a doc_id stay; each group of alike texts keeps one row."""
     from sparkngram.llm import neardup as N
