@@ -17,6 +17,10 @@ benchmark) drops most shingles of documents before anything is shuffled; the
 rest meet the items in a join whose key is salted by the document, so a
 passage that a third of all documents share is dealt to many tasks.
 
+An item with fewer than five words is one shingle, and longer documents have
+five-word shingles only: such an item matches equal texts (word for word) only,
+as in :func:`oracle_sql`, and is not found inside a longer document.
+
 Edge cases: a null text is the empty text; items without words match nothing,
 and nor do documents without words; repeated items each give their rows;
 rows are judged one by one (a document is a doc_id, null or not, and the hash
