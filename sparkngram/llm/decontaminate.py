@@ -1,16 +1,16 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by an exact containment join.
 
 Items and documents are sets of word shingles (A-Z lower-cased, words
 ``[^\\x20\\x09-\\x0D]+``; fewer words than a shingle: the whole sequence).  A
 document holds an item if it has at least ``numerator / denominator`` of the
 item's shingles.
 
-Items are partitioned by size.  The sketch of an item is its bottom-k MinHash:
-the k shingles of least hash, where the partition of items with n shingles has
-k = n - ceil(n * numerator / denominator) + 1.  A document that lacks all k
-lacks too many to hold the item, so a lookup of sketch shingles, however long
-the document, finds every candidate; recall is 1 in each partition.  Candidates
-are verified by exact containment: the shingles' texts are compared.
+The search is an exact containment join: documents meet all shingles of the
+items, by text, and the shared ones are counted.  The bottom-k MinHash sketch
+of an item (k shingles of least hash, k = n - ceil(n * numerator /
+denominator) + 1 for n shingles) is computed, but a pair that passes the count
+always shares one of them, so it rules out nothing here; no sketch search
+precedes the count.
 
 A broadcast of hash buckets (FILTER of them at most, whatever the size of the
 benchmark) drops most shingles of documents before anything is shuffled; the
@@ -89,7 +89,7 @@ def contained_in_rows(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
     spread = items.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     shared = salted.join(spread, ["shingle", "_salt"])
-    # candidates are the pairs with a sketch shingle; the count of all shared ones verifies them
+    # the count of all shared ones decides; a pair that passes it always has a sketch shingle
     pairs = (shared.groupBy("doc_id", "text_hash", "item_id", "n")
              .agg(F.count(F.lit(1)).alias("n_shared"), F.max("sketched").alias("candidate")))
     held = pairs.where(F.col("candidate") & (F.col("n_shared") * denominator >= F.col("n") * numerator))
