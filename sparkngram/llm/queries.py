@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkngram.llm import bpe, chat, decontaminate, neardup, pii, secrets, sharding, suffix_dedup, toxicity, winnowing
+from sparkngram.llm import (bpe, chat, decontaminate, jaccard_join, neardup, pii, secrets, sharding, spelling, suffix_dedup, toxicity,
+                            whitening, winnowing)
 from sparkngram.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,20 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_neighbours(documents(spark, sf_dir))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(documents(spark, sf_dir)).drop("class_id")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_decontamination, op2_near_duplicates, op3_suffix_dedup, op4_byte_bpe, op5_pii, op6_secrets, op7_toxicity, op8_chat_format, op9_sharding, op10_winnowing)}
-SQL: dict[str, str] = {"op1_decontamination": decontaminate.oracle_sql(), "op9_sharding": sharding.oracle_sql()}
+    op1_decontamination, op2_near_duplicates, op3_suffix_dedup, op4_byte_bpe, op5_pii, op6_secrets, op7_toxicity, op8_chat_format, op9_sharding, op10_winnowing,
+    op11_ngram_jaccard, op12_spelling, op13_whitening)}
+SQL: dict[str, str] = {"op1_decontamination": decontaminate.oracle_sql(), "op9_sharding": sharding.oracle_sql(),
+                       "op11_ngram_jaccard": jaccard_join.oracle_sql()}
