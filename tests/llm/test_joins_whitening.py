@@ -114,7 +114,7 @@ def test_prefixes_leave_a_common_key(num, den):
         keys = []
         for s in (np.sort(x), np.sort(y)):
             most = min(len(s), int(lacking(np.array(len(s)), num, den)[1]) + 2)
-            keys.append(set(index_keys(len(s), np.arange(most), s[:most].astype(np.int64), often[s[:most]], num, den).tolist()))
+            keys.append(set(index_keys(len(s), s[:most].astype(np.int64), np.ones(most, bool), often[s[:most]], num, den).tolist()))
         assert keys[0] & keys[1]
         met += 1
     assert met > 50 or num == den
@@ -162,7 +162,7 @@ def brute_variants(rows, every=199):
 def variant_rows():
     r, rows = random.Random(3), []
     words = ["banana", "letter", "ÉÉcole", "straßen", "aabbcc", "écoles", "running", "signal", "zzzzzz", "ÀÁÂÃÄÅ"]
-    pool = [(w, 400) for w in words] + [("bannanas", 40), ("bannana", 8), ("bannanass", 300)]
+    pool = [(w, 400) for w in words] + [("bannana", 50), ("bannanna", 8)]
     for w in words:
         for _ in range(12):
             at = r.randrange(len(w))
