@@ -120,27 +120,28 @@ def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix64((h[end] - h[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-# Two primes below 2**31 and a base for each.
-PRIMES = ((2147483647, 1299709321), (2147483629, 1500450271))
+# A Mersenne prime and two bases: 62 bits of hash.
+PRIME, BASES = (1 << 31) - 1, (1299709321, 1500450271)
+_CODE = _BYTE >> np.uint64(33)
 
 
 class PrimePowers:
-    """Powers of the bases and of their inverses modulo their primes, grown on demand."""
+    """Powers of the bases and of their inverses modulo the prime, grown on demand."""
 
     def __init__(self):
         self.tables = []
 
     @staticmethod
-    def _grown(base: int, prime: int, n: int) -> np.ndarray:
+    def _grown(base: int, n: int) -> np.ndarray:
         out = np.ones(1, np.uint64)
         while len(out) < n:
-            out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+            out = np.concatenate([out, out * np.uint64(pow(base, len(out), PRIME)) % np.uint64(PRIME)])
         return out
 
     def get(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
         if not self.tables or len(self.tables[0][0]) < n:
             size = max(n, 2 * CHUNK_BYTES)
-            self.tables = [(self._grown(b, p, size), self._grown(pow(b, -1, p), p, size)) for p, b in PRIMES]
+            self.tables = [(self._grown(b, size), self._grown(pow(b, -1, PRIME), size)) for b in BASES]
         return self.tables
 
 
@@ -148,13 +149,13 @@ PRIME_POWERS = PrimePowers()
 
 
 def prime_span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """62-bit hash of each byte span [start, end), modulo two primes, so that
-    no text is built from repeats that make it collide."""
-    out = np.zeros(len(start), np.uint64)
-    for (prime, _), (up, down) in zip(PRIMES, PRIME_POWERS.get(len(data) + 1)):
-        p = np.uint64(prime)
+    """62-bit hash of each byte span [start, end), modulo a prime, so that no
+    text is built from repeats that make it collide."""
+    out, p, code = np.zeros(len(start), np.uint64), np.uint64(PRIME), _CODE[data]
+    for up, down in PRIME_POWERS.get(len(data) + 1):
         h = np.zeros(len(data) + 1, np.uint64)
-        # codes below 2**31 times powers below 2**31, reduced: sums of 2**33 terms fit
-        np.cumsum((_BYTE[data] >> np.uint64(33)) * up[:len(data)] % p, out=h[1:])
+        x = code * up[:len(data)]
+        # below 2**32 each, equal modulo the prime: sums of 2**32 terms fit
+        np.cumsum((x & p) + (x >> np.uint64(31)), out=h[1:])
         out = out << np.uint64(31) | (h[end] - h[start]) % p * down[start] % p
     return mix64(out + (end - start).astype(np.uint64) * np.uint64(BASE))
