@@ -28,9 +28,9 @@ from sparkngram.llm.common import chunks, id_text, mix64, prefix_hash, span_hash
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 NONE = 1 << 60  # no such token
-# Pieces of at most this many bytes are remembered, at most CACHE of them per
-# worker; this bounds memory and changes no result.
-CACHED_BYTES, CACHE = 64, 1 << 20
+# Pieces of at most this many bytes are remembered, at most about CACHE of them
+# per worker, so at most CACHED_BYTES * CACHE bytes; this changes no result.
+CACHED_BYTES, CACHE = 64, 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -243,9 +243,20 @@ def piece_starts(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of several spans, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _alike(a, start, size, b, start_b, size_b) -> bool:
+    """Whether every span of ``a`` holds the same bytes as its span of ``b``."""
+    return bool((size == size_b).all()) and bool((a[_spans(start, size)] == b[_spans(start_b, size)]).all())
+
+
 class Codec:
-    """Encoder and decoder for one rank file.  A worker remembers the ids of
-    at most CACHE short pieces by their 64-bit hash and length."""
+    """Encoder and decoder for one rank file.  A worker remembers the ids and
+    bytes of short pieces by a hash; wherever two hashes meet the bytes are
+    compared, so that a collision costs time only."""
 
     def __init__(self, path: str, pattern: str):
         import public_tokenizers
@@ -263,6 +274,7 @@ class Codec:
     def forget(self):
         self.hashes, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.at, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def starts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Byte positions at which pieces start (``off``: the texts' bounds)."""
@@ -279,29 +291,32 @@ class Codec:
             out += [a + m.start() for m in self.find(text[a:b])]
         return head[np.array(out, np.int64)] if out else np.zeros(0, np.int64)
 
-    def learn(self, data, start, size, hashes):
-        """Ids of pieces not seen before, added to what the worker knows."""
+    def merged(self, data, start, size) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in their order, and their number per piece."""
         short = size <= CACHED_BYTES
-        parts = []
-        if short.any():
-            order = np.flatnonzero(short)
-            width = np.ceil(np.log2(np.maximum(size[order], 1))).astype(np.int64)
-            for w in np.unique(width):
-                rows = order[width == w]
-                flat, count = merge_many(data, start[rows], size[rows], self.byte_id, self.pairs)
-                parts.append((rows, flat, count))
-        for row in np.flatnonzero(~short):
-            ids = merge_piece(data[start[row]:start[row] + size[row]].tobytes(), self.ranks)
-            parts.append((np.array([row]), np.array(ids, np.int64), np.array([len(ids)])))
-        rows = np.concatenate([p[0] for p in parts])
-        flat = np.concatenate([p[1] for p in parts]).astype(np.int32)
-        count = np.concatenate([p[2] for p in parts])
-        begin = np.concatenate([[0], np.cumsum(count)[:-1]]) + len(self.flat)
-        self.flat = np.concatenate([self.flat, flat])
-        h = np.concatenate([self.hashes, hashes[rows]])
+        ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(size)
+        order = np.flatnonzero(short)
+        width = np.ceil(np.log2(np.maximum(size[order], 1))).astype(np.int64)
+        for w in np.unique(width):
+            rows = order[width == w]
+            flat, count = merge_many(data, start[rows], size[rows], self.byte_id, self.pairs)
+            for row, part in zip(rows.tolist(), np.split(flat, np.cumsum(count)[:-1])):
+                ids[row] = part
+        for row in np.flatnonzero(~short).tolist():
+            ids[row] = np.array(merge_piece(data[start[row]:start[row] + size[row]].tobytes(), self.ranks), np.int64)
+        return np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int32), np.array([len(x) for x in ids], np.int64)
+
+    def learn(self, data, start, size, hashes):
+        """Short pieces not seen before, added to what the worker knows."""
+        flat, count = self.merged(data, start, size)
+        begin = np.cumsum(count) - count + len(self.flat)
+        at = np.cumsum(size) - size + len(self.bytes)
+        h = np.concatenate([self.hashes, hashes])
         order = np.argsort(h, kind="stable")
-        self.hashes = h[order]
-        self.begin, self.count = np.concatenate([self.begin, begin])[order], np.concatenate([self.count, count])[order]
+        self.hashes, self.flat = h[order], np.concatenate([self.flat, flat])
+        self.bytes = np.concatenate([self.bytes, data[_spans(start, size)]])
+        for name, new in (("begin", begin), ("count", count), ("at", at), ("size", size)):
+            setattr(self, name, np.concatenate([getattr(self, name), new])[order])
 
     def encode_many(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of several texts laid end to end, and their bounds per text."""
@@ -311,18 +326,50 @@ class Codec:
         size = np.diff(np.append(start, len(data)))
         h = span_hash(prefix_hash(data), start, start + size)
         kinds, where, back = np.unique(h, return_index=True, return_inverse=True)
+        first = where[back]
+        if _alike(data, start, size, data, start[first], size[first]):
+            ids, count = self._known(data, start[where], size[where], kinds, back)
+        else:
+            ids, count = self._plainly(data, start, size)
+        return ids, np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, off)]
+
+    def _known(self, data, start, size, kinds, back):
+        """Ids of pieces ``back`` (indices of distinct pieces), by way of what is remembered."""
         if len(self.hashes) > CACHE:
             self.forget()
-        at = np.minimum(np.searchsorted(self.hashes, kinds), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == kinds if len(self.hashes) else np.zeros(len(kinds), bool)
-        if not known.all():
-            new = where[~known]
-            self.learn(data, start[new], size[new], kinds[~known])
-            at = np.searchsorted(self.hashes, kinds)
-        begin, count = self.begin[at][back], self.count[at][back]
-        total = np.concatenate([[0], np.cumsum(count)])
-        ids = self.flat[np.repeat(begin - total[:-1], count) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(start, off)]
+        short = np.flatnonzero(size <= CACHED_BYTES)
+        new = short[~self._has(kinds[short])]
+        if len(new):
+            self.learn(data, start[new], size[new], kinds[new])
+        at = np.searchsorted(self.hashes, kinds[short])
+        if not _alike(data, start[short], size[short], self.bytes, self.at[at], self.size[at]):
+            ids, count = self._plainly(data, start, size)
+            begin, flat = np.cumsum(count) - count, ids
+        else:
+            long = np.flatnonzero(size > CACHED_BYTES)
+            more, n = self.merged(data, start[long], size[long])
+            begin, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+            begin[short], count[short] = self.begin[at], self.count[at]
+            begin[long], count[long] = np.cumsum(n) - n + len(self.flat), n
+            flat = np.concatenate([self.flat, more]) if len(long) else self.flat
+        begin, count = begin[back], count[back]
+        return flat[_spans(begin, count)], count
+
+    def _has(self, kinds: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(kinds), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)] == kinds
+
+    def _plainly(self, data, start, size):
+        """Pieces told apart by their bytes alone."""
+        seen: dict[bytes, np.ndarray] = {}
+        ids = []
+        for i, n in zip(start.tolist(), size.tolist()):
+            piece = data[i:i + n].tobytes()
+            if piece not in seen:
+                seen[piece] = np.array(merge_piece(piece, self.ranks), np.int32)
+            ids.append(seen[piece])
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64)
 
     def encode(self, text: str) -> list[int]:
         data = np.frombuffer(text.encode("utf-8"), np.uint8)

@@ -260,3 +260,35 @@ def test_bit_sliced_products_exact():
         n, s, c = scatter(x)
         o = x.astype(object)
         assert n == 130 and (s == o.sum(axis=0)).all() and (np.triu(c) == np.triu(o.T @ o)).all()
+
+
+# 4: pieces whose hashes collide --------------------------------------
+
+def test_bpe_tells_colliding_pieces_apart(spark):
+    """Two pieces that a polynomial hash modulo 2**64 can't tell apart, in one text and one after the other on a worker."""
+    import base64
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+    from sparkngram.llm import bpe
+    with open(public_tokenizers.path(bpe.VOCABULARY), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
+    tik = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    texts = [a, b, f"{a}\n{b}", f"{b} {a} {b}", "x" * 70 + a[:60] + " " + b[:60], a[:64], b[:64]]
+    codec = bpe.Codec(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
+    for t in [*texts, *texts]:
+        assert codec.encode(t) == tik.encode(t, disallowed_special=()) and codec.decode(codec.encode(t)).decode() == t
+    # remembered pieces whose hash meets another's are compared, too
+    codec.hashes[:] = 7
+    span_hash, bpe.span_hash = bpe.span_hash, lambda h, s, e: np.full(len(s), 7, np.uint64)
+    try:
+        for t in [*texts, "some words more", "words"]:
+            assert codec.encode(t) == tik.encode(t, disallowed_special=())
+    finally:
+        bpe.span_hash = span_hash
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.ids_sha256 for r in bpe.round_trip_digests(docs).collect()}
+    assert got == {i: hashlib.sha256(" ".join(map(str, tik.encode(t, disallowed_special=()))).encode()).hexdigest() for i, t in enumerate(texts)}
