@@ -12,6 +12,7 @@ from sparkngram.operators import predict as P
 from sparkngram.operators import sbo as S
 from sparkngram.plans.joins import materialize
 from sparkngram.sources import corpus
+from sparkngram.sources import store as ST
 
 
 def train_tokens(spark: SparkSession, sf_dir: str, lang: str | None = "en") -> DataFrame:
@@ -20,8 +21,22 @@ def train_tokens(spark: SparkSession, sf_dir: str, lang: str | None = "en") -> D
     return lines.select("source", "doc_id", "line_no", C.tokens(C.clean_train(F.col("line"))).alias("tokens"))
 
 
-def ngram_counts(spark: SparkSession, sf_dir: str, orders=(1, 2, 3, 4), trim: int = 1) -> DataFrame:
-    return NG.count_ngrams(train_tokens(spark, sf_dir), "tokens", orders, min_freq=trim)
+STAGED_ORDERS = (1, 2, 3, 4)  # orders that one counting pass makes; higher ones get a pass of their own
+
+
+def ngram_counts(spark: SparkSession, sf_dir: str, orders=(1, 2, 3, 4), trim: int = 1, lang: str | None = "en") -> DataFrame:
+    """``(n, word, w, pred, freq)`` from the staged count table (A6), which is
+    partitioned by order: documents are read by the first query only."""
+    rows = None
+    for made in (STAGED_ORDERS, tuple(n for n in sorted(orders) if n not in STAGED_ORDERS)):
+        wanted = [n for n in orders if n in made]
+        if not wanted:
+            continue
+        t = ST.stage(spark, "ngram-counts", [f"{sf_dir}/documents.parquet"], {"orders": made, "lang": lang},
+                     lambda made=made: NG.count_ngrams(train_tokens(spark, sf_dir, lang), "tokens", made), partition_by=["n"])
+        t = t.where(F.col("n").isin(wanted) & (F.col("freq") >= F.lit(trim))).select("n", "word", "w", "pred", "freq")
+        rows = t if rows is None else rows.unionByName(t)
+    return rows
 
 
 def sbo_lookup(spark: SparkSession, sf_dir: str, max_order: int = 4, trim: int = 5, k: int = 5) -> DataFrame:
@@ -51,7 +66,6 @@ def katz_inputs(spark: SparkSession, sf_dir: str, mat: bool = False):
     from sparkngram.operators.goodturing import gt_table
     counts = ngram_counts(spark, sf_dir, (1, 2, 3), 1)
     if mat:
-        counts = materialize(counts)
         return counts, materialize(gt_table(counts, (1, 2, 3)))
     return counts, gt_table(counts, (1, 2, 3))
 
@@ -100,3 +114,20 @@ def evaluate_katz_bench(spark: SparkSession, sf_dir: str) -> DataFrame:
                             empty=F.col("empty"))
 
     return E.dataset_report(E.rank_pairs(cp, predictor), lines)
+
+
+def katz_chain(spark: SparkSession, sf_dir: str, order: int = 4, k: int = 5):
+    """G12's model from the staged counts of orders 1 to ``order``."""
+    from sparkngram.operators.goodturing import gt_table
+    from sparkngram.operators.katz_chain import KatzChain
+    counts = ngram_counts(spark, sf_dir, tuple(range(1, order + 1)), 1)
+    return KatzChain(counts, materialize(gt_table(counts, range(2, order + 1))), order, k, materialize)
+
+
+def sweep(spark: SparkSession, sf_dir: str, orders=(3, 4), fractions=(0.15, 0.25), trims=(2, 5), models=("sbo", "katz")) -> DataFrame:
+    """H7: one counting pass (staged) for all fractions, one evaluation for all configurations."""
+    from sparkngram.operators import sweep as SW
+    made = tuple(range(1, max(orders) + 1))
+    nested = ST.stage(spark, "nested-counts", [f"{sf_dir}/documents.parquet"], {"orders": made, "fractions": list(fractions)},
+                      lambda: SW.nested_counts(train_tokens(spark, sf_dir), made, fractions), partition_by=["n"])
+    return SW.sweep(nested, corpus.heldout_clean(spark, sf_dir), orders, fractions, trims, models, store=materialize)

@@ -285,7 +285,7 @@ def q_kn_unigram(spark, sf):
 
 @query("kn_bigram", O.ctes(*_KN) + " SELECT word, freq, round(pkn, 9) AS pkn FROM knb")
 def q_kn_bigram(spark, sf):
-    b = KN.kn_bigram(PL.materialize(PL.ngram_counts(spark, sf, (1, 2), 1)))
+    b = KN.kn_bigram(PL.ngram_counts(spark, sf, (1, 2), 1))
     return b.select("word", "freq", r9(F.col("pkn")).alias("pkn"))
 
 
@@ -295,7 +295,7 @@ def q_kn_bigram(spark, sf):
        "LEFT JOIN kcounts b ON b.n = 2 AND b.word = t.w "
        "LEFT JOIN knb kb ON kb.word = regexp_extract(t.word, '^[^_]+_(.*)$', 1) WHERE t.n = 3")
 def q_kn_trigram(spark, sf):
-    t = KN.kn_trigram(PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1)))
+    t = KN.kn_trigram(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
     return t.select("word", "freq", r9(F.col("pkn")).alias("pkn"))
 
 
@@ -336,7 +336,7 @@ def _histories(spark, sf):
 def q_absdisc_trigram(spark, sf):
     """Per history and part (trigram / bigram / rest): explicit words and
     probability mass of the absolute-discount distribution."""
-    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
     d = AD.absdisc_distribution(counts, _histories(spark, sf), 0.5, 0.5)
     p = F.when(F.isnan("prob"), F.lit(None)).otherwise(F.col("prob"))
     return d.groupBy("h", "kind").agg(F.count("word").alias("words"), F.round(F.sum(p) + F.lit(1e-10), 6).alias("mass"))
@@ -352,7 +352,7 @@ def q_absdisc_trigram(spark, sf):
                                 "WHERE prob IS NOT NULL AND NOT isnan(prob))") +
        " SELECT h, word, round(prob, 9) AS prob FROM (SELECT h, word, prob, row_number() OVER (PARTITION BY h ORDER BY prob DESC, word) AS rn FROM adall) z WHERE rn = 1")
 def q_absdisc_argmax(spark, sf):
-    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
     a = AD.absdisc_argmax(counts, _histories(spark, sf), 0.5, 0.5)
     return a.select("h", "word", r9(F.col("prob")).alias("prob"))
 
@@ -550,7 +550,7 @@ def q_keyness(spark, sf):
        "sqrt(1 / (n11 + 0.5) + 1 / (r1 - n11 + 0.5) + 1 / (c1 - n11 + 0.5) + 1 / (N - r1 - c1 + n11 + 0.5)), 9) AS z "
        "FROM cx WHERE n11 >= 100")
 def q_collocations(spark, sf):
-    c = ST.collocations(PL.materialize(PL.ngram_counts(spark, sf, (2,), 1)), 100)
+    c = ST.collocations(PL.ngram_counts(spark, sf, (2,), 1), 100)
     return c.select("collocation", "count", r9(F.col("lambda")).alias("lambda"), r9(F.col("z")).alias("z"))
 
 
@@ -625,7 +625,7 @@ _INTERP = (*_TRAIN, O.grams((1, 2, 3)), O.counts(1, name="kcounts"), O.heldout_c
 
 
 def _interp_scored(spark, sf):
-    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3), 1))
+    counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
     cp = E.line_contexts(corpus.heldout_clean(spark, sf), 3).where(F.col("ctx").contains(" "))
     test = cp.select(F.split("ctx", " ")[0].alias("a"), F.split("ctx", " ")[1].alias("b"),
                      F.col("next_word").alias("c"), "cnt").groupBy("a", "b", "c").agg(F.sum("cnt").alias("cnt"))
@@ -855,7 +855,7 @@ def q_score_options(spark, sf):
 def q_freq_clusters(spark, sf):
     """G16 + G17 for the three-word histories of held-out prefixes."""
     from sparkngram.operators.goodturing import gt_table
-    counts = PL.materialize(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1))
+    counts = PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1)
     gt = gt_table(counts, (1, 2, 3, 4))
     q = E.line_contexts(corpus.heldout_clean(spark, sf), 4).where(F.col("ctx") != "").select("ctx").distinct() \
         .withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
@@ -1045,3 +1045,130 @@ def q_next_words(spark, sf):
     fc = QUERIES["freq_clusters"](spark, sf).where(drop_markers(F.col("word")))
     t = top_by_group(fc, ["ctx"], [F.col("probability").desc(), F.col("word").asc()], 3)
     return t.select("ctx", "word", F.col("rnk").cast("long").alias("rnk"))
+
+
+# ---------------------------------------------------------------- general orders, merged form, sweep
+
+from sparkngram.operators import katz_chain as KC  # noqa: E402
+
+
+def _ctx(m: int) -> str:
+    return (f"SELECT DISTINCT CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[pos - least(pos, {m - 1}) + 1 : pos], ' ') END AS ctx FROM pairs")
+
+
+def _chain_model(counts: str, gt: str, order: int, by: str = "") -> str:
+    """CTEs cw (weights) and ct (rows with probabilities) over counts(by, n, word, w, pred, freq)."""
+    b, on = (f"{by}, ", lambda x, y: "".join(f"{x}.{c} = {y}.{c} AND " for c in by.split(", "))) if by else ("", lambda x, y: "")
+    return (f"cr AS (SELECT {', '.join('c.' + c for c in by.split(', ')) + ', ' if by else ''}c.n, c.word, c.w, c.pred, c.freq, "
+            f"c.freq * coalesce(g.discount, 1.0) AS fd FROM {counts} c "
+            f"LEFT JOIN {gt} g ON {on('g', 'c')} g.n = c.n AND g.r = c.freq AND g.r BETWEEN 1 AND 5 WHERE c.n BETWEEN 2 AND {order}),\n"
+            f"cs AS (SELECT {b}n, w, count(*) AS hits, sum(freq) AS sf, sum(fd) AS sfd FROM cr GROUP BY {b}n, w),\n"
+            f"cl AS (SELECT {', '.join('a.' + c for c in by.split(', ')) + ', ' if by else ''}a.n, a.w, sum(l.fd) AS seen FROM cr a JOIN cr l ON {on('l', 'a')} "
+            f"l.n = a.n - 1 AND l.word = regexp_replace(a.word, '^[^_]+_', '') GROUP BY ALL),\n"
+            f"cx AS (SELECT s.*, 1 - s.sfd / s.sf AS lft, (z.sfd - coalesce(cl.seen, 0)) / z.sf AS rest FROM cs s "
+            f"LEFT JOIN cl ON {on('cl', 's')} cl.n = s.n AND cl.w = s.w LEFT JOIN cs z ON {on('z', 's')} z.n = s.n - 1 AND z.w = regexp_replace(s.w, '^[^_]+_', '')),\n"
+            f"cw AS (SELECT *, CASE WHEN rest > 1e-9 AND lft > 1e-9 THEN lft / rest ELSE 0.0 END AS alpha FROM cx),\n"
+            f"ct AS (SELECT {', '.join('r.' + c for c in by.split(', ')) + ', ' if by else ''}r.n, r.w, r.pred, r.fd / s.sf AS prob, row_number() OVER (PARTITION BY "
+            f"{', '.join('r.' + c for c in by.split(', ')) + ', ' if by else ''}r.n, r.w ORDER BY r.fd DESC, r.pred) AS rnk FROM cr r JOIN cs s ON {on('s', 'r')} s.n = r.n AND s.w = r.w)")
+
+
+_GT4 = ("gt4 AS (SELECT n, r, coalesce((r + 1) * nx / nullif(r * n_r, 0), 1.0) AS discount FROM (SELECT n, r, n_r, lead(n_r) OVER (PARTITION BY n ORDER BY r) AS nx FROM ("
+        "SELECT c.n, r.r, CAST(count(*) FILTER (WHERE c.freq = r.r) AS DOUBLE) AS n_r FROM counts c, (SELECT unnest(range(1, 7)) AS r) r GROUP BY c.n, r.r) z) y WHERE r <= 5)")
+
+
+@query("predict_katz_order4", O.ctes(
+    *_TRAIN, O.grams((1, 2, 3, 4)), O.counts(1), _GT4, _chain_model("counts", "gt4", 4), O.heldout_clean(), O.pairs(3),
+    "gq AS (SELECT ctx, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS c FROM (" + _ctx(4) + ") z WHERE ctx <> '')",
+    "gl AS (SELECT ctx, lvl, lvl + 1 AS n, array_to_string(c[len(c) - lvl + 1 : len(c)], '_') AS w FROM (SELECT ctx, c, unnest(range(1, least(len(c), 3) + 1)) AS lvl FROM gq) z)",
+    "ga AS (SELECT gl.ctx, gl.lvl, gl.n, gl.w, cw.alpha FROM gl JOIN cw ON cw.n = gl.n AND cw.w = gl.w)",
+    "gs AS (SELECT a.ctx, a.lvl, a.n, a.w, coalesce((SELECT product(b.alpha) FROM ga b WHERE b.ctx = a.ctx AND b.lvl > a.lvl), 1.0) AS scale FROM ga a)",
+    "gk AS (SELECT s.ctx, ct.pred, max(s.lvl) AS lvl, arg_max(ct.rnk, s.lvl) AS r, arg_max(ct.prob * s.scale, s.lvl) AS score FROM gs s "
+    "JOIN ct ON ct.n = s.n AND ct.w = s.w WHERE ct.rnk <= 9 GROUP BY s.ctx, ct.pred)") +
+    " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, pred AS word, lvl AS level, round(score, 9) AS score FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY ctx ORDER BY lvl DESC, r) AS rnk FROM gk) z WHERE rnk <= 5")
+def q_predict_katz_order4(spark, sf):
+    """G12 for l = 4, k = 5: a chain of back-off weights from 4-grams to bigrams."""
+    ctx = E.line_contexts(corpus.heldout_clean(spark, sf), 4).select("ctx").distinct().where("ctx <> ''")
+    q = ctx.withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
+    p = KC.predict_chain(q, PL.katz_chain(spark, sf, 4, 5), ["ctx"])
+    return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", F.col("level").cast("long").alias("level"), r9(F.col("score")).alias("score"))
+
+
+@query("predict_katz_merged", O.ctes(
+    *_TRAIN, O.grams((1, 2, 3)), O.counts(1), _GT4,
+    "mr AS (SELECT c.n, c.w, c.pred, c.freq, c.freq * coalesce(g.discount, 1.0) AS fd FROM counts c LEFT JOIN gt4 g ON g.n = c.n AND g.r = c.freq WHERE c.n >= 2)",
+    "ml AS (SELECT n, w, 1 - sum(fd) / sum(freq) AS lft FROM mr GROUP BY n, w)",
+    "mt AS (SELECT * FROM mr QUALIFY row_number() OVER (PARTITION BY n, w ORDER BY fd DESC, pred) <= 5)",
+    O.heldout_clean(), O.pairs(3),
+    "mq AS (SELECT ctx, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS c FROM (SELECT DISTINCT ctx FROM cpairs) z)",
+    "mv AS (SELECT ctx, lvl, least(len(c), 2) AS start, lvl + 1 AS n, array_to_string(c[len(c) - lvl + 1 : len(c)], '_') AS w FROM (SELECT ctx, c, unnest(range(1, least(len(c), 2) + 1)) AS lvl FROM mq) z)",
+    "mh AS (SELECT v.ctx, v.lvl, v.start, t.pred, t.freq, t.fd FROM mv v JOIN mt t ON t.n = v.n AND t.w = v.w)",
+    "mlo AS (SELECT v.ctx, l.lft FROM mv v JOIN ml l ON l.n = v.n AND l.w = v.w WHERE v.lvl = v.start)",
+    "mo AS (SELECT h.*, mlo.lft, EXISTS (SELECT 1 FROM mh f WHERE f.ctx = h.ctx AND f.lvl = f.start AND f.pred = h.pred) AS given FROM mh h LEFT JOIN mlo ON mlo.ctx = h.ctx)",
+    "mp AS (SELECT ctx, lvl, pred, CASE WHEN lvl = start OR lft IS NULL THEN 1.0 ELSE greatest(lft, 0.0) / (sum(CASE WHEN NOT given THEN fd END) OVER (PARTITION BY ctx, lvl) "
+    "/ sum(freq) OVER (PARTITION BY ctx, lvl)) END * fd / sum(freq) OVER (PARTITION BY ctx, lvl) AS score FROM mo)",
+    "mc AS (SELECT ctx, l.lvl, (SELECT count(DISTINCT pred) FROM mp WHERE mp.ctx = c.ctx AND mp.lvl >= l.lvl) AS c FROM (SELECT DISTINCT ctx FROM mp) c, (VALUES (1), (2)) l(lvl))",
+    "ms AS (SELECT ctx, max(lvl) AS stop FROM mc WHERE c >= 5 GROUP BY ctx)",
+    "mb AS (SELECT mp.ctx, pred, max(score) AS score, max(lvl) AS lvl, arg_max(lvl, coalesce(score, -1) * 1000 + lvl / 1e6) AS best FROM mp JOIN ms ON ms.ctx = mp.ctx WHERE mp.lvl >= ms.stop GROUP BY mp.ctx, pred)",
+    "mk AS (SELECT ctx, pred, score, row_number() OVER (PARTITION BY ctx ORDER BY score DESC NULLS LAST, best DESC, pred) AS rnk FROM mb)") +
+    " SELECT ctx, CAST(rnk AS BIGINT) AS rnk, pred AS word, round(score, 9) AS score FROM mk WHERE rnk <= 5 UNION ALL "
+    f"SELECT ctx, 0, '{P.NO_MATCH}', NULL FROM mq WHERE ctx NOT IN (SELECT ctx FROM ms)")
+def q_predict_katz_merged(spark, sf):
+    """Levels re-scaled, merged and re-sorted by probability, five words or the message."""
+    counts = PL.ngram_counts(spark, sf, (2, 3), 1)
+    rows = KC.discounted(counts, PL.materialize(GT.gt_table(PL.ngram_counts(spark, sf, (1, 2, 3), 1), (2, 3))))
+    ctx = E.line_contexts(corpus.heldout_clean(spark, sf), 3).select("ctx").distinct()
+    q = PL.materialize(ctx.withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit(""))))
+    p = KC.predict_merged(q, PL.materialize(rows.select("n", "w", "pred", "freq", "fd")), ["ctx"])
+    return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", r9(F.col("score")).alias("score"))
+
+
+SWEEP_ORDERS, SWEEP_FRACTIONS, SWEEP_TRIMS = (3, 4), (0.15, 0.25), (2, 5)
+
+
+def _sweep_sql() -> str:
+    fr = list(enumerate(SWEEP_FRACTIONS))
+    marks = " ".join(f"WHEN u < {int(f * (1 << 32))} THEN {j}" for j, f in fr)
+    cols = ", ".join(f"count(*) FILTER (WHERE mark <= {j}) AS f{j}" for j, _ in fr)
+    cfg = " UNION ALL ".join(f"SELECT CAST({f} AS DOUBLE) AS fraction, CAST({t} AS INTEGER) AS trim, n, word, w, pred, f{j} AS freq FROM wc WHERE f{j} >= {t}"
+                             for j, f in fr for t in SWEEP_TRIMS)
+    nr = " UNION ALL ".join(f"SELECT CAST({f} AS DOUBLE) AS fraction, n, r.r, CAST(count(*) FILTER (WHERE f{j} = r.r) AS DOUBLE) AS n_r FROM wc, rr r GROUP BY n, r.r" for j, f in fr)
+    grid = ", ".join(f"(CAST({f} AS DOUBLE), CAST({t} AS INTEGER))" for f in SWEEP_FRACTIONS for t in SWEEP_TRIMS)
+    pairs = " UNION ALL ".join(
+        f"SELECT CAST({m} AS INTEGER) AS ord, dataset, CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[pos - least(pos, {m - 1}) + 1 : pos], ' ') END AS ctx, "
+        f"lower(next_word) AS next_word, count(*) AS cnt FROM pairs GROUP BY ALL" for m in SWEEP_ORDERS)
+    top = max(SWEEP_ORDERS)
+    return O.ctes(
+        _SRC_LINES, "mk AS (SELECT line, CASE " + marks + " END AS mark FROM (SELECT line, CAST('0x' || substr(md5('1234|' || CAST(doc_id AS VARCHAR) || '|' || "
+        "CAST(line_no AS VARCHAR)), 1, 8) AS BIGINT) AS u FROM sl) z)",
+        f"tk AS (SELECT mark, {T.tokens(T.clean_train('line'))} AS t FROM mk WHERE mark IS NOT NULL)", O.grams(range(1, top + 1), src="tk", name="wg", extra="mark,"),
+        f"wc AS (SELECT n, word, CASE WHEN n > 1 THEN regexp_replace(word, '_[^_]+$', '') ELSE '' END AS w, regexp_extract(word, '[^_]+$') AS pred, {cols} FROM wg GROUP BY n, word)",
+        f"cfg AS ({cfg})", "rr AS (SELECT unnest(range(1, 7)) AS r)", f"nr AS ({nr})",
+        f"sgt AS (SELECT fraction, t.trim, n, r, coalesce((r + 1) * nx / nullif(r * n_r, 0), 1.0) AS discount FROM (SELECT *, lead(n_r) OVER (PARTITION BY fraction, n ORDER BY r) AS nx FROM nr) z, "
+        f"(VALUES {', '.join(f'(CAST({t} AS INTEGER))' for t in SWEEP_TRIMS)}) t(trim) WHERE r <= 5)",
+        _chain_model("cfg", "sgt", top, "fraction, trim"),
+        "bt AS (SELECT fraction, trim, n, w, pred, row_number() OVER (PARTITION BY fraction, trim, n, w ORDER BY freq DESC, pred) AS rnk FROM cfg WHERE n >= 2)",
+        O.heldout_clean(), O.pairs(3), f"sp AS ({pairs})", f"gr(fraction, trim) AS (VALUES {grid})",
+        "sq AS (SELECT ord, ctx, fraction, trim, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS c FROM (SELECT DISTINCT ord, ctx FROM sp) z, gr)",
+        f"sv AS (SELECT ord, ctx, fraction, trim, lvl, lvl + 1 AS n, array_to_string(c[len(c) - lvl + 1 : len(c)], '_') AS w FROM (SELECT *, unnest(range(1, least(len(c), {top - 1}) + 1)) AS lvl FROM sq) z)",
+        "df AS (SELECT ord, ctx, fraction, trim, 0 AS lvl, d.r AS rnk, d.p AS pred FROM sq, (VALUES " + ", ".join(f"('{d}', {i + 1})" for i, d in enumerate(P.EVAL_DEFAULTS)) + ") d(p, r))",
+        "cand AS (SELECT 'sbo' AS model, v.ord, v.ctx, v.fraction, v.trim, v.lvl, b.rnk, b.pred FROM sv v JOIN bt b ON b.fraction = v.fraction AND b.trim = v.trim AND b.n = v.n AND b.w = v.w WHERE b.rnk <= 3 "
+        "UNION ALL SELECT 'katz', v.ord, v.ctx, v.fraction, v.trim, v.lvl, b.rnk, b.pred FROM sv v JOIN ct b ON b.fraction = v.fraction AND b.trim = v.trim AND b.n = v.n AND b.w = v.w WHERE b.rnk <= 5 "
+        "UNION ALL SELECT m.m, df.* FROM df, (VALUES ('sbo'), ('katz')) m(m))",
+        "kf AS (SELECT model, ord, ctx, fraction, trim, pred, max(lvl) AS lvl, arg_max(rnk, lvl) AS r FROM cand GROUP BY ALL)",
+        "an AS (SELECT *, row_number() OVER (PARTITION BY model, ord, ctx, fraction, trim ORDER BY lvl DESC, r) AS rnk FROM kf QUALIFY rnk <= 3)",
+        "ev AS (SELECT a.model, a.ord, a.fraction, a.trim, s.dataset, sum(s.cnt * (4 - a.rnk)) AS score, sum(s.cnt) AS top3, coalesce(sum(s.cnt) FILTER (WHERE a.rnk = 1), 0) AS top1 FROM sp s "
+        "JOIN an a ON a.ord = s.ord AND a.ctx = s.ctx AND a.pred = s.next_word GROUP BY ALL)",
+        "tt AS (SELECT m.m AS model, ord, fraction, trim, dataset, sum(cnt) AS total FROM sp, gr, (VALUES ('sbo'), ('katz')) m(m) GROUP BY ALL)") + (
+        " SELECT tt.model, CAST(tt.ord AS BIGINT) AS model_order, tt.fraction, CAST(tt.trim AS BIGINT) AS trim, round(100 * avg(coalesce(score, 0) / (3 * total)), 6) AS overall_score_percent, "
+        "round(100 * avg(coalesce(top3, 0) / total), 6) AS precision_top3, round(100 * avg(coalesce(top1, 0) / total), 6) AS precision_top1, "
+        "round(100 * (1 - avg(coalesce(top1, 0) / total)), 6) AS word_error_rate, CAST(sum(total) AS BIGINT) AS number_of_predictions FROM tt LEFT JOIN ev "
+        "ON ev.model = tt.model AND ev.ord = tt.ord AND ev.fraction = tt.fraction AND ev.trim = tt.trim AND ev.dataset = tt.dataset GROUP BY tt.model, tt.ord, tt.fraction, tt.trim")
+
+
+@query("eval_sweep", _sweep_sql())
+def q_eval_sweep(spark, sf):
+    """H7: 2 orders x 2 nested samples x 2 trims x {stupid backoff, Katz}, a row each."""
+    s = PL.sweep(spark, sf, SWEEP_ORDERS, SWEEP_FRACTIONS, SWEEP_TRIMS)
+    return s.select("model", F.col("order").cast("long").alias("model_order"), "fraction", F.col("trim").cast("long").alias("trim"),
+                    *[F.round(c, 6).alias(c) for c in ("overall_score_percent", "precision_top3", "precision_top1", "word_error_rate")], "number_of_predictions")

@@ -7,6 +7,11 @@ executor or driver loss finds its finished stages again.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +22,72 @@ def table_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
-def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write the stage once (skipped when already complete) and read it
-    back, cutting the lineage.  Completion is the ``_SUCCESS`` marker."""
-    spark = df.sparkSession
-    if not _exists(spark, path):
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Digest of the files below ``paths``: their names, sizes and times of
+    change.  A listing only, nothing is read."""
+    seen = []
+    for path in paths:
+        p, fs = _path(spark, path)
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            name = f.getPath().getName()
+            if not name.startswith(("_", ".")):
+                seen.append(f"{f.getPath().toUri().getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
+def committed(spark: SparkSession, folder: str) -> str | None:
+    """The data folder that a stage's commit marker names, if it is there."""
+    p, fs = _path(spark, f"{folder}/_COMMITTED")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        name = bytes(stream.readNBytes(1 << 10)).decode()
+    finally:
+        stream.close()
+    return f"{folder}/{name}"
+
+
+def stage(spark: SparkSession, name: str, inputs: Sequence[str], params: dict, build: Callable[[], DataFrame],
+          partition_by: Sequence[str] = (), root: str | None = None) -> DataFrame:
+    """The table that ``build`` makes from the files ``inputs`` under
+    ``params``, made once and read back from then on, also by later jobs.
+
+    The folder is named by the inputs' fingerprint and the parameters, so a
+    changed file or parameter gives another stage.  Each attempt writes to a
+    folder of its own and is committed by a marker, created only if none is
+    there: a job that dies while writing leaves no marker, and of two that
+    write at a time the first to commit wins and both read its table."""
+    key = json.dumps([name, params, list(partition_by)], sort_keys=True, default=str)
+    digest = hashlib.sha256((input_fingerprint(spark, inputs) + key).encode()).hexdigest()[:24]
+    folder = f"{root or table_root(spark)}/stages/{name}-{digest}"
+    done = committed(spark, folder)
+    if done is None:
+        attempt = f"attempt-{uuid.uuid4().hex}"
+        w = build().write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{folder}/{attempt}")
+        _commit(spark, folder, attempt)
+        done = committed(spark, folder)
+    return spark.read.parquet(done)
+
+
+def _commit(spark: SparkSession, folder: str, attempt: str) -> None:
+    """Write the marker whole and move it into place; a marker that is there stays."""
+    draft, fs = _path(spark, f"{folder}/_{attempt}")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(attempt.encode()))
+    stream.close()
+    marker, _ = _path(spark, f"{folder}/_COMMITTED")
+    if fs.exists(marker) or not fs.rename(draft, marker):
+        fs.delete(draft, False)
 
 
 def publish_sbo(model: DataFrame, path: str) -> DataFrame:
