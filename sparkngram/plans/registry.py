@@ -337,9 +337,8 @@ def q_absdisc_trigram(spark, sf):
     """Per history and part (trigram / bigram / rest): explicit words and
     probability mass of the absolute-discount distribution."""
     counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
-    d = AD.absdisc_distribution(counts, _histories(spark, sf), 0.5, 0.5)
-    p = F.when(F.isnan("prob"), F.lit(None)).otherwise(F.col("prob"))
-    return d.groupBy("h", "kind").agg(F.count("word").alias("words"), F.round(F.sum(p) + F.lit(1e-10), 6).alias("mass"))
+    d = AD.absdisc_masses(counts, _histories(spark, sf), 0.5, 0.5)
+    return d.select("h", "kind", "words", F.round(F.col("mass") + F.lit(1e-10), 6).alias("mass"))
 
 
 @query("absdisc_argmax", O.ctes(*_AD, "adr AS (SELECT x.h, x.alpha3 * x.alpha2 / x.sum_q / x.pool_u AS coef FROM adq x WHERE x.pool_u > 0)",
@@ -353,10 +352,31 @@ def q_absdisc_trigram(spark, sf):
        " SELECT h, word, round(prob, 9) AS prob FROM (SELECT h, word, prob, row_number() OVER (PARTITION BY h ORDER BY prob DESC, word) AS rn FROM adall) z WHERE rn = 1")
 def q_absdisc_argmax(spark, sf):
     counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
-    a = AD.absdisc_argmax(counts, _histories(spark, sf), 0.5, 0.5)
+    a = AD.absdisc_argmax(counts, _histories(spark, sf), 0.5, 0.5, store=PL.materialize)
     return a.select("h", "word", r9(F.col("prob")).alias("prob"))
 
 
+@query("absdisc_words", O.ctes(
+    *_AD, "adr AS (SELECT DISTINCT h, word FROM (SELECT replace(ctx, ' ', '_') AS h, next_word AS word FROM ("
+    "SELECT CASE WHEN len(cw) = 0 THEN '' ELSE array_to_string(cw[len(cw) - least(len(cw), 2) + 1 : len(cw)], ' ') END AS ctx, next_word FROM ("
+    f"SELECT lower(next_word) AS next_word, {T.tokens(T.clean_query(chr(39) + chr(39) + ' || prefix'))} AS cw FROM ("
+    "SELECT next_word, CASE WHEN pos = 0 THEN '' ELSE array_to_string(ws[1:pos], ' ') || ' ' END AS prefix FROM pairs) a) b) c WHERE ctx LIKE '% %' "
+    "UNION ALL SELECT h, c FROM ad3) d)",
+    "adp AS (SELECT r.h, r.word, coalesce(d.kind, CASE WHEN u.cu IS NOT NULL THEN 'unigram' END) AS kind, "
+    "CASE WHEN d.kind IS NOT NULL THEN d.prob WHEN q.pool_u > 0 THEN q.alpha3 * q.alpha2 * u.cu / q.pool_u / q.sum_q END AS prob "
+    "FROM adr r JOIN adq q ON q.h = r.h LEFT JOIN addist d ON d.h = r.h AND d.word = r.word LEFT JOIN adu u ON u.c = r.word)") +
+    " SELECT h, word, kind, CASE WHEN isfinite(prob) THEN round(prob, 9) END AS prob FROM adp")
+def q_absdisc_words(spark, sf):
+    """F11-F19 per word: the probability of every word seen after a held-out
+    history, in training or in the held-out text itself, and its level."""
+    counts = PL.ngram_counts(spark, sf, (1, 2, 3), 1)
+    cp = PL.materialize(PL.katz_context_pairs(spark, sf).where(F.col("ctx").contains(" "))
+                        .select(F.regexp_replace("ctx", " ", "_").alias("h"), F.col("next_word").alias("word")).distinct())
+    seen = AD.observed(counts, cp).select("h", F.col("c").alias("word"))
+    p = AD.absdisc_probability(counts, cp.union(seen), backoff=AD.absdisc_backoff(counts, cp))
+    return p.select("h", "word", "kind", r9(F.col("prob")).alias("prob"))
+
+
 # ---------------------------------------------------------------- sampling / summary
 
 from sparkngram.operators import sampling as SM  # noqa: E402

@@ -118,3 +118,94 @@ def test_katz_prefix(spark):
     assert approx(t["w10"].leftover, 0.066667)
     assert approx(sum(r.prob for r in t.values()) + t["w1"].leftover, 1.0)
     assert not math.isnan(t["w1"].leftover)
+
+
+# ---------------------------------------------------------------- word-level absolute discounting, one hot last word
+
+def _brute_absdisc(counts, h, g2, g3):
+    """The whole distribution of one history, word by word as defined."""
+    one = {w: f for (n, w), f in counts.items() if n == 1}
+    two = {w: f for (n, w), f in counts.items() if n == 2}
+    three = {w: f for (n, w), f in counts.items() if n == 3}
+    b = h.split("_")[-1]
+    seen = {w.split("_")[2]: f for w, f in three.items() if w.rsplit("_", 1)[0] == h}
+    after = {w.split("_")[1]: f for w, f in two.items() if w.split("_")[0] == b}
+    p = {c: (f - g3) / two[h] for c, f in seen.items()}
+    alpha3 = 1 - sum(p.values()) if seen else 1.0
+    alpha2 = 1 - sum(f - g2 for f in after.values()) / one[b] if after else 0.0
+    pool = sum(f for c, f in one.items() if c not in after and c not in seen)
+    q = {c: (after[c] - g2) / one[b] if c in after else alpha2 * one[c] / pool for c in one if c not in seen}
+    return p | {c: alpha3 * v / sum(q.values()) for c, v in q.items()}
+
+
+def test_absdisc_words_and_argmax_with_a_hot_last_word(spark):
+    """One last word follows and precedes a third of the text; no join makes histories x its continuations."""
+    import random
+    from collections import Counter
+    from sparkngram.operators import absdisc as A
+    from sparkngram.operators.ngrams import count_ngrams
+    from pyspark.sql import functions as F
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    lines = [" ".join(x for _ in range(12) for x in (["the"] if r.random() < .33 else []) + [words[min(int(r.expovariate(.08)), 59)]]) for _ in range(250)]
+    counts = count_ngrams(spark.createDataFrame([(t,) for t in lines], "line string").select(F.split("line", " ").alias("tokens")), "tokens", (1, 2, 3)).cache()
+    table = {(x.n, x.word): x.freq for x in counts.collect()}
+    hs = sorted({w for (n, w) in table if n == 2 and w.endswith("_the")})[:40] + ["w1_w2", "w0_w50", "w58_w59", "the_w0"]
+    hs = [h for h in hs if (2, h) in table]
+    hist = spark.createDataFrame([(h,) for h in hs], "h string")
+    want = {h: _brute_absdisc(table, h, .5, .5) for h in hs}
+    req = spark.createDataFrame([(h, w) for h in hs for w in [*words, "the", "never"]], "h string, word string")
+    df = A.absdisc_probability(counts, req)
+    got = {(x.h, x.word): x.prob for x in df.collect()}
+    for h in hs:
+        assert got[h, "never"] is None
+        for w, p in want[h].items():
+            assert got[h, w] == pytest.approx(p, abs=1e-12)
+    masses = Counter()
+    for x in A.absdisc_masses(counts, hist).collect():
+        masses[x.h] += x.mass
+    assert all(masses[h] == pytest.approx(1) for h in hs)
+    for short in (256, 3):  # 3: the exact path of histories that have seen all of the first rows
+        best = {x.h: (x.word, x.prob) for x in A.absdisc_argmax(counts, hist, short=short).collect()}
+        for h in hs:
+            p = max(want[h].values())
+            assert best[h][1] == pytest.approx(p) and best[h][0] == min(w for w, v in want[h].items() if v > p - 1e-12)
+
+
+def test_katz_chain_weights_sum_to_one(spark):
+    """G12's model: what a history gives its own words and, through the weight, the shorter history's others is one."""
+    import random
+    from sparkngram.operators.katz_chain import KatzChain, predict_chain
+    from sparkngram.operators.ngrams import count_ngrams
+    from sparkngram.operators.goodturing import gt_table
+    from pyspark.sql import functions as F
+    r = random.Random(9)
+    lines = [" ".join(f"w{min(int(r.expovariate(.15)), 40)}" for _ in range(15)) for _ in range(300)]
+    counts = count_ngrams(spark.createDataFrame([(t,) for t in lines], "line string").select(F.split("line", " ").alias("tokens")), "tokens", (1, 2, 3, 4)).cache()
+    gt = gt_table(counts, (2, 3, 4))
+    gt = gt.withColumn("discount", F.least("discount", F.lit(0.9))).cache()  # every order holds something back
+    m = KatzChain(counts, gt, 4, 5)
+    d = {(x.n, x.r): x.discount for x in gt.collect() if x.r and x.r <= 5}
+    fd = {(x.n, x.word): x.freq * d.get((x.n, x.freq), 1.0) for x in counts.where("n > 1").collect()}
+    sf, own = {}, {}
+    for x in counts.where("n > 1").collect():
+        sf[x.n, x.w] = sf.get((x.n, x.w), 0) + x.freq
+        own.setdefault((x.n, x.w), {})[x.pred] = fd[x.n, x.word]
+    alpha = {(x.n, x.w): x.alpha for x in m.weights.collect()}
+    for (n, w), words in own.items():
+        if n > 2 and alpha[n, w] > 0:
+            low = w.split("_", 1)[1]
+            mass = sum(words.values()) / sf[n, w] + alpha[n, w] * sum(v for c, v in own[n - 1, low].items() if c not in words) / sf[n - 1, low]
+            assert mass == pytest.approx(1)
+
+    def p(n, w, c):
+        if (n, w) not in own:
+            return p(n - 1, w.split("_", 1)[1], c) if n > 2 else None
+        if c in own[n, w]:
+            return own[n, w][c] / sf[n, w]
+        return alpha[n, w] * p(n - 1, w.split("_", 1)[1], c) if n > 2 else None
+
+    q = spark.createDataFrame([(i, t.split()[:3]) for i, t in enumerate(lines[:60])] + [(60, ["w0"]), (61, []), (62, ["never", "w1"])], "id int, words array<string>")
+    for x in predict_chain(q, m, ["id"]).collect():
+        words = q.where(f"id = {x.id}").first().words if x.id >= 60 else lines[x.id].split()[:3]
+        assert x.score == pytest.approx(p(len(words) + 1, "_".join(words), x.word))
