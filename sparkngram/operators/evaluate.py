@@ -78,6 +78,13 @@ def dataset_report(ranked: DataFrame, lines: DataFrame, group: str = "dataset")
           for c in ("score", "max_score", "hit_count_top3", "hit_count_top1", "total_count")])
 
 
+def hashed_report(report: DataFrame, raw_lines: DataFrame, group: str = "dataset") -> DataFrame:
+    """H3 with its hash: each set's report and the fingerprint of the raw lines
+    that it was made from, so that two reports are known to be about one set."""
+    from sparkngram.sources.corpus import line_set_fingerprint
+    return report.join(line_set_fingerprint(raw_lines, group).select(F.col(group).alias("list_name"), "hash"), "list_name", "left")
+
+
 def overall(report: DataFrame) -> DataFrame:
     """H4 + H8: unweighted means over datasets, in percent."""
     return report.agg(

@@ -84,6 +84,25 @@ def merge_counts_outer(a: DataFrame, b: DataFrame) -> DataFrame:
     return split_prefix(j.select("n", "word", (F.coalesce("fa", F.lit(0)) + F.coalesce("fb", F.lit(0))).alias("freq")))
 
 
+def ordered_counts(runs: Sequence[DataFrame], by: str = "name") -> DataFrame:
+    """E8 + E9: count tables merged and put in one global order, ``(n, word,
+    freq, position)`` with positions 1, 2, ... over the whole result.
+
+    ``by="name"``: by order and n-gram (the key order of an aggregated table);
+    ``by="freq"``: by frequency, greatest first, ties by order and n-gram.  The
+    runs' rows are summed per n-gram, range-partitioned and sorted within the
+    partitions; positions add the sizes of the partitions before."""
+    from sparkngram.operators.ranking import global_rank
+    u = runs[0].select("n", "word", "freq")
+    for t in runs[1:]:
+        u = u.unionByName(t.select("n", "word", "freq"))
+    u = u.groupBy("n", "word").agg(F.sum("freq").alias("freq"))
+    name = [F.col("n").asc(), F.col("word").asc()]
+    if by not in ("name", "freq"):
+        raise ValueError(f"no order {by}")
+    return global_rank(u, name if by == "name" else [F.col("freq").desc(), *name], "position")
+
+
 def freq_of_freq(counts: DataFrame, max_r: int = 7) -> DataFrame:
     """``(n, r, n_r, n_types)`` for r = 1..max_r, zero-filled, joined on
     the value r (not on position).  ``n_types`` is the number of types of

@@ -107,6 +107,23 @@ def predict_sbo(q: DataFrame, model: DataFrame, keys: Sequence[str], words: str
                                          F.lit(None).cast("double").alias("score"), F.lit(0).alias("rnk")))
 
 
+def first_hit_counts(q: DataFrame, counts: DataFrame, keys: Sequence[str], words: str = "words", max_history: int = 3, k: int = 5,
+                     message: str = NO_MATCH) -> DataFrame:
+    """The ``k`` most frequent continuations of the longest history (up to
+    ``max_history`` words) that has any, with their counts; a phrase without
+    one gets ``message`` at rank 0.  Returns ``keys, rnk, word, freq``."""
+    keys = list(keys)
+    lv = suffix_levels(q, keys, words, max_history + 1)
+    top = top_by_group(counts.where("n >= 2").select("n", "w", "pred", "freq"), ["n", "w"], [F.col("freq").desc(), F.col("pred").asc()], k)
+    hit = lv.join(top, ["n", "w"])
+    # k rows per phrase and level: the longest level's are gathered as one struct
+    best = hit.groupBy(*keys, "level").agg(F.collect_list(F.struct("rnk", "pred", "freq")).alias("rows")) \
+        .groupBy(*keys).agg(F.max_by("rows", "level").alias("rows"))
+    found = best.select(*keys, F.explode("rows").alias("x")).select(*keys, F.col("x.rnk").alias("rnk"), F.col("x.pred").alias("word"), F.col("x.freq").alias("freq"))
+    none = q.select(*keys).join(best.select(*keys), keys, "left_anti")
+    return found.unionByName(none.select(*keys, F.lit(0).alias("rnk"), F.lit(message).alias("word"), F.lit(None).cast("long").alias("freq")))
+
+
 def baseline(q: DataFrame, keys: Sequence[str], defaults: Sequence[str] = EVAL_DEFAULTS) -> DataFrame:
     """The constant predictor."""
     d = _defaults_rows(q.select(*keys), keys, defaults)

@@ -55,6 +55,36 @@ def cooccurrence(d: DataFrame, doc: str, k: int = 50) -> DataFrame:
         F.sum(F.col("c1") * F.col("c2")).alias("count"))
 
 
+def full_cooccurrence(d: DataFrame, doc: str, min_freq: int = 1, min_count: int = 1, block: int = 256) -> DataFrame:
+    """``(f1, f2, count)`` for all pairs f1 < f2 of features with a total
+    count of at least ``min_freq``, ``count = sum_d x_d,f1 * x_d,f2``.
+
+    A document's features are cut into blocks of about ``block`` by hash; every
+    pair of its blocks is a row of its own, which makes at most about block**2
+    pairs, so the pairs of a long document are made by many tasks and none holds
+    them all.  They are summed before the shuffle.  With ``min_count`` only
+    pairs of that count are wanted: as ``count**2 <= S_f1 * S_f2`` with
+    ``S_f = sum_d x_d,f**2``, features whose bound with the greatest S falls
+    short are dropped first, which loses no pair."""
+    total = d.groupBy("feature").agg(F.sum("count").alias("freq"), F.sum(F.col("count") * F.col("count")).alias("s")).where(F.col("freq") >= min_freq)
+    if min_count > 1:
+        most = total.agg(F.max("s").alias("_most"))  # one row
+        total = total.crossJoin(F.broadcast(most)).where(F.col("s").cast("double") * F.col("_most") >= float(min_count) ** 2)
+    x = d.join(total.select("feature"), "feature", "left_semi").select(doc, "feature", "count")
+    size = x.groupBy(doc).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    x = x.join(size, doc).withColumn("b", F.pmod(F.xxhash64("feature"), "blocks").cast("int"))
+    part = x.groupBy(doc, "blocks", "b").agg(F.collect_list(F.struct("feature", "count")).alias("fs"))
+    # block i meets every block j >= i of its document: each block goes to one row per partner
+    ends = part.select(doc, "b", "fs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    ends = ends.select(doc, F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") <= F.col("o")).alias("left"), "fs")
+    met = ends.groupBy(doc, "i", "j").agg(F.max(F.when(F.col("left"), F.col("fs"))).alias("l"),
+                                          F.coalesce(F.max(F.when(~F.col("left"), F.col("fs"))), F.max(F.when(F.col("left") & (F.col("i") == F.col("j")), F.col("fs")))).alias("r"))
+    one = met.where("r is not null").select("i", "j", "r", F.explode("l").alias("a"))
+    two = one.select("i", "j", "a", F.explode("r").alias("z")).where("i < j or a.feature < z.feature")
+    return (two.select(F.least("a.feature", "z.feature").alias("f1"), F.greatest("a.feature", "z.feature").alias("f2"), (F.col("a.count") * F.col("z.count")).alias("c"))
+            .groupBy("f1", "f2").agg(F.sum("c").alias("count")).where(F.col("count") >= min_count))
+
+
 def feature_sizes(d: DataFrame, k: int = 50, scale: float = 3.0) -> DataFrame:
     """``log(freq) / max(log(freq)) * scale`` for the top-k features."""
     topf = d.groupBy("feature").agg(F.sum("count").alias("freq")) \
@@ -124,6 +154,39 @@ def doc_distance(d: DataFrame, pairs: DataFrame, doc: str = "doc_id") -> DataFra
     return out.select("doc_a", "doc_b", F.sqrt(F.greatest(val.cast("double"), F.lit(0.0))).alias("distance"))
 
 
+def pairwise_distance(d: DataFrame, queries: DataFrame, doc: str = "doc_id", block: int = 1000, hot_rows: int | None = None) -> DataFrame:
+    """``(query, doc, distance)``, the Euclidean distance on counts of
+    every document of ``queries`` (one column) to every document of ``d``.
+
+    ``|x|^2 + |y|^2`` comes from a block-wise pairing (blocks of about ``block``
+    queries and of as many documents; the answer has a row per pair anyway),
+    ``-2 x.y`` from an inverted index: both sides meet by feature.  A feature
+    with more than ``hot_rows`` documents is cut into parts by document, and its
+    few query rows go to each part.  Both kinds of rows are summed per pair, as
+    whole numbers, before and after one shuffle."""
+    from sparkngram.plans.joins import HOT_ROWS, MAX_HOT_KEYS, _conf_int, _hot_keys
+    hot_rows = hot_rows or _conf_int(d, "sparkngram.hotRows", HOT_ROWS)
+    q = queries.select(F.col(queries.columns[0]).alias("query")).distinct()
+    sq = d.groupBy(F.col(doc).alias("doc")).agg(F.sum(F.col("count") * F.col("count")).alias("sq"))
+    # hot features: a bounded list, with the number of parts of each
+    per = d.groupBy("feature").agg(F.count(F.lit(1)).alias("k"))
+    hot = F.broadcast(_hot_keys(per, ["feature"], "k", hot_rows, _conf_int(d, "sparkngram.maxHotKeys", MAX_HOT_KEYS))
+                      .select("feature", F.ceil(F.col("k") / F.lit(hot_rows)).cast("int").alias("parts")))
+    x = d.select(F.col(doc).alias("doc"), "feature", "count").join(hot, "feature", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    mine = x.join(q.select(F.col("query").alias("doc")), "doc", "left_semi").select(
+        F.col("doc").alias("query"), "feature", F.col("count").alias("qc"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dot = (x.withColumn("part", F.pmod(F.xxhash64("doc"), "parts").cast("int")).join(mine, ["feature", "part"])
+           .select("query", "doc", (F.lit(-2) * F.col("count") * F.col("qc")).alias("v")))
+    # the grid of query blocks and document blocks
+    blocks = q.agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("qb")).crossJoin(sq.agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("db")))  # one row
+    left = (q.join(sq.select(F.col("doc").alias("query"), F.col("sq").alias("s1")), "query", "left").crossJoin(F.broadcast(blocks))
+            .select("query", F.coalesce("s1", F.lit(0)).alias("s1"), F.pmod(F.xxhash64("query"), "qb").alias("i"), F.explode(F.sequence(F.lit(0), F.col("db") - 1)).alias("j")))
+    right = (sq.crossJoin(F.broadcast(blocks))
+             .select("doc", "sq", F.pmod(F.xxhash64("doc"), "db").cast("int").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb").cast("long") - 1)).alias("i")))
+    base = left.join(right, ["i", "j"]).select("query", "doc", (F.col("s1") + F.col("sq")).alias("v"))
+    return base.unionByName(dot).groupBy("query", "doc").agg(F.sqrt(F.sum("v").cast("double")).alias("distance"))
+
+
 def group_max(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Per-group maximum ignoring nulls, null when all are null."""
     return df.groupBy(*group).agg(F.max(value).alias(f"max_{value}"))

@@ -1192,3 +1192,108 @@ def q_eval_sweep(spark, sf):
     s = PL.sweep(spark, sf, SWEEP_ORDERS, SWEEP_FRACTIONS, SWEEP_TRIMS)
     return s.select("model", F.col("order").cast("long").alias("model_order"), "fraction", F.col("trim").cast("long").alias("trim"),
                     *[F.round(c, 6).alias(c) for c in ("overall_score_percent", "precision_top3", "precision_top1", "word_error_rate")], "number_of_predictions")
+
+
+# ---------------------------------------------------------------- pairwise statistics, orders, files, event time
+
+@query("doc_distances", O.ctes(*_TRAIN, _DFM,
+                               "dd AS (SELECT doc_id, feature, CAST(sum(count) AS BIGINT) AS count FROM dfm GROUP BY doc_id, feature)",
+                               "sq AS (SELECT doc_id, sum(count * count) AS sq FROM dd GROUP BY doc_id)",
+                               "qs AS (SELECT DISTINCT doc_id AS query FROM documents WHERE lang = 'en' AND doc_id % 50 = 0)",
+                               "dt AS (SELECT x.doc_id AS query, y.doc_id AS doc, sum(x.count * y.count) AS dot FROM dd x JOIN qs ON qs.query = x.doc_id "
+                               "JOIN dd y ON y.feature = x.feature GROUP BY ALL)") +
+       " SELECT qs.query, s.doc_id AS doc, round(sqrt(CAST(coalesce(a.sq, 0) + s.sq - 2 * coalesce(t.dot, 0) AS DOUBLE)), 9) AS distance "
+       "FROM qs CROSS JOIN sq s LEFT JOIN sq a ON a.doc_id = qs.query LEFT JOIN dt t ON t.query = qs.query AND t.doc = s.doc_id")
+def q_doc_distances(spark, sf):
+    """Documents whose id is divisible by 50 against all documents."""
+    d = PL.materialize(PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count")))
+    q = corpus.table(spark, sf, "documents").where((F.col("lang") == "en") & (F.col("doc_id") % 50 == 0)).select("doc_id")
+    return ST.pairwise_distance(d, q).select("query", "doc", r9(F.col("distance")).alias("distance"))
+
+
+@query("cooccurrence_full", O.ctes(*_TRAIN, _DFM,
+                                   "dd AS (SELECT doc_id, feature, CAST(sum(count) AS BIGINT) AS count FROM dfm GROUP BY doc_id, feature "
+                                   "QUALIFY sum(sum(count)) OVER (PARTITION BY feature) >= 100)") +
+       " SELECT a.feature AS f1, b.feature AS f2, CAST(sum(a.count * b.count) AS BIGINT) AS count FROM dd a JOIN dd b ON a.doc_id = b.doc_id AND a.feature < b.feature GROUP BY ALL")
+def q_cooccurrence_full(spark, sf):
+    """I6 for all features seen at least 100 times."""
+    d = PL.materialize(PL.train_dfm(spark, sf).groupBy("doc_id", "feature").agg(F.sum("count").alias("count")))
+    return ST.full_cooccurrence(d, "doc_id", 100)
+
+
+@query("ordered_by_name", O.ctes(*_TRAIN, O.grams((1, 2)), O.counts(1)) +
+       " SELECT n, word, freq, row_number() OVER (ORDER BY n, word) AS position FROM counts")
+def q_ordered_by_name(spark, sf):
+    """Per-source count tables re-aggregated in key order."""
+    t = PL.train_tokens(spark, sf)
+    per = NG.explode_ngrams(t, "tokens", (1, 2), keep=["source"]).groupBy("source", "n", "word").agg(F.count(F.lit(1)).alias("freq"))
+    o = NG.ordered_counts([per], "name")
+    return o.select(F.col("n").cast("long").alias("n"), "word", "freq", F.col("position").cast("long").alias("position"))
+
+
+@query("ordered_by_freq", O.ctes(*_TRAIN, O.grams((1, 2, 3)), O.counts(1)) +
+       " SELECT n, word, freq, row_number() OVER (ORDER BY freq DESC, n, word) AS position FROM counts")
+def q_ordered_by_freq(spark, sf):
+    """N-grams of orders 1 to 3 by frequency."""
+    o = NG.ordered_counts([PL.ngram_counts(spark, sf, (n,), 1) for n in (1, 2, 3)], "freq")
+    return o.select(F.col("n").cast("long").alias("n"), "word", "freq", F.col("position").cast("long").alias("position"))
+
+
+@query("file_docvars", "SELECT lang, source, count(*) AS lines, CAST(sum(len(line)) AS BIGINT) AS chars FROM ("
+       "SELECT lang, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE source IS NOT NULL) z GROUP BY lang, source")
+def q_file_docvars(spark, sf):
+    """A10: lines written to files named by language and source, read back
+    with both taken from the names."""
+    docs = corpus.table(spark, sf, "documents").where("source is not null")
+    # a carriage return would end a line of a text file: kept as a mark on the way
+    lines = corpus.explode_lines(corpus.spread(docs.select("doc_id", "lang", "source", "text"), "doc_id"), "text", ["lang", "source"])
+    path = _scratch(spark, "files")
+    SS.write_named_files(lines.withColumn("line", F.translate("line", "\r", "\x1f")), path, ["lang", "source"], "~")
+    back = SS.docvars_from_filenames(spark, path, ["lang", "source"], "~")
+    return back.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).alias("chars"))
+
+
+@query("stream_windows", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS freq FROM events GROUP BY ALL")
+def q_stream_windows(spark, sf):
+    """K2 with event time: events per day and type from a stream with a watermark."""
+    w = STR.stream_window_counts(spark, f"{sf}/events.parquet", "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+                                 "ts", ["event_type"], "1 day", "2 days")
+    return w.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "freq")
+
+
+@query("eval_report_hash", O.ctes(*_EVAL, O.sbo_predictions(), _HELD_NUMBERED.split("held AS", 1)[0] + "hraw AS (" + SQL["heldout_fingerprint"] + ")") +
+       " SELECT r.*, h.hash FROM (" + O.eval_report() + ") r LEFT JOIN hraw h ON h.dataset = r.list_name")
+def q_eval_report_hash(spark, sf):
+    """H3 as the reference prints it: each set's report with its hash."""
+    return E.hashed_report(PL.evaluate_sbo(spark, sf), corpus.heldout_lines(spark, sf))
+
+
+@query("predict_backoff_freq", O.ctes(
+    *_SBO, O.heldout_clean(), O.pairs(3),
+    "bq AS (SELECT ctx, list_filter(string_split(ctx, ' '), lambda x: x <> '') AS c FROM (" + _ctx(4) + ") z)",
+    "bl AS (SELECT ctx, lvl, lvl + 1 AS n, array_to_string(c[len(c) - lvl + 1 : len(c)], '_') AS w FROM (SELECT ctx, c, unnest(range(1, least(len(c), 3) + 1)) AS lvl FROM bq) z)",
+    "bh AS (SELECT bl.ctx, bl.lvl, c.pred, c.freq, max(bl.lvl) OVER (PARTITION BY bl.ctx) AS best FROM bl JOIN counts c ON c.n = bl.n AND c.w = bl.w)",
+    "br AS (SELECT ctx, pred, freq, row_number() OVER (PARTITION BY ctx ORDER BY freq DESC, pred) AS rnk FROM bh WHERE lvl = best)") +
+    f" SELECT ctx, CAST(rnk AS BIGINT) AS rnk, pred AS word, freq FROM br WHERE rnk <= 5 UNION ALL SELECT ctx, 0, '{P.NO_MATCH}', NULL FROM bq WHERE ctx NOT IN (SELECT ctx FROM br)")
+def q_predict_backoff_freq(spark, sf):
+    """First hit from 4-grams down, five rows with their counts."""
+    ctx = E.line_contexts(corpus.heldout_clean(spark, sf), 4).select("ctx").distinct()
+    q = PL.materialize(ctx.withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit(""))))
+    p = P.first_hit_counts(q, PL.ngram_counts(spark, sf, (2, 3, 4), 5), ["ctx"])
+    return p.select("ctx", F.col("rnk").cast("long").alias("rnk"), "word", "freq")
+
+
+@query("textbook_sbo", O.ctes(*_TRAIN, O.grams((1, 2, 3, 4)), O.counts(1)) +
+       " SELECT c.n, c.word, round(pow(0.4, 4 - c.n) * c.freq / p.freq, 9) AS score FROM counts c JOIN counts p ON p.n = c.n - 1 AND p.word = c.w "
+       "UNION ALL SELECT n, word, round(pow(0.4, 3) * freq / sum(freq) OVER (), 9) FROM counts WHERE n = 1")
+def q_textbook_sbo(spark, sf):
+    """scores by the count of the prefix n-gram itself."""
+    t = S.textbook_sbo(PL.ngram_counts(spark, sf, (1, 2, 3, 4), 1), 4)
+    return t.select(F.col("n").cast("long").alias("n"), "word", r9(F.col("score")).alias("score"))
+
+
+@query("published_old_layout", O.ctes(*_SBO, O.sbo_model()) + " SELECT w AS pre, pred AS word, n FROM model")
+def q_published_old_layout(spark, sf):
+    """The older lookup layout, read from the published table."""
+    t = SS.old_layout(SS.publish_sbo(PL.sbo_lookup(spark, sf), _scratch(spark, "sbo")))
+    return t.select("pre", "word", F.col("n").cast("long").alias("n"))

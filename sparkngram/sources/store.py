@@ -148,9 +148,19 @@ def text_round_trip(lines: DataFrame, path: str, col: str = "line") -> DataFrame
         F.lit(back.count()).alias("lines"))
 
 
-def docvars_from_filenames(df: DataFrame, sep: str = "_", names: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """A10: document variables from the input file name split by ``sep``
-    (file ``en_blogs.txt`` -> lang=en, source=blogs)."""
-    base = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1)
-    parts = F.split(base, sep)
-    return df.select("*", *[parts.getItem(i).alias(n) for i, n in enumerate(names)])
+def write_named_files(lines: DataFrame, path: str, names: Sequence[str], sep: str = "_", line: str = "line") -> None:
+    """Lines as text files in one folder per value of ``names``, which its name
+    spells out (``en_blogs/part-...``)."""
+    lines.select(F.col(line).alias("value"), F.concat_ws(sep, *names).alias("file")).write.mode("overwrite").partitionBy("file").text(path)
+
+
+def docvars_from_filenames(spark: SparkSession, path: str, names: Sequence[str] = ("lang", "source"), sep: str = "_") -> DataFrame:
+    """A10: the text files below ``path`` with document variables from their
+    names split by ``sep``: ``(line, file, *names)``; a file that Spark wrote
+    as parts is named by its folder.  A name with too few parts gives nulls."""
+    text = spark.read.option("recursiveFileLookup", True).text(path)
+    whole = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -1)
+    folder = F.regexp_replace(F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -2), "^file=", "")
+    name = F.when(whole.startswith("part-"), folder).otherwise(F.regexp_replace(whole, r"\.[^.]*$", ""))
+    named = text.select(F.col("value").alias("line"), name.alias("file"))
+    return named.select("*", *[F.get(F.split("file", sep), F.lit(i)).alias(n) for i, n in enumerate(names)])
