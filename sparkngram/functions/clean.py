@@ -11,13 +11,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The cleaning patterns must match the reference's to give its
+# results.  POSIX classes are written as Java's, which cover ASCII alike.
+NON_ASCII = r"[^\x00-\x7F]"
+PUNCTUATION = r"\p{Punct}+"
+DIGITS = r"\d+"
+UNDERSCORES = r"_+"
+COLON = r":"
+DOT = r"\."
+SINGLE_LETTER = r"\s([b-hj-z])\1{0,}\b"
+LETTER_RUN = r"(\p{Alpha})\1{2,}"
+DOUBLED_START = r"\s([a-z])\1{1,2}('(s|ve|d|re))?"
+
 # ---------------------------------------------------------------- single rules
 
 
 def to_ascii(c: Column) -> Column:
     """latin1->ASCII with unmappable bytes dropped; on UTF-8 text every
     non-ASCII character disappears."""
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "")
+    return F.regexp_replace(c, NON_ASCII, "")
 
 
 def lower(c: Column) -> Column:
@@ -27,12 +39,12 @@ def lower(c: Column) -> Column:
 
 def remove_punctuation(c: Column) -> Column:
     """Delete ASCII punctuation (``don't`` -> ``dont``)."""
-    return F.regexp_replace(c, r"\p{Punct}+", "")
+    return F.regexp_replace(c, PUNCTUATION, "")
 
 
 def remove_numbers(c: Column) -> Column:
     """C4."""
-    return F.regexp_replace(c, r"\d+", "")
+    return F.regexp_replace(c, DIGITS, "")
 
 
 def strip_whitespace(c: Column) -> Column:
@@ -47,30 +59,30 @@ def squish(c: Column) -> Column:
 
 def remove_underscores(c: Column) -> Column:
     """``_`` is the n-gram separator, so it may not survive in text."""
-    return F.regexp_replace(c, r"_+", "")
+    return F.regexp_replace(c, UNDERSCORES, "")
 
 
 def colon_dot_to_blank(c: Column) -> Column:
     """C7."""
-    return F.regexp_replace(F.regexp_replace(c, ":", " "), r"\.", " ")
+    return F.regexp_replace(F.regexp_replace(c, COLON, " "), DOT, " ")
 
 
 def drop_single_letters(c: Column) -> Column:
     """A one-letter word (and its repeats) other than a / i, after a
     blank, becomes a blank."""
-    return F.regexp_replace(c, r"\s([b-hj-z])\1*\b", " ")
+    return F.regexp_replace(c, SINGLE_LETTER, " ")
 
 
 def squeeze_letter_runs(c: Column) -> Column:
     """Three or more repeats of a letter become one."""
-    return F.regexp_replace(c, r"(\p{Alpha})\1{2,}", "$1")
+    return F.regexp_replace(c, LETTER_RUN, "$1")
 
 
 def drop_doubled_starts(c: Column) -> Column:
     """A doubled / tripled letter at a word start (with an optional
     's / 've / 'd / 're) becomes a blank.  No trailing word boundary, so
     `` oops`` -> `` ps``; kept as the reference does it."""
-    return F.regexp_replace(c, r"\s([a-z])\1{1,2}('(s|ve|d|re))?", " ")
+    return F.regexp_replace(c, DOUBLED_START, " ")
 
 
 def remove_urls(c: Column) -> Column:

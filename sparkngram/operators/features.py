@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkngram.plans.joins import checked_broadcast
+from sparkngram.plans.joins import checked_broadcast, materialize
 
 # A block list above this many entries is applied with a join instead of
 # an in-expression hash set.
@@ -16,27 +16,28 @@ INLINE_LIST_MAX = 50_000
 
 
 def remove_listed_tokens(df: DataFrame, tokens_col: str, words: DataFrame, keys: Sequence[str],
-                         word_col: str = "word") -> DataFrame:
-    """Drop every token that is on a list, neighbours close up.
+                         word_col: str = "word", inline_max: int = INLINE_LIST_MAX) -> DataFrame:
+    """Drop every token that is on a list, neighbours close up; every row
+    stays, whatever its ``keys`` (rows may share them), null tokens stay.
 
     A bounded list (checked count) becomes a literal ``IN`` set evaluated
     inside the codegen'd projection (Catalyst turns it into a hash set).
-    A longer list is applied as a broadcast-free anti join on exploded
-    positions, then the tokens are re-assembled in order.
+    A longer list is applied with an anti join on exploded positions; a row
+    number that is fixed first says to which row a token goes back.
     """
-    small, is_small = checked_broadcast(words.select(word_col).distinct(), INLINE_LIST_MAX)
+    words = words.select(F.col(word_col).alias("_tok")).where("_tok is not null").distinct()
+    small, is_small = checked_broadcast(words, inline_max)
     if is_small:
-        vals = [r[0] for r in small.collect()]  # <= INLINE_LIST_MAX short strings
+        vals = [r[0] for r in small.collect()]  # <= inline_max short strings
         if not vals:
             return df
-        return df.withColumn(tokens_col, F.filter(F.col(tokens_col), lambda x: ~x.isin(vals)))
-    keys = list(keys)
-    ex = df.select(*keys, F.posexplode(tokens_col).alias("_pos", "_tok"))
-    kept = ex.join(words.select(F.col(word_col).alias("_tok")).distinct(), "_tok", "left_anti")
-    back = kept.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_tok"))).alias("_a"))
-    back = back.select(*keys, F.transform("_a", lambda s: s["_tok"]).alias(tokens_col))
-    return df.drop(tokens_col).join(back, keys, "left").withColumn(
-        tokens_col, F.coalesce(F.col(tokens_col), F.array().cast("array<string>")))
+        return df.withColumn(tokens_col, F.filter(F.col(tokens_col), lambda x: x.isNull() | ~x.isin(vals)))
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    kept = rows.select("_row", F.posexplode(tokens_col).alias("_pos", "_tok")).join(words, "_tok", "left_anti")
+    back = kept.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_tok"))).alias("_a"))
+    back = rows.join(back.select("_row", F.transform("_a", lambda s: s["_tok"]).alias("_left")), "_row", "left")
+    none = F.when(F.col(tokens_col).isNotNull(), F.array().cast(df.schema[tokens_col].dataType))
+    return back.withColumn(tokens_col, F.coalesce("_left", none)).select(*df.columns)
 
 
 def blocklist_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -48,7 +49,8 @@ def blocklist_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def remove_listed_features(counts: DataFrame, words: DataFrame, feature: str = "word") -> DataFrame:
     """Drop features (whole n-grams) that exactly match a list entry."""
-    return counts.join(F.broadcast(words.select(F.col("word").alias(feature)).distinct()), feature, "left_anti")
+    listed, _ = checked_broadcast(words.select(F.col("word").alias(feature)).distinct(), INLINE_LIST_MAX)
+    return counts.join(listed, feature, "left_anti")
 
 
 def glob_to_regex(glob: str) -> str:

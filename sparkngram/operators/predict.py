@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 
 from sparkngram.operators.ngrams import SEP, top_by_group
 from pyspark.sql.window import Window
-from sparkngram.plans.joins import hot_split_join
+from sparkngram.plans.joins import checked_broadcast, lookup_join
 
 # Fixed values that must equal the reference's: default words and the
 # message for a phrase without a hit.
 EVAL_DEFAULTS = ("the", "on", "a")   # evaluation harness / constant baseline
 APP_DEFAULTS = ("the", "to", "and")  # interactive app
 NO_MATCH = "Sorry! Cannot Find it!"
+# Rows of a word list that may be broadcast.
+LIST_ROWS = 50_000
 
 
 def last_words(words: Column, n: int, sep: str = " ") -> Column:
@@ -83,7 +85,7 @@ def predict_sbo(q: DataFrame, model: DataFrame, keys: Sequence[str], words: str
     q = q.select(*keys, words, (empty if empty is not None else F.lit(False)).alias("_empty"))
     lv = suffix_levels(q.where(~F.col("_empty")), keys, words, m)
     mdl = model.where((F.col("n") >= 2) & (F.col("rnk") <= F.lit(per_level))).select("n", "w", "pred", "score", "rnk")
-    cand = hot_split_join(lv, mdl, ["n", "w"], "inner").select(*keys, "level", "rnk", "pred", "score")
+    cand = lookup_join(lv, mdl, ["n", "w"], "inner").select(*keys, "level", "rnk", "pred", "score")
     if first_hit_only:
         best = cand.groupBy(*keys).agg(F.max("level").alias("_best"))
         cand = cand.join(best, keys).where(F.col("level") == F.col("_best")).drop("_best")
@@ -124,6 +126,29 @@ def first_hit_counts(q: DataFrame, counts: DataFrame, keys: Sequence[str], words
     return found.unionByName(none.select(*keys, F.lit(0).alias("rnk"), F.lit(message).alias("word"), F.lit(None).cast("long").alias("freq")))
 
 
+def suggest_by_prefix(q: DataFrame, counts: DataFrame, stop: DataFrame, keys: Sequence[str], words: str = "words", top_order: int = 5,
+                      k: int = 3) -> DataFrame:
+    """The first ``k`` words that n-grams starting with the phrase's last
+    words end in, orders ``top_order`` to 2, each order's n-grams by frequency
+    (ties: name), then the first ``k`` unigrams; stop words (``stop``, column
+    word) and repeats are left out, so a phrase may get fewer than k words.
+
+    An n-gram starts with n - 1 given words and a separator exactly if these are
+    its prefix column, so the look-up is a join by key; what is dropped goes
+    before the cut to k rows per prefix.  Returns ``keys, rnk, word, level``."""
+    keys = list(keys)
+    small, _ = checked_broadcast(stop.select(F.col("word").alias("pred")).distinct(), LIST_ROWS)
+    order = [F.col("freq").desc(), F.col("pred").asc()]
+    high = counts.where((F.col("n") >= 2) & (F.col("n") <= top_order)).select("n", "w", "pred", "freq").join(small, "pred", "left_anti")
+    top = top_by_group(high, ["n", "w"], order, k)
+    uni = counts.where("n = 1").select(F.col("word").alias("pred"), "freq").orderBy(*order).limit(k)
+    uni = top_by_group(uni.withColumn("g", F.lit(0)), ["g"], order, k).join(small, "pred", "left_anti")  # k rows
+    q = q.select(*keys, F.transform(words, F.lower).alias(words))
+    cand = suffix_levels(q, keys, words, top_order).join(top, ["n", "w"]).select(*keys, "level", "rnk", "pred")
+    cand = cand.unionByName(q.select(*keys).crossJoin(F.broadcast(uni.select("rnk", "pred"))).select(*keys, F.lit(0).alias("level"), "rnk", "pred"))
+    return _rank_keep_first(cand.withColumn("score", F.lit(None).cast("double")), keys, k).drop("score")
+
+
 def baseline(q: DataFrame, keys: Sequence[str], defaults: Sequence[str] = EVAL_DEFAULTS) -> DataFrame:
     """The constant predictor."""
     d = _defaults_rows(q.select(*keys), keys, defaults)

@@ -6,9 +6,11 @@ Two shapes recur in language-model scoring:
   a hot prefix such as ``the`` can own a large share of all n-gram rows,
   and a plain shuffle join puts that whole group into one task;
 * many requests joined to a lookup table that has few rows per key
-  (``hot_split_join``): a popular request key is hot on the request side.
+  (``lookup_join``, ``split_hot_join``): a popular request key is hot on the
+  request side.
 
-Both split the hottest keys off and serve them with a broadcast hash join.
+The explicit forms split the hottest keys off and serve them with a broadcast
+hash join.
 The broadcast side is a ``limit(max_hot_keys)`` of keys (times the few
 lookup rows per key), so its size is bounded by construction and never by
 the data.  Everything else goes through the ordinary shuffle join, where no
@@ -68,15 +70,11 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: Sequence[Colum
     return hot_part.unionByName(cold_part)
 
 
-def hot_split_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                   hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``left.join(right, on, how)`` for a lookup ``right`` with few rows per key.
-
-    It is a plain join: nothing is split here.  Where both inputs reach it
-    through their own exchange, AQE's skew-join rule can split a hot request
-    key at run time.  The thresholds are not used; :func:`split_hot_join` is
-    the explicit form.
-    """
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Requests joined to a lookup table with few rows per key: a plain join.
+    Where both inputs reach it through their own exchange, AQE's skew-join rule
+    splits a hot request key at run time; :func:`split_hot_join` is the explicit
+    form for plans where they do not."""
     return left.join(right, list(on), how)
 
 

@@ -1297,3 +1297,45 @@ def q_published_old_layout(spark, sf):
     """The older lookup layout, read from the published table."""
     t = SS.old_layout(SS.publish_sbo(PL.sbo_lookup(spark, sf), _scratch(spark, "sbo")))
     return t.select("pre", "word", F.col("n").cast("long").alias("n"))
+
+
+@query("suggest_by_prefix", O.ctes(
+    *_TRAIN, O.grams((1, 2, 3, 4, 5)), O.counts(2), O.heldout_clean(), O.pairs(3),
+    "xq AS (SELECT ctx, list_filter(string_split(lower(ctx), ' '), lambda x: x <> '') AS c FROM (" + _ctx(5) + ") z)",
+    "xl AS (SELECT ctx, lvl, lvl + 1 AS n, array_to_string(c[len(c) - lvl + 1 : len(c)], '_') AS w FROM (SELECT ctx, c, unnest(range(1, least(len(c), 4) + 1)) AS lvl FROM xq) z)",
+    "xt AS (SELECT n, w, pred, freq FROM counts WHERE n > 1 AND pred NOT IN (" + _stop_sql() + ") UNION ALL "
+    "SELECT * FROM (SELECT n, '', word, freq FROM counts WHERE n = 1 ORDER BY freq DESC, word LIMIT 3) u WHERE word NOT IN (" + _stop_sql() + "))",
+    "xc AS (SELECT xl.ctx, xl.lvl, t.pred, t.freq FROM xl JOIN xt t ON t.n = xl.n AND t.w = xl.w UNION ALL SELECT q.ctx, 0, t.pred, t.freq FROM xq q, xt t WHERE t.n = 1)",
+    "xb AS (SELECT ctx, pred, max(lvl) AS lvl, arg_max(freq, lvl) AS freq FROM xc GROUP BY ctx, pred)") +
+    " SELECT ctx, word, rnk FROM (SELECT ctx, pred AS word, row_number() OVER (PARTITION BY ctx ORDER BY lvl DESC, freq DESC, pred) AS rnk FROM xb) z WHERE rnk <= 3")
+def q_suggest_by_prefix(spark, sf):
+    """Words that 5- to 1-grams with the phrase's last words as prefix end in, stop words left out."""
+    ctx = E.line_contexts(corpus.heldout_clean(spark, sf), 5).select("ctx").distinct()
+    q = PL.materialize(ctx.withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit(""))))
+    p = P.suggest_by_prefix(q, PL.ngram_counts(spark, sf, (1, 2, 3, 4, 5), 2), FT.stop_words(spark), ["ctx"])
+    return p.select("ctx", "word", F.col("rnk").cast("long").alias("rnk"))
+
+
+@query("blocklist_file", SQL["blocklist_tokens"])
+def q_blocklist_file(spark, sf):
+    """A3 + D2: the block list read from a text file with blanks, repeats and
+    carriage returns, then applied."""
+    path = _scratch(spark, "list")
+    spark.createDataFrame([(x,) for w in BLOCKLIST for x in (f"{w}  \r", w)] + [("\r",), ("",)], "value string").coalesce(1).write.text(path)
+    words = FT.blocklist_from_lines(spark.read.text(path))
+    t = FT.remove_listed_tokens(PL.train_tokens(spark, sf), "tokens", words, ["doc_id", "line_no"])
+    return t.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("clean_input", O.ctes(_NUMBERED_LINES) + " SELECT doc_id, line_no, regexp_replace(regexp_replace(regexp_replace(lower(line), "
+       "'[^a-zA-Z0-9[:space:]'']', '', 'g'), '^ {1,10}', ''), ' {2,10}', ' ', 'g') AS clean FROM nl")
+def q_clean_input(spark, sf):
+    """C14: the input cleaner of the interactive form."""
+    return corpus.training_lines(spark, sf).select("doc_id", F.col("line_no").cast("long").alias("line_no"), C.clean_input(F.col("line")).alias("clean"))
+
+
+@query("matching_whole_lines", O.ctes(O.train_lines()) +
+       " SELECT DISTINCT line FROM lines WHERE contains(line, 'the') AND NOT regexp_matches(rtrim(line), '(\\.\\.\\.|\u2026)$')")
+def q_matching_whole_lines(spark, sf):
+    """B6 with its test for lines that were cut short."""
+    return corpus.matching_lines(corpus.training_lines(spark, sf), "the", whole=True)

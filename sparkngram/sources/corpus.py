@@ -76,9 +76,13 @@ def line_set_fingerprint(df: DataFrame, group: str, line: str = "line") -> DataF
     return df.groupBy(group).agg(F.sum(part).cast("string").alias("hash"), F.count(F.lit(1)).alias("lines"))
 
 
-def matching_lines(lines: DataFrame, substring: str, line: str = "line") -> DataFrame:
-    """The distinct lines that contain ``substring``."""
-    return lines.where(F.col(line).contains(substring)).select(line).distinct()
+def matching_lines(lines: DataFrame, substring: str, line: str = "line", whole: bool = False) -> DataFrame:
+    """The distinct lines that contain ``substring``; ``whole`` leaves out
+    lines that were cut short, which an ellipsis at their end says."""
+    kept = lines.where(F.col(line).contains(substring))
+    if whole:
+        kept = kept.where(~F.rtrim(line).rlike("(\\.\\.\\.|\u2026)$"))
+    return kept.select(line).distinct()
 
 
 def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:

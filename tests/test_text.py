@@ -80,3 +80,21 @@ def test_stop_words_and_unk(spark):
     vocab = vocabulary(df, "tokens", 2)  # only "the" appears twice
     got = {r.id: r.tokens for r in unk_tokens(df, ["id"], "tokens", vocab).collect()}
     assert got == {1: ["the", "UNK", "UNK", "the", "UNK"], 2: ["UNK", "UNK"], 3: []}
+
+
+def test_list_removal_has_one_result_for_all_list_lengths(spark):
+    """Rows that share keys and tokens stay rows, by the literal set and by the join."""
+    from sparkngram.operators.features import remove_listed_tokens
+    rows = [(1, ["a", "b", "a"], "x"), (1, ["a", "b", "a"], "x"), (1, ["b"], "y"), (2, [], None), (3, None, "z"), (None, ["c", None, "b"], "q")]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, other string")
+    words = spark.createDataFrame([("b",), ("b",), (None,), ("nothere",)], "word string")
+    want = sorted([(1, ["a", "a"], "x"), (1, ["a", "a"], "x"), (1, [], "y"), (2, [], None), (3, None, "z"), (None, ["c", None], "q")], key=repr)
+    for most in (50_000, 0):
+        got = remove_listed_tokens(df, "tokens", words, ["id"], inline_max=most)
+        assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=repr) == want
+
+
+def test_whole_lines_only(spark):
+    from sparkngram.sources.corpus import matching_lines
+    df = spark.createDataFrame([("the end",), ("the end...",), ("the end\u2026 ",), ("none",), ("the end",)], "line string")
+    assert [r.line for r in matching_lines(df, "the", whole=True).collect()] == ["the end"]
