@@ -250,7 +250,24 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _alike(a, start, size, b, start_b, size_b) -> bool:
     """Whether every span of ``a`` holds the same bytes as its span of ``b``."""
-    return bool((size == size_b).all()) and bool((a[_spans(start, size)] == b[_spans(start_b, size)]).all())
+    if not (size == size_b).all():
+        return False
+    # spans that tile all of a need no gathering
+    tiles = len(start) > 0 and start[0] == 0 and size.sum() == len(a)
+    return bool(((a if tiles else a[_spans(start, size)]) == b[_spans(start_b, size)]).all())
+
+
+class Growing:
+    """An array that is added to at its end; its memory doubles when full."""
+
+    def __init__(self, kind):
+        self.data, self.used = np.zeros(0, kind), 0
+
+    def add(self, new: np.ndarray) -> None:
+        if self.used + len(new) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(len(self.data), len(new)), self.data.dtype)])
+        self.data[self.used:self.used + len(new)] = new
+        self.used += len(new)
 
 
 class Codec:
@@ -273,8 +290,8 @@ class Codec:
 
     def forget(self):
         self.hashes, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.at, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        self.count, self.flat = np.zeros(0, np.int64), Growing(np.int32)
+        self.at, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), Growing(np.uint8)
 
     def starts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Byte positions at which pieces start (``off``: the texts' bounds)."""
@@ -291,32 +308,35 @@ class Codec:
             out += [a + m.start() for m in self.find(text[a:b])]
         return head[np.array(out, np.int64)] if out else np.zeros(0, np.int64)
 
-    def merged(self, data, start, size) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces in their order, and their number per piece."""
-        short = size <= CACHED_BYTES
-        ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(size)
-        order = np.flatnonzero(short)
+    def merged(self, data, start, size) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, and where each piece's begin and how many they are."""
+        begin, count = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+        parts, total = [np.zeros(0, np.int64)], 0
+        order = np.flatnonzero(size <= CACHED_BYTES)
         width = np.ceil(np.log2(np.maximum(size[order], 1))).astype(np.int64)
-        for w in np.unique(width):
-            rows = order[width == w]
-            flat, count = merge_many(data, start[rows], size[rows], self.byte_id, self.pairs)
-            for row, part in zip(rows.tolist(), np.split(flat, np.cumsum(count)[:-1])):
-                ids[row] = part
-        for row in np.flatnonzero(~short).tolist():
-            ids[row] = np.array(merge_piece(data[start[row]:start[row] + size[row]].tobytes(), self.ranks), np.int64)
-        return np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int32), np.array([len(x) for x in ids], np.int64)
+        groups = [order[width == w] for w in np.unique(width)] + [np.array([r]) for r in np.flatnonzero(size > CACHED_BYTES)]
+        for rows in groups:
+            if size[rows[0]] <= CACHED_BYTES:
+                flat, n = merge_many(data, start[rows], size[rows], self.byte_id, self.pairs)
+            else:
+                i = start[rows[0]]
+                flat = np.array(merge_piece(data[i:i + size[rows[0]]].tobytes(), self.ranks), np.int64)
+                n = np.array([len(flat)])
+            begin[rows], count[rows] = np.cumsum(n) - n + total, n
+            parts.append(flat)
+            total += len(flat)
+        return np.concatenate(parts).astype(np.int32), begin, count
 
     def learn(self, data, start, size, hashes):
-        """Short pieces not seen before, added to what the worker knows."""
-        flat, count = self.merged(data, start, size)
-        begin = np.cumsum(count) - count + len(self.flat)
-        at = np.cumsum(size) - size + len(self.bytes)
-        h = np.concatenate([self.hashes, hashes])
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.flat = h[order], np.concatenate([self.flat, flat])
-        self.bytes = np.concatenate([self.bytes, data[_spans(start, size)]])
-        for name, new in (("begin", begin), ("count", count), ("at", at), ("size", size)):
-            setattr(self, name, np.concatenate([getattr(self, name), new])[order])
+        """Short pieces not seen before (hashes ascending), added to what the worker knows."""
+        flat, begin, count = self.merged(data, start, size)
+        begin += self.flat.used
+        at = np.cumsum(size) - size + self.bytes.used
+        self.flat.add(flat)
+        self.bytes.add(data[_spans(start, size)])
+        place = np.searchsorted(self.hashes, hashes)
+        for name, new in (("hashes", hashes), ("begin", begin), ("count", count), ("at", at), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), place, new))
 
     def encode_many(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of several texts laid end to end, and their bounds per text."""
@@ -342,16 +362,17 @@ class Codec:
         if len(new):
             self.learn(data, start[new], size[new], kinds[new])
         at = np.searchsorted(self.hashes, kinds[short])
-        if not _alike(data, start[short], size[short], self.bytes, self.at[at], self.size[at]):
+        if not _alike(data, start[short], size[short], self.bytes.data, self.at[at], self.size[at]):
             ids, count = self._plainly(data, start, size)
             begin, flat = np.cumsum(count) - count, ids
         else:
             long = np.flatnonzero(size > CACHED_BYTES)
-            more, n = self.merged(data, start[long], size[long])
-            begin, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+            flat, begin, count = self.flat.data, np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
             begin[short], count[short] = self.begin[at], self.count[at]
-            begin[long], count[long] = np.cumsum(n) - n + len(self.flat), n
-            flat = np.concatenate([self.flat, more]) if len(long) else self.flat
+            if len(long):
+                more, at, count[long] = self.merged(data, start[long], size[long])
+                begin[long] = at + len(flat)
+                flat = np.concatenate([flat, more])
         begin, count = begin[back], count[back]
         return flat[_spans(begin, count)], count
 
