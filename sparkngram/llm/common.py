@@ -45,6 +45,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+HOT_ROWS, HOT_KEYS = 1000, 4096
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: list[str], rows: int = HOT_ROWS, keys: int = HOT_KEYS) -> DataFrame:
+    """``left`` and ``right`` joined on ``key``, of which ``left`` may hold many
+    rows: those of a key with more than ``rows`` are dealt by the columns
+    ``by`` to as many parts as they fill, and only such a key's rows of
+    ``right`` are copied, once a part.  ``rows`` rises with the table so that
+    fewer than ``keys`` hot keys exist, which bounds the broadcast."""
+    left = cut(left)
+    limit = max(rows, -(-left.count() // keys))
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+    hot = cut(hot.select(key, F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")))
+    part = F.pmod(F.xxhash64(*by), F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("_part", part).drop("_parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    spread = right.join(F.broadcast(hot), key, "left").withColumn("_part", copies).drop("_parts")
+    return dealt.join(spread, [key, "_part"]).drop("_part")
+
+
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of an Arrow string or binary column without nulls."""
     if isinstance(col, pa.ChunkedArray):

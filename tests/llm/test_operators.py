@@ -61,20 +61,69 @@ def shingle_set(t, k):
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
+def runs(t, lengths):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[i:i + k]) for k in lengths for i in range(len(w) - k + 1)}
+
+
+def holders(rows, items):
+    """(doc_id, item_id, n_shared, n) by brute force; distinct texts of a doc_id are judged one by one."""
+    sets = {}
+    for j, t in items:
+        sets.setdefault(j, set()).update(shingle_set(t, 5))
+    lengths = {len(x) for s in sets.values() for x in s}
+    best = {}
+    for i, t in rows:
+        mine = runs(t, lengths)
+        for j, s in sets.items():
+            k = len(s & mine)
+            if s and k * 5 >= len(s) * 4:
+                best[i, j] = max(best.get((i, j), (0, 0)), (k, len(s)))
+    return {(*ij, *kn) for ij, kn in best.items()}
+
+
+def test_decontamination_short_items_and_sizes(spark):
+    """Items of 1 to 60 words, whole or with words changed, inside documents up to 200,000 words; one passage in a third of all rows."""
+    from sparkngram.llm import decontaminate as D
+    items = [(n, lorem(n, f"item{n}")) for n in range(1, 61)] + [(None, lorem(9, "none"))]
+    body = [lorem(40 + 3 * i, f"body{i}") for i in range(60)]
+    rows = []
+    for i, (n, t) in enumerate(items[:-1]):
+        w, at = t.split(), body[i].split()
+        rows.append((i, " ".join(at[:20] + w + at[20:])))
+        for wrong in (1, 2, 3):  # some of these still hold the item, some do not
+            rows.append((100 * wrong + i, " ".join(at[:9] + ["?" if k % (n // wrong + 1) == 0 else x for k, x in enumerate(w)] + at[9:])))
+        rows.append((500 + i, " ".join(w[:n // 2] + at + w[n // 2:])))  # in two halves
+    rows += [(1000, lorem(100_000, "far") + " " + items[29][1] + " " + lorem(100_000, "away")), (None, items[-1][1] + " and more")]
+    rows += [(2000 + i, f"copy {i} of {items[39][1]}") for i in range(len(rows) // 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = holders(rows, items)
+    assert {tuple(r) for r in D.contained_items(docs, bench).collect()} == want
+    assert {(i, i + 1) for i in range(60)} <= {w[:2] for w in want} and (1000, 30) in {w[:2] for w in want}
+    assert len([1 for w in want if 100 <= (w[0] or 0) < 1000]) not in (0, 4 * 60)
+    # the search itself leaves few pairs to verify, and every right one
+    lengths = D.item_lengths(bench)
+    sketches = D.item_shingles(bench, lengths).where("sketched").groupBy("n", "need").count().collect()
+    assert lengths == [1, 2, 3, 4, 5] and all(r["need"] == 1 + (1 << (r["n"].bit_length() - 1)) // 8 for r in sketches)
+
+
+def test_spread_join(spark):
+    from sparkngram.llm.common import spread_join
+    left = spark.range(900).selectExpr("id", "if(id % 3 = 0, 1, id) as k")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+    got = sorted(map(tuple, spread_join(left, right, "k", ["id"], rows=10).select("id", "k", "v").collect()))
+    assert got == sorted(map(tuple, left.join(right, "k").select("id", "k", "v").collect())) and len(got) == 2 * 301 + 1
+    assert spread_join(left.limit(0), right, "k", ["id"]).count() == 0
+
+
 def test_decontamination(spark, docs, empty):
     from sparkngram.llm import decontaminate as D
     words = LONG.split()
     items = [(0, " ".join(words[1000:1030])), (1, " ".join(words[500:512]).upper()), (2, None), (3, ""), (4, "one two"), (5, lorem(20, "else")),
              (6, " ".join(words[2000:2018] + ["q", "r"])), (0, " ".join(words[1000:1030]))]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    want = set()
-    for j, item in items:
-        s = shingle_set(item, 5)
-        for i, t in ROWS:
-            same = [x for k, x in ROWS if k == i]
-            k = len(s & set().union(*(shingle_set(x, 5) for x in same)))
-            if s and k * 5 >= len(s) * 4:
-                want.add((i, j, k, len(s)))
+    want = holders(ROWS, items)
     got = {tuple(r) for r in D.contained_items(docs, bench).collect()}
     assert got == want and {i for i, *_ in want} >= {3, 4, 10, 11}
     assert D.contained_items(empty, bench).count() == 0 and D.contained_items(docs, bench.limit(0)).count() == 0
