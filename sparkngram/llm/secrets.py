@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.llm.common import cut
-from sparkngram.llm.spans import matches
+from sparkngram.llm.spans import apart, let, matches
 
 # The base patterns and least lengths.  The lookbehinds only
 # keep a search from starting inside a run that has failed as a whole.
@@ -30,7 +30,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 ASSIGN_CHARS = 6
 ENTROPY_CHARS = 28
-ENTROPY = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,200}[0-9])(?=[A-Za-z0-9+/_-]{0,200}[A-Z])(?=[A-Za-z0-9+/_-]{0,200}[a-z])[A-Za-z0-9+/_-]{28,}"
+_RUN = "A-Za-z0-9+/_-"
+# a whole run of such characters that holds a digit, a capital and a small letter
+ENTROPY = (rf"(?<![{_RUN}])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[{_RUN}]{{{ENTROPY_CHARS},}}+")
 KINDS = ("assign", "access", "hex", "entropy")
 WIDE_OWNERS = 2       # owners from which on a value is a copied example
 WIDE_REPOSITORIES = 10  # one owner's documents from which on it is, too
@@ -51,8 +53,7 @@ def base_spans(text: Column) -> Column:
 
 def entropy_spans(text: Column, base: Column) -> Column:
     """High-entropy tokens that no base span touches."""
-    found = _spans(matches(text, ENTROPY), 3)
-    return F.filter(found, lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))).cast(_SPAN)
+    return let(base, lambda b: apart(_spans(matches(text, ENTROPY), 3).cast(_SPAN), b))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
