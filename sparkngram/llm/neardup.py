@@ -324,16 +324,15 @@ def keep_one(docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, de
     with the least doc_id, of its texts the one with the least hash.  Here a
     row, not a doc_id, is a document: texts that only share a doc_id are not
     alike and stay, and so does one row of each doc_id with a text without
-    words.  Rows without a doc_id all stay, in place of the others of their
-    groups."""
+    words.  Rows without a doc_id come before all others, and of a group's
+    only one stays, too; rows equal in doc_id and text are one."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), text))
     alike = group_documents(keyed.select(F.col("_row").alias("doc_id"), "text"), words, numerator, denominator)
     group = alike.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
     # ids and hashes only: the least of each group, a null id before all others
     ids = keyed.select("_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("_id")).distinct()
-    least = ids.join(group, "_row").groupBy("_group").agg(F.min(F.struct("_id", "_row")).alias("_least"))
-    stay = least.where(F.col("_least._id") != NOBODY).select("_least._row")
-    named = keyed.where(F.col("doc_id").isNotNull()).join(stay, "_row", "left_semi")
-    first = named.withColumn("_rank", F.row_number().over(W.partitionBy("_row").orderBy("text"))).where("_rank = 1")
-    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    stay = ids.join(group, "_row").groupBy("_group").agg(F.min(F.struct("_id", "_row")).alias("_least")).select("_least._row")
+    # one row each before the join, so that a row repeated without end is cut down inside each task
+    first = keyed.withColumn("_rank", F.row_number().over(W.partitionBy("_row").orderBy("text"))).where("_rank = 1")
+    return first.join(stay, "_row", "left_semi").select(*docs.columns)

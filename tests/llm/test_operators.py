@@ -215,6 +215,20 @@ def test_keep_one_with_repeated_ids(spark):
     assert got == sorted([(5, b), (5, ""), (9, ""), (7, c + " end"), (None, d), (None, a + " end")], key=repr)
 
 
+def test_keep_one_without_ids(spark):
+    """Rows without a doc_id are deduplicated like others: a third of all rows
+    are one text without an id, some are near copies, some stand alone."""
+    from sparkngram.llm import neardup as N
+    a, b, c = (lorem(60, f"none{i}") for i in range(3))
+    rows = [(None, a)] * 20 + [(None, a + " end"), (3, a), (4, a + " end"), (None, b), (None, b), (None, c), (6, c), (None, ""), (None, None), (7, None)]
+    rows += [(100 + i, lorem(30, f"alone{i}")) for i in range(20)]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 5, 80, 100).collect()
+    assert len([r for r in kept if r.text in (a, a + " end")]) == 1
+    assert [r.doc_id for r in kept if r.text == b] == [None] and len([r for r in kept if r.text == c]) == 1
+    assert sorted(r.doc_id for r in kept if (r.doc_id or 0) >= 100) == list(range(100, 120))
+    assert sorted(str(r.doc_id) for r in kept if not r.text) == ["7", "None"] and len(kept) == 25
+
+
 def test_super_minhash_estimates():
     import numpy as np
     from sparkngram.llm import neardup as N
