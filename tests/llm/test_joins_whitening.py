@@ -91,6 +91,27 @@ def test_jaccard_hot_group(spark):
     assert got == {i: c for i, _, c in brute_components(rows, 3, 90, 100)}
 
 
+def test_parity_bits_never_exceed_the_difference(spark):
+    """Bits in which two maps differ are at most the tokens in which the sets
+    differ, whichever of the two is the larger; close sets are told from others."""
+    from sparkngram.llm import jaccard_join as J
+    rng, rows, want = np.random.default_rng(3), [], []
+    for i, n in enumerate([1, 2, 60, 127, 128, 129, 255, 257, 1000, 1030, 4096, 20000] * 4):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = np.concatenate([a[rng.integers(0, n // 10 + 1):], rng.integers(0, 1 << 63, rng.integers(0, n // 10 + 1), dtype=np.uint64)])
+        if rng.integers(0, 2):
+            a, b = b, a
+        owner = np.repeat([0, 1], [len(a), len(b)])
+        bounds, words = J.parity_bits(owner, np.concatenate([a, b]), 2)
+        maps = [[int(x) for x in words[s:e].view(np.int64)] for s, e in zip(bounds[:-1], bounds[1:])]
+        assert all(64 * len(m) >= 2 * k and len(m) & len(m) - 1 == 0 for m, k in zip(maps, (len(a), len(b))))
+        rows.append((i, *maps))
+        want.append(len(np.setxor1d(a, b)))
+    df = spark.createDataFrame(rows, "i int, m array<long>, h array<long>").selectExpr("i", "struct(m as bits) as m", "struct(h as bits) as h")
+    for r in df.selectExpr("i", f"{J.DIFFERENT} as d").collect():
+        assert (want[r.i] + 1) // 2 - 4 <= r.d <= want[r.i] and (want[r.i] - r.d) % 2 == 0
+
+
 def test_jaccard_empty_and_threshold(spark):
     from sparkngram.llm import jaccard_join as J
     assert J.join_documents(table(spark, EDGE).limit(0)).count() == 0
