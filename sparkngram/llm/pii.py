@@ -8,8 +8,8 @@ such.  The others are judged: boosted trees score a span by its generator,
 format and context, and a threshold per generator, calibrated for PRECISION
 on spans of that generator that the trees have not seen, selects.
 
-The trees learn from a bounded hash sample (about SAMPLE spans).  Personal
-are base spans that pass their checks, the same spans weakened to what a wider
+The trees and thresholds learn from every span of the table: half of them, by
+hash, fit the trees, the other half sets the thresholds.  Personal are base spans that pass their checks, the same spans weakened to what a wider
 generator would see in their place (a checked email spelt out, a checked
 telephone number without its country code), and wide spans with a cue of
 personal data before them and none of a thing's number, identity numbers only
@@ -19,8 +19,10 @@ the cues as two features among eight; a wide generator's spans without a cue
 are selected where their format alone speaks for them.  A generator whose
 held-back spans never reach PRECISION selects nothing, one without any takes
 the threshold of all spans together; plain digit groups are counter-examples
-only.  The sample is reduced to counts of equal feature vectors before it
-reaches the driver; scores are a column expression.
+only.  Spark reduces the spans to counts of equal feature vectors before they
+reach the driver; a feature is a small whole number with a fixed bound, so the
+number of vectors has one too, whatever the table's size.  Scores are a column
+expression.
 
 Edge cases: a null text is the empty text; rows come out one for one, repeated
 ids included; without spans of both kinds to learn from nothing is added;
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from sparkngram.llm.common import cut
 from sparkngram.llm.spans import apart, blocks, let, matches, running, stretch
 
-SAMPLE, ROUNDS, RATE, PRECISION = 20_000, 64, 0.3, 0.95
+ROUNDS, RATE, PRECISION = 64, 0.3, 0.95
 
 # The base patterns.  Lookbehinds and possessive repeats only
 # keep a search from starting again inside a run that has failed as a whole,
@@ -260,15 +262,12 @@ def taught(s: Column) -> Column:
     return let(s, every)
 
 
-def train(found: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Learn from rows (spans with features in column ``s``)."""
+def train(found: DataFrame) -> Trees:
+    """Learn from all rows (spans with features in column ``s``)."""
     spans = found.where(F.size("s") > 0).select("text_hash", F.explode(taught(F.col("s"))).alias("x"))
-    n = spans.count()
-    if not n:
-        return Trees()
-    mark = F.pmod(F.xxhash64("text_hash", "x.start", "x.kind"), F.lit(1 << 30))
-    part = spans.where(mark < F.lit(min(1 << 30, int(sample / n * (1 << 30)))))
-    rows = (part.select(F.col("x.f").alias("f"), F.col("x.y").cast("long").alias("y"), (mark % 2).alias("half"))
+    half = F.pmod(F.xxhash64("text_hash", "x.start", "x.kind"), F.lit(2))
+    # equal vectors are counted before and after the shuffle: few rows are left
+    rows = (spans.select(F.col("x.f").alias("f"), F.col("x.y").cast("long").alias("y"), half.alias("half"))
             .groupBy("half", "f").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).collect())
     fit = sorted((tuple(r["f"]), r["y"], r["n"]) for r in rows if r["half"] == 0)
     rest = sorted((tuple(r["f"]), r["y"], r["n"]) for r in rows if r["half"] == 1)

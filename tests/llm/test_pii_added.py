@@ -82,3 +82,17 @@ def test_thresholds_are_per_generator():
     m = pii.calibrate(pii.boost(rows), rows)
     assert m.thresholds[2] is None and m.thresholds[7] is None
     assert m.score([5, 10, 2, 2, 0, 1, 0, 0]) >= m.thresholds[5] > m.score([5, 10, 2, 2, 0, 0, 0, 0])
+
+
+def test_trees_and_thresholds_learn_from_every_span(spark, monkeypatch):
+    """The counts that reach the fit and the thresholds add up to all spans."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.llm import pii
+    seen = []
+    monkeypatch.setattr(pii, "boost", lambda rows: seen.append(sum(n for _, _, n in rows)) or pii.Trees())
+    monkeypatch.setattr(pii, "calibrate", lambda model, rows: seen.append(sum(n for _, _, n in rows)) or model)
+    span = "struct({0} as start, {1} as kind, {0} + 2 as end, {1} = 0 as ok, array({1}, 2, 0, 0, 0, 0, 0, 0) as f, {1} = 0 as y, cast(null as array<int>) as weak)"
+    rows = spark.range(30_000).select(F.xxhash64("id").alias("text_hash"), F.expr(f"array({span.format(0, 0)}, {span.format(9, 7)})").alias("s"))
+    pii.train(rows)
+    assert sum(seen) == 60_000 and min(seen) > 25_000
