@@ -28,6 +28,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkngram.functions import clean as C
 from sparkngram.operators import ngrams as NG
@@ -37,13 +38,15 @@ from sparkngram.sources import store
 
 
 def _file_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
-    """A parquet file stream over ``path`` (a folder, or one file: then its
-    folder filtered to that file name)."""
+    """A parquet file stream over ``path``: a folder of files, or one file, then
+    its folder filtered to that file name.  The file system says which it is,
+    as a table's folder may end in ``.parquet`` too."""
     import os
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if path.endswith(".parquet") and not path.endswith("/"):
+    p, fs = store._path(spark, path)
+    if fs.exists(p) and fs.getFileStatus(p).isFile():
         folder, name = os.path.split(path)
         return r.option("pathGlobFilter", name).parquet(folder)
     return r.parquet(path)
@@ -163,6 +166,8 @@ def stream_window_counts(spark: SparkSession, path: str, schema: str, ts: str, k
     q = (counted.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{work}/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if not _children(spark, f"{work}/windows"):
+        return spark.createDataFrame([], counted.select("window_start", *keys, "freq").schema)
     rows = spark.read.parquet(f"{work}/windows")
     return rows.groupBy("window_start", *keys).agg(F.max_by("freq", "batch").alias("freq"))
 
@@ -186,4 +191,7 @@ def stream_predictions(spark: SparkSession, path: str, schema: str, model: DataF
     q = (phrases.writeStream.foreachBatch(score).option("checkpointLocation", f"{work}/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if not _children(spark, f"{work}/out"):  # nothing has arrived
+        keys = [f for f in phrases.schema.fields if f.name in key_cols]
+        return spark.createDataFrame([], T.StructType([*keys, T.StructField("rnk", T.IntegerType()), T.StructField("word", T.StringType())]))
     return spark.read.parquet(f"{work}/out")
