@@ -209,3 +209,21 @@ def test_katz_chain_weights_sum_to_one(spark):
     for x in predict_chain(q, m, ["id"]).collect():
         words = q.where(f"id = {x.id}").first().words if x.id >= 60 else lines[x.id].split()[:3]
         assert x.score == pytest.approx(p(len(words) + 1, "_".join(words), x.word))
+
+
+def test_chain_of_asked_histories_answers_like_the_whole_model(spark, toy_counts):
+    """The rows of histories that no phrase backs off through are left out of
+    the model before anything is joined; the answers are the same."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import katz_chain as KC
+    from sparkngram.operators import predict as P
+    from sparkngram.operators.goodturing import gt_table
+    gt = gt_table(toy_counts, (1, 2, 3))
+    q = spark.createDataFrame([("buy the",), ("zzz the",), ("book",), ("nothing known",)], "ctx string").withColumn("words", F.split("ctx", " "))
+    sizes, answers = [], []
+    for histories in (None, P.asked_histories(q, "words", 3)):
+        model = KC.KatzChain(toy_counts, gt, 3, 2, histories=histories)
+        sizes.append(model.weights.count())
+        answers.append(sorted(map(tuple, KC.predict_chain(q, model, ["ctx"]).select("ctx", "rnk", "word", "level", F.round("score", 12)).collect())))
+    assert answers[0] == answers[1] and answers[0] and sizes[1] == 3 < sizes[0]

@@ -98,3 +98,35 @@ def test_whole_lines_only(spark):
     from sparkngram.sources.corpus import matching_lines
     df = spark.createDataFrame([("the end",), ("the end...",), ("the end\u2026 ",), ("none",), ("the end",)], "line string")
     assert [r.line for r in matching_lines(df, "the", whole=True).collect()] == ["the end"]
+
+
+def test_windows_count_what_every_order_counts(spark):
+    """One row per position to the shuffle gives the counts of all orders,
+    of rows shorter than an order too."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import ngrams as NG
+    rows = [("a b c d a b c",), ("a",), ("",), ("a b",), ("b ab b ab b",), ("é b c",), ("a b",)]
+    df = spark.createDataFrame(rows, "line string").select(F.filter(F.split("line", " "), lambda x: x != "").alias("tokens"))
+    for orders in ((1, 2, 3, 4), (1,), (2, 3), (3,), (1, 5)):
+        plain = NG.count_ngrams(df, "tokens", orders).select("n", "word", "freq")
+        windows = NG.count_windows(df, "tokens", orders)
+        assert sorted(windows.collect()) == sorted(plain.collect()), orders
+
+
+def test_staged_counts_send_one_row_per_position(spark, tmp_path):
+    """The staged table holds no column that its n-grams spell out already,
+    and order 4 is counted only for queries that read it."""
+    from sparkngram.plans import pipeline as PL
+    from sparkngram.sources import store
+    spark.createDataFrame([(0, "the red fox and the red dog", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    made, stage = [], store.stage
+    store.stage = lambda *a, **b: made.append(stage(*a, **b)) or made[-1]
+    try:
+        rows = {(r.n, r.w, r.pred): r.freq for r in PL.ngram_counts(spark, str(tmp_path), (1, 2, 3)).collect()}
+        PL.ngram_counts(spark, str(tmp_path), (1, 4))
+    finally:
+        store.stage = stage
+    assert rows[2, "the", "red"] == 2 and rows[3, "the_red", "dog"] == 1 and {n for n, _, _ in rows} == {1, 2, 3}
+    assert [sorted(m.columns) for m in made] == [["freq", "n", "word"]] * 2 and [m.where("n = 4").count() for m in made] == [0, 4]
