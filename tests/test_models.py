@@ -227,3 +227,37 @@ def test_chain_of_asked_histories_answers_like_the_whole_model(spark, toy_counts
         sizes.append(model.weights.count())
         answers.append(sorted(map(tuple, KC.predict_chain(q, model, ["ctx"]).select("ctx", "rnk", "word", "level", F.round("score", 12)).collect())))
     assert answers[0] == answers[1] and answers[0] and sizes[1] == 3 < sizes[0]
+
+
+def test_katz_model_of_asked_contexts_answers_like_the_whole_model(spark, toy_counts):
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import katz as K
+    from sparkngram.operators import predict as P
+    from sparkngram.operators.goodturing import gt_table
+    gt = gt_table(toy_counts, (1, 2, 3))
+    q = spark.createDataFrame([("buy the",), ("zzz the",), ("sell the",), ("book",), ("nothing known",)], "ctx string").withColumn("words", F.split("ctx", " "))
+    models = [K.KatzModel(toy_counts, gt, 2, histories=h) for h in (None, P.asked_histories(q, "words", 3))]
+    answers = [sorted(map(tuple, K.predict_katz(q, m, ["ctx"], k=2).select("ctx", "rnk", "word", "level", F.round("score", 12)).collect())) for m in models]
+    assert answers[0] == answers[1] and answers[0] and models[1].stats.count() < models[0].stats.count()
+
+
+def test_clusters_bring_a_history_together_once(spark, toy_counts):
+    """Histories of no phrase are gone before sums, totals and ranks, none of
+    which deals the rows anew."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import predict as P
+    from sparkngram.operators.goodturing import gt_table
+    q = spark.createDataFrame([("a b c",)], "ctx string").withColumn("words", F.split("ctx", " "))
+    counts = spark.createDataFrame([(4, "a_b_c_d", 3), (4, "x_b_c_e", 2), (4, "u_v_w_x", 9)], "n int, word string, freq long").withColumn("pred", F.substring_index("word", "_", -1))
+    r = P.freq_clusters(q, counts, gt_table(toy_counts, (1, 2, 3)), ["ctx"])
+    assert [(x.lvl, x.word, x.freq, x.crank) for x in r.collect()] == [(3, "d", 3, 1)]
+    assert "LeftSemi" in r._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_runs_that_share_nothing_are_shuffled_once(spark):
+    from sparkngram.operators import ngrams as NG
+    runs = [spark.createDataFrame(rows, "n int, word string, freq long") for rows in ([(1, "b", 3), (1, "a", 3)], [(2, "a_b", 5)])]
+    both = [sorted(NG.ordered_counts(runs, "freq", apart=a).collect(), key=lambda r: r.position) for a in (False, True)]
+    assert both[0] == both[1] and [r.word for r in both[1]] == ["a_b", "a", "b"] and [r.position for r in both[1]] == [1, 2, 3]
