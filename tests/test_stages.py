@@ -61,3 +61,18 @@ def test_training_queries_share_one_count_table(spark, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "documents.parquet" not in plan and "PartitionFilters" in plan
     assert PL.ngram_counts(spark, sf, (5,)).count() == 3
+
+
+def test_documents_are_counted_once_for_all_stages_of_a_session(spark, tmp_path):
+    """The folder of the stages stays where it is, so the second call finds the first one's table."""
+    from sparkngram.plans import pipeline as PL
+    from sparkngram.session import ensure_checkpoint_dir
+    spark.createDataFrame([(0, "a b c", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    made, tokens = [], PL.train_tokens
+    PL.train_tokens = lambda *a: made.append(a) or tokens(*a)
+    try:
+        assert [PL.ngram_counts(spark, str(tmp_path), (n,)).count() for n in (1, 2, 3)] == [3, 2, 1] and len(made) == 1
+    finally:
+        PL.train_tokens = tokens
+    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark) and store.table_root(spark) == store.table_root(spark)
