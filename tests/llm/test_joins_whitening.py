@@ -313,3 +313,23 @@ def test_bpe_tells_colliding_pieces_apart(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r.ids_sha256 for r in bpe.round_trip_digests(docs).collect()}
     assert got == {i: hashlib.sha256(" ".join(map(str, tik.encode(t, disallowed_special=()))).encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_a_cut_lets_go_of_the_shuffle_files_behind_it(spark):
+    """Of many steps in a row, those behind the last cuts leave no files."""
+    import time
+
+    from sparkngram.llm.common import cut
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: store.getAllFiles().mkString("|").count("shuffle_")
+    df = spark.range(1000)
+    cut(df)
+    time.sleep(1)
+    before = files()
+    for k in range(1, 9):
+        df = cut(df.groupBy((df.id % (1000 - k)).alias("id")).count().select("id").repartition(16))
+    for _ in range(20):
+        time.sleep(0.3)
+        if files() <= before + 200:
+            break
+    assert files() <= before + 200

@@ -67,7 +67,7 @@ def test_documents_are_counted_once_for_all_stages_of_a_session(spark, tmp_path)
     """The folder of the stages stays where it is, so the second call finds the first one's table."""
     from sparkngram.plans import pipeline as PL
     from sparkngram.session import ensure_checkpoint_dir
-    spark.createDataFrame([(0, "a b c", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long") \
+    spark.createDataFrame([(0, "red fox ran", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long") \
         .write.parquet(f"{tmp_path}/documents.parquet")
     made, tokens = [], PL.train_tokens
     PL.train_tokens = lambda *a: made.append(a) or tokens(*a)
