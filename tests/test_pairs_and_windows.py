@@ -56,6 +56,17 @@ def test_full_cooccurrence(long_dfm, least, pairs, block):
     assert got == {k: v for k, v in want.items() if v >= pairs}
 
 
+def test_full_cooccurrence_shuffles_no_pairs(spark):
+    # 40 documents of the same 300 features: 44,850 pairs, whose partial sums made 8 times as many rows before
+    d = spark.range(40).select(F.col("id").alias("doc"), F.explode(F.sequence(F.lit(0), F.lit(299))).alias("f"))
+    d = d.select("doc", F.format_string("w%03d", "f").alias("feature"), (F.col("f") % 3 + 1).cast("long").alias("count"))
+    out = ST.full_cooccurrence(d, "doc", block=64)
+    assert "keys=[f1" not in out._jdf.queryExecution().toString()
+    got = out.agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("s"), F.sum((F.col("f1") >= F.col("f2")).cast("int")).alias("bad")).first()
+    x = [i % 3 + 1 for i in range(300)]
+    assert tuple(got) == (300 * 299 // 2, 40 * (sum(x) ** 2 - sum(v * v for v in x)) // 2, 0)
+
+
 def add(spark, path, rows, schema):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
