@@ -13,7 +13,7 @@ HOT segments is split further by the bytes that all windows of a short range
 share, so no group has to be whole in one task.
 
 Index.  The distinct segments of some groups at a time (INDEX_BYTES, or one
-group) are indexed: suffixes sorted by prefix doubling, their Burrows-Wheeler
+group) are indexed: suffixes sorted by prefix doubling or tripling, their Burrows-Wheeler
 transform cut into runs, the suffix and the length of the common prefix with
 its neighbour sampled at every run's start and end.  Within a run these
 lengths fall by one from each position of the text to the next, so streaming
@@ -42,7 +42,7 @@ from sparkngram.llm.winnowing import _window_minimum
 
 LENGTH, K = 200, 32
 HOT, RANGE = 20_000, 16
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 17  # with arrays that stay in a core's cache
 LOWEST = -(1 << 63)
 PLACE = np.uint64(0xFFFFFFFF)
 
@@ -121,40 +121,60 @@ class RunIndex:
         self.n = n
 
     def _sort(self, code, longest):
-        n = len(code)
-        key, alive = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(7):
-            nxt = np.zeros(n, np.int64)
-            nxt[:n - j] = code[j:]
-            key = key << 9 | np.where(alive, nxt, 0)
-            alive &= nxt > 0
-        order, rank = self._rank(key)
-        depth, levels = 7, [(7, rank)]
-        while depth < longest and rank.max() < n - 1:
-            more = np.zeros(n, np.int64)
-            on = np.flatnonzero(self.left >= depth)
-            more[on] = rank[on + depth] + 1
-            order, rank = self._rank(rank * (n + 1) + more)
-            depth *= 2
+        """Suffixes sorted by prefix doubling, or tripling where three ranks fit
+        a key: the order, and the ranks of the prefixes of each length met.  A
+        rank is the place of the first suffix of its kind, so suffixes that are
+        alone keep theirs, and only the others are sorted further."""
+        n, at = len(code), np.arange(len(code))
+        used = np.zeros(257, bool)
+        used[code] = True
+        used[0] = True  # smaller symbols, more of them in the first key
+        dense = (np.cumsum(used) - 1)[code]
+        bits = max(1, int(used.sum() - 1).bit_length())
+        key, depth, want = dense, 1, min(63 // bits, 8)
+        parts = {1: dense}
+        while depth < want:
+            more = max(m for m in parts if m <= want - depth)
+            key = key << (more * bits)
+            key[:n - depth] |= np.where(self.left[:n - depth] >= depth, parts[more][depth:], 0)
+            depth += more
+            parts[depth] = key
+        levels, order, rank = [], np.empty(n, np.int64), np.zeros(n, np.int32)
+        some, tied = at, at  # suffixes that are not alone, and the places they share
+        step = 3 if n < (1 << 21) - 1 else 2
+        while True:
+            by = np.argsort(key)
+            order[tied] = some[by]
+            key = key[by]
+            new = np.append(True, key[1:] != key[:-1])
+            first = tied[new].astype(np.int32)[np.cumsum(new) - 1]
+            before, rank = rank, rank.copy()
+            rank[some[by]] = first
             levels.append((depth, rank))
-        return np.lexsort((np.arange(n), rank)) if rank.max() < n - 1 else order, levels
-
-    @staticmethod
-    def _rank(key):
-        order = np.argsort(key)
-        sorted_ = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.append(False, sorted_[1:] != sorted_[:-1]))
-        return order, rank
+            shared = ~(new & np.append(new[1:], True))
+            split = len(levels) == 1 or not np.array_equal(rank[some], before[some])
+            mask = np.empty(len(some), bool)
+            mask[by] = shared
+            some, tied = some[mask], tied[shared]
+            if depth >= longest or not len(tied) or not split:  # no kind was split: none will be
+                return np.lexsort((at, rank)) if len(tied) else order, levels
+            key, left = rank[some].astype(np.int64), self.left[some]
+            for j in range(1, step):
+                key *= n + 1
+                on = np.flatnonzero(left >= j * depth)
+                key[on] += rank[some[on] + j * depth] + 1
+            depth *= step
 
     def _common(self, code, levels, a, b):
         """Length of the common prefix of the suffixes a and b."""
         out, limit = np.zeros(len(a), np.int64), np.minimum(self.left[a], self.left[b])
         for depth, rank in reversed(levels):
             on = np.flatnonzero(limit - out >= depth)
-            same = rank[a[on] + out[on]] == rank[b[on] + out[on]]
-            out[on[same]] += depth
-        for _ in range(7):
+            while len(on):
+                on = on[rank[a[on] + out[on]] == rank[b[on] + out[on]]]
+                out[on] += depth
+                on = on[limit[on] - out[on] >= depth]
+        for _ in range(levels[0][0]):
             on = np.flatnonzero(limit > out)
             on = on[code[a[on] + out[on]] == code[b[on] + out[on]]]
             if not len(on):
@@ -173,12 +193,23 @@ class RunIndex:
             best = np.maximum(best, np.maximum.accumulate(reach) - place)
         return best
 
+    def _long(self, length: int) -> np.ndarray:
+        return (self.matching_statistics() >= length) & (self.left >= length)
+
     def repeated(self, length: int) -> list[np.ndarray]:
         """Per string: whether the window at each place repeats elsewhere."""
-        long = (self.matching_statistics() >= length) & (self.left >= length)
+        long = self._long(length)
         ends = np.append(self.begin[1:], self.n)
         return [long[a:max(a, z - length)] for a, z in zip(self.begin, ends)]
 
+    def stretches(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(string, start, end): the stretches of such windows.  None starts at
+        a string's end, so no stretch goes on into the next string."""
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], self._long(length).astype(np.int8), [0]])))
+        start, end = edge[::2], edge[1::2]
+        of = np.searchsorted(self.begin, start, "right") - 1
+        return of, start - self.begin[of], end - self.begin[of]
+
 
 def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     """[start, end) of each stretch of true values."""
@@ -246,13 +277,16 @@ def _marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     def judge():
         todo = [i for i in range(len(contents)) if several[i]]
         if todo and any(single[i] for i in todo):
-            for i, flags in zip(todo, RunIndex([contents[i] for i in todo]).repeated(length)):
-                if single[i]:
-                    id_, th, start = single[i]
-                    rows.extend((id_, th, start + a, start + z) for a, z in runs_of(flags))
+            for j, a, z in zip(*(x.tolist() for x in RunIndex([contents[i] for i in todo]).stretches(length))):
+                if single[todo[j]]:
+                    id_, th, start = single[todo[j]]
+                    rows.append((id_, th, start + a, start + z))
 
     for b in batches:
-        for anchor, sub, content, places in zip(*(b.column(i).to_pylist() for i in range(4))):
+        of = b.column(3).offsets.to_pylist()
+        ids, ths, starts = (c.to_pylist() for c in b.column(3).flatten().flatten())
+        for row, (anchor, sub, content) in enumerate(zip(*(b.column(i).to_pylist() for i in range(3)))):
+            places = range(of[row] - of[0], of[row + 1] - of[0])
             if (anchor, sub) != at:
                 if size > INDEX_BYTES:
                     judge()
@@ -273,15 +307,15 @@ def _marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
                     several[i] = several[group[0]] = True
                 new = len(places) == 1
                 if new:
-                    single[i] = tuple(places[0].values())
+                    single[i] = ids[places[0]], ths[places[0]], starts[places[0]]
             else:
                 new = False
                 if single[i]:
-                    places = [dict(zip(("id", "th", "start"), single[i])), *places]
+                    rows.append((*single[i], single[i][2] + len(content) - length + 1))
                     single[i] = None
             if not new:
                 n = len(content) - length + 1
-                rows.extend((p["id"], p["th"], p["start"], p["start"] + n) for p in places)
+                rows.extend((ids[p], ths[p], starts[p], starts[p] + n) for p in places)
                 if len(rows) > 50_000:
                     yield written()
                     rows = []

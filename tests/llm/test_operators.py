@@ -565,3 +565,27 @@ def test_queries_and_pipeline(spark, tmp_path):
             assert r.text == rows[r.doc_id]
     final = P.run(spark, SF)
     assert final.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and 0 < final.count() < n
+
+
+def test_suffix_index_sorts_few_times_and_finds_every_stretch():
+    # strings of one anchor are up to 368 bytes long; the sort took seven rounds for them
+    from collections import Counter
+
+    import numpy as np
+    from sparkngram.llm.suffix_dedup import RunIndex
+    rng = np.random.default_rng(5)
+    for symbols, length in ((2, 30), (40, 30), (200, 200)):
+        base = rng.integers(1, symbols + 1, 368, dtype=np.uint8)
+        texts = [base.tobytes(), b"\x01" * 368]
+        for _ in range(20):
+            t = base.copy()
+            t[rng.integers(0, 368, 2)] = rng.integers(1, symbols + 1, 2)
+            texts.append(t[rng.integers(0, 100):].tobytes())
+        texts = list(dict.fromkeys(texts))
+        seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+        want = {(j, i) for j, t in enumerate(texts) for i in range(len(t) - length + 1) if seen[t[i:i + length]] > 1}
+        index = RunIndex(texts)
+        got = [(j, i) for j, a, z in zip(*(x.tolist() for x in index.stretches(length))) for i in range(a, z)]
+        assert len(got) == len(set(got)) and set(got) == want
+        code = np.concatenate([np.append(np.frombuffer(t, np.uint8).astype(np.int64) + 1, 0) for t in texts])
+        assert len(index._sort(code, 369)[1]) <= 5
