@@ -37,8 +37,8 @@ def kn_bigram(counts: DataFrame) -> DataFrame:
     big = counts.where(F.col("n") == 2).select("word", "w", "pred", "freq")
     uni = counts.where(F.col("n") == 1).select(F.col("word").alias("w"), F.col("freq").alias("c_a"))
     d = _discount(big)
-    x = attach_group_totals(big, ["w"], [F.count(F.lit(1)).alias("n1_a")])
-    x = attach_group_totals(x, ["pred"], [F.count(F.lit(1)).alias("n1_b")])
+    x = attach_group_totals(big, ["pred"], {"n1_b": F.count(F.lit(1))})
+    x = attach_group_totals(x, ["w"], {"n1_a": F.count(F.lit(1))}, rows=big)  # last: the join by w finds the rows in place
     x = x.join(uni, "w", "left").crossJoin(F.broadcast(d))
     p = (F.greatest(F.col("freq") - F.col("D"), F.lit(0.0)) / F.col("c_a")
          + F.col("D") / F.col("c_a") * F.col("n1_a") * F.col("n1_b") / F.col("types"))
@@ -51,7 +51,7 @@ def kn_trigram(counts: DataFrame) -> DataFrame:
     bi = counts.where(F.col("n") == 2).select(F.col("word").alias("w"), F.col("freq").alias("c_ab"))
     b_kn = kn_bigram(counts).select(F.col("word").alias("bc"), F.col("pkn").alias("p_bc"))
     d = _discount(tri)
-    x = attach_group_totals(tri, ["w"], [F.count(F.lit(1)).alias("n1_ab")])
+    x = attach_group_totals(tri, ["w"], {"n1_ab": F.count(F.lit(1))})
     x = x.withColumn("bc", F.regexp_extract("word", r"^[^_]+_(.*)$", 1))
     x = x.join(bi, "w", "left").join(b_kn, "bc", "left").crossJoin(F.broadcast(d.select("D")))
     p = (F.greatest(F.col("freq") - F.col("D"), F.lit(0.0)) / F.col("c_ab")
