@@ -146,11 +146,11 @@ def suggest_by_prefix(q: DataFrame, counts: DataFrame, stop: DataFrame, keys: Se
     keys = list(keys)
     small, _ = checked_broadcast(stop.select(F.col("word").alias("pred")).distinct(), LIST_ROWS)
     order = [F.col("freq").desc(), F.col("pred").asc()]
+    q = q.select(*keys, F.transform(words, F.lower).alias(words))
     high = counts.where((F.col("n") >= 2) & (F.col("n") <= top_order)).select("n", "w", "pred", "freq").join(small, "pred", "left_anti")
-    top = top_by_group(high, ["n", "w"], order, k)
+    top = top_by_group(high.join(asked_histories(q, words, top_order), ["n", "w"], "left_semi"), ["n", "w"], order, k)
     uni = counts.where("n = 1").select(F.col("word").alias("pred"), "freq").orderBy(*order).limit(k)
     uni = top_by_group(uni.withColumn("g", F.lit(0)), ["g"], order, k).join(small, "pred", "left_anti")  # k rows
-    q = q.select(*keys, F.transform(words, F.lower).alias(words))
     cand = suffix_levels(q, keys, words, top_order).join(top, ["n", "w"]).select(*keys, "level", "rnk", "pred")
     cand = cand.unionByName(q.select(*keys).crossJoin(F.broadcast(uni.select("rnk", "pred"))).select(*keys, F.lit(0).alias("level"), "rnk", "pred"))
     return _rank_keep_first(cand.withColumn("score", F.lit(None).cast("double")), keys, k).drop("score")
