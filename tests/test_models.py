@@ -261,3 +261,44 @@ def test_runs_that_share_nothing_are_shuffled_once(spark):
     runs = [spark.createDataFrame(rows, "n int, word string, freq long") for rows in ([(1, "b", 3), (1, "a", 3)], [(2, "a_b", 5)])]
     both = [sorted(NG.ordered_counts(runs, "freq", apart=a).collect(), key=lambda r: r.position) for a in (False, True)]
     assert both[0] == both[1] and [r.word for r in both[1]] == ["a_b", "a", "b"] and [r.position for r in both[1]] == [1, 2, 3]
+
+
+def test_absdisc_counts_for_histories(spark):
+    """The counts that a history hangs on give what all counts give."""
+    from sparkngram.operators import absdisc as A
+    from sparkngram.operators.ngrams import count_ngrams
+    lines = ["a b c", "a b d", "a b c", "x b e", "b c a", "c c d a b", "d a b e"]
+    df = spark.createDataFrame([(x.split(),) for x in lines], "tokens array<string>")
+    counts = count_ngrams(df, "tokens", (1, 2, 3)).cache()
+    hist = spark.createDataFrame([("a_b",), ("c_d",), ("q_b",), ("q_q",)], "h string")
+    few = A.for_histories(counts, hist).cache()
+    assert {(r.n, r.w) for r in few.where("n > 1").collect()} <= {(3, "a_b"), (3, "c_d"), *((2, w) for w in "abcdq")}
+    assert few.where("n > 1").count() < counts.where("n > 1").count()
+    req = hist.crossJoin(counts.where("n = 1").select("word"))
+    for f in (lambda c: A.absdisc_masses(c, hist), lambda c: A.absdisc_argmax(c, hist), lambda c: A.absdisc_probability(c, req),
+              lambda c: A.observed(c, hist)):
+        assert sorted(map(str, f(few).collect())) == sorted(map(str, f(counts).collect()))
+
+
+def test_merged_katz_keeps_rows_of_asked_histories_only(spark, monkeypatch):
+    from sparkngram.plans import pipeline as PL
+    from sparkngram.plans import registry
+    kept = []
+    whole = PL.materialize
+    monkeypatch.setattr(PL, "materialize", lambda d: kept.append(whole(d)) or kept[-1])
+    registry.QUERIES["predict_katz_merged"](spark, "/root/testdata/sf0.001")
+    ctx, rows = (next(t for t in kept if c in t.columns) for c in ("ctx", "fd"))
+    asked = {(i + 1, "_".join(r.words[-i:])) for r in ctx.collect() for i in (1, 2) if len(r.words) >= i}
+    assert {(r.n, r.w) for r in rows.select("n", "w").distinct().collect()} <= asked
+
+
+def test_orders_beyond_the_staged_sets_take_one_trimmed_pass(spark, tmp_path, monkeypatch):
+    from sparkngram.plans import pipeline as PL
+    docs = [(i, "blogs", "en", t) for i, t in enumerate(["one two three four five six"] * 2 + ["one two three four five seven"])]
+    spark.createDataFrame(docs, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made, stage = [], PL.ST.stage
+    monkeypatch.setattr(PL.ST, "stage", lambda *a, **k: made.append(stage(*a, **k)) or made[-1])
+    got = {(r.n, r.word): r.freq for r in PL.ngram_counts(spark, str(tmp_path), (1, 2, 3, 4, 5), 2).collect()}
+    assert got[5, "one_two_three_four_five"] == 3 and got[5, "two_three_four_five_six"] == 2 and got[1, "six"] == 2
+    assert min(got.values()) == 2 and len(got) == 6 + 5 + 4 + 3 + 2
+    assert len(made) == 1 and made[0].count() == len(got)
