@@ -130,3 +130,54 @@ def test_staged_counts_send_one_row_per_position(spark, tmp_path):
         store.stage = stage
     assert rows[2, "the", "red"] == 2 and rows[3, "the_red", "dog"] == 1 and {n for n, _, _ in rows} == {1, 2, 3}
     assert [sorted(m.columns) for m in made] == [["freq", "n", "word"]] * 2 and [m.where("n = 4").count() for m in made] == [0, 4]
+
+
+def test_trimmed_windows_keep_what_the_trim_keeps(spark):
+    """An n-gram's total may come with a longer one that the trim drops; any
+    number of partitions gives the same rows."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import ngrams as NG
+    rows = [("a b a c",), ("a b b",), ("a b c d e",), ("a b c d f",), ("a b c e",), ("a",), ("c d",), ("c d e",)]
+    df = spark.createDataFrame(rows, "line string").select(F.split("line", " ").alias("tokens"))
+    for orders in ((1, 2, 3, 4), (2, 3, 4), (1, 2, 3, 4, 5), (3, 4), (1, 2)):
+        for least in (1, 2, 3, 4):
+            plain = NG.count_ngrams(df, "tokens", orders, min_freq=least).select("n", "word", "freq")
+            windows = NG.count_windows(df, "tokens", orders, min_freq=least, partitions=7 if least == 2 else None)
+            assert sorted(windows.collect()) == sorted(plain.collect()), (orders, least)
+
+
+def test_trimmed_queries_stage_only_what_the_trim_keeps(spark, tmp_path):
+    """Without a whole table there, a trimmed request neither sorts nor writes the
+    rest; with one, it reads that."""
+    from sparkngram.plans import pipeline as PL
+    from sparkngram.sources import store
+    spark.createDataFrame([(0, "the red fox and the red dog", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    made, stage = [], store.stage
+    store.stage = lambda *a, **b: made.append(stage(*a, **b)) or made[-1]
+    try:
+        trimmed = PL.ngram_counts(spark, str(tmp_path), (1, 2, 3, 4), 2).collect()
+        whole = PL.ngram_counts(spark, str(tmp_path), (1, 2, 3, 4), 1).collect()
+        again = PL.ngram_counts(spark, str(tmp_path), (1, 2, 3, 4), 2).collect()
+    finally:
+        store.stage = stage
+    assert sorted(trimmed) == sorted(again) == sorted(r for r in whole if r.freq >= 2) and len(trimmed) == 3
+    assert [m.count() for m in made] == [3, 19, 19]
+
+
+def test_counting_takes_more_partitions_for_larger_input(spark, tmp_path):
+    """The windows of one task stay in bounds whatever the session's number of partitions is."""
+    from sparkngram.plans import pipeline as PL
+    from sparkngram.sources import store
+    spark.createDataFrame([(i, "the red fox", "en", "s", 1) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    size, here = store.input_bytes(spark, [f"{tmp_path}/documents.parquet"]), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    was, PL.BYTES_PER_TASK = PL.BYTES_PER_TASK, 1 + size // (here + 9)
+    try:
+        want = PL.count_partitions(spark, [f"{tmp_path}/documents.parquet"])
+        assert here < want <= here + 9
+        assert PL.ngram_counts(spark, str(tmp_path), (1, 2), 5).count() == 5
+    finally:
+        PL.BYTES_PER_TASK = was
+    assert PL.count_partitions(spark, [f"{tmp_path}/documents.parquet"]) is None
