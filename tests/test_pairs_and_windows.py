@@ -158,3 +158,23 @@ def test_merged_katz_form(spark):
     want = sorted([("y", .5), ("x", .25), ("u", scale * .9), ("v", scale * .03), ("w", scale * .01)], key=lambda t: -t[1])
     assert [(w, pytest.approx(s)) for w, s in want] == [(w, s) for _, w, s in sorted(got[1])]
     assert [w for _, w, _ in got[2]] == [w for _, w, _ in got[3]] == [w for _, w, _ in got[4]] == ["Sorry! Cannot Find it!"]
+
+
+def test_pairwise_distance_shuffles_no_pairs(spark):
+    """Pairs are made where a block of queries meets one of documents: no
+    shuffle comes after, however many features two documents share."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import stats as ST
+    d = spark.range(60).select(F.col("id").alias("doc_id"), F.explode(F.array(*[F.lit(f"w{i}") for i in range(20)])).alias("feature"))
+    d = d.where("(doc_id * 7 + cast(substr(feature, 2) as int)) % 3 > 0").withColumn("count", F.col("doc_id") % 5 + 1)
+    q = spark.createDataFrame([(i,) for i in (0, 10, 20, 999)], "q long")
+    out = ST.pairwise_distance(d, q, block=7)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert "MapInArrow" in plan[0] and sum("Aggregate" in x for x in plan[:4]) == 0
+    rows = {}
+    for r in d.collect():
+        rows.setdefault(r.doc_id, {})[r.feature] = r["count"]
+    want = {(a, b): sum((rows.get(a, {}).get(f, 0) - rows[b].get(f, 0)) ** 2 for f in {*rows.get(a, {}), *rows[b]}) ** 0.5 for a in (0, 10, 20, 999) for b in rows}
+    got = {(r.query, r.doc): r.distance for r in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and out.count() == len(want)
