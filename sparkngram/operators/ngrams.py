@@ -91,7 +91,8 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
         return (F.greatest(*totals) if len(totals) > 1 else totals[0]) >= F.lit(min_freq)
 
     at = [f"x{i}" for i in range(1, most + 1)]
-    win = df.where(F.size(t) > 0).select(*keep, *[(F.slice(t, F.lit(i + 1), F.size(t)) if i else t).alias(x) for i, x in enumerate(at)])
+    # rows without tokens give no windows; a filter of them would go below the cleaning and do it a second time
+    win = df.select(*keep, *[(F.slice(t, F.lit(i + 1), F.size(t)) if i else t).alias(x) for i, x in enumerate(at)])
     # one column, so that both uses read the same shuffle
     win = win.select(*win.columns[:len(keep)], F.inline(F.arrays_zip(*at))).select(*win.columns[:len(keep)], F.concat_ws(sep, *at).alias("win"))
     head = F.substring_index("win", sep, 2)

@@ -171,15 +171,15 @@ def score_options(q: DataFrame, scores: DataFrame, keys: Sequence[str], words: s
     score`` (+ ``opt_rank`` by score then word when ``rank``).
     """
     keys = list(keys)
-    base = q.select(*keys, words, option).distinct()
     h = F.sequence(F.lit(0), F.least(F.size(words), F.lit(max_order - 1)))
-    x = base.select(*keys, words, option, F.explode(h).alias("h"))
+    x = q.select(*keys, words, option, F.explode(h).alias("h"))
     hist = F.slice(F.col(words), -F.greatest(F.col("h"), F.lit(1)), F.greatest(F.col("h"), F.lit(1)))
     full = F.when(F.col("h") == 0, F.col(option)).otherwise(F.array_join(F.concat(hist, F.array(F.col(option))), sep))
     x = x.select(*keys, option, (F.col("h") + 1).alias("n"), full.alias("word"))
-    hit = x.join(scores.select("n", "word", "score"), ["n", "word"], "inner")
-    best = hit.groupBy(*keys, option).agg(F.max("n").alias("n"), F.max_by("score", "n").alias("score"))
-    out = base.select(*keys, option).join(best, [*keys, option], "left")
+    found = x.join(scores.select("n", "word", "score", F.col("n").alias("hit")), ["n", "word"], "left")
+    # every option has a row of order 1, which keeps it where nothing is found
+    out = found.where(F.col("hit").isNotNull() | (F.col("n") == 1)).groupBy(*keys, option).agg(
+        F.max("hit").alias("n"), F.max_by("score", "hit").alias("score"))
     if rank:
         out = out.withColumn("opt_rank", F.row_number().over(
             Window.partitionBy(*keys).orderBy(F.col("score").desc_nulls_last(), F.col(option).asc())))

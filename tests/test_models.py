@@ -302,3 +302,20 @@ def test_orders_beyond_the_staged_sets_take_one_trimmed_pass(spark, tmp_path, mo
     assert got[5, "one_two_three_four_five"] == 3 and got[5, "two_three_four_five_six"] == 2 and got[1, "six"] == 2
     assert min(got.values()) == 2 and len(got) == 6 + 5 + 4 + 3 + 2
     assert len(made) == 1 and made[0].count() == len(got)
+
+
+def test_options_meet_the_scores_in_one_join(spark, toy_counts):
+    """The highest order that is there scores an option; one that is nowhere,
+    or is asked twice, keeps one row, without a second join of the requests."""
+    from sparkngram.operators.predict import score_options
+    from sparkngram.operators.sbo import sbo_scores
+    scores = sbo_scores(toy_counts, max_order=4)
+    scores = scores.withColumn("word", F.when(F.col("n") == 1, F.col("pred")).otherwise(F.concat_ws("_", "w", "pred")))
+    asked = [("buy the", "book"), ("buy the", "book"), ("buy the", "moon"), ("red the", "book"), ("", "the"), ("", "moon"), ("red", "the")]
+    q = spark.createDataFrame(asked, "ctx string, option string").withColumn("words", F.filter(F.split("ctx", " "), lambda x: x != F.lit("")))
+    r = score_options(q, scores.localCheckpoint(), ["ctx"], "words", "option", 4)
+    assert r._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    got = {(x.ctx, x.option): (x.n, None if x.score is None else round(x.score, 6)) for x in r.collect()}
+    assert r.count() == len(got) == 6
+    assert got == {("buy the", "book"): (3, 0.266667), ("buy the", "moon"): (None, None), ("red the", "book"): (2, 0.1),
+                   ("", "the"): (1, 0.2), ("", "moon"): (None, None), ("red", "the"): (1, 0.2)}

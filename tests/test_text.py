@@ -181,3 +181,15 @@ def test_counting_takes_more_partitions_for_larger_input(spark, tmp_path):
     finally:
         PL.BYTES_PER_TASK = was
     assert PL.count_partitions(spark, [f"{tmp_path}/documents.parquet"]) is None
+
+
+def test_windows_clean_each_line_once(spark):
+    """Rows without tokens are left out without a filter that would do the cleaning a second time."""
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import ngrams as NG
+    lines = spark.createDataFrame([("the red fox",), ("",), (" ",), (None,), ("the red",)], "line string")
+    tokens = lines.select(F.filter(F.split(F.regexp_replace("line", r"\s+", " "), " "), lambda x: x != "").alias("tokens"))
+    windows = NG.count_windows(tokens, "tokens", (2, 3))
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert sorted(windows.collect()) == [(2, "red_fox", 1), (2, "the_red", 2), (3, "the_red_fox", 1)]
