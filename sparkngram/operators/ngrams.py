@@ -20,20 +20,20 @@ from pyspark.sql.window import Window
 SEP = "_"
 
 
-def ngram_structs(tokens: Column, orders: Sequence[int], sep: str = SEP) -> Column:
+def ngram_structs(tokens: Column, orders: Sequence[int], sep: str = SEP, distinct: bool = False) -> Column:
     """``array<struct<n int, word string>>`` of all contiguous n-grams of
     the given orders inside one token array (an order longer than the
-    array contributes nothing)."""
+    array contributes nothing); ``distinct``: each of them once."""
     orders = sorted(set(int(o) for o in orders))
     t = tokens
 
     def one_order(n: int) -> Column:
         cnt = F.size(t) - F.lit(n) + F.lit(1)
-        return F.when(cnt >= 1, F.transform(
-            F.sequence(F.lit(1), F.greatest(cnt, F.lit(1))),
-            lambda i: F.struct(F.lit(n).alias("n"),
-                               F.array_join(F.slice(t, i, F.lit(n)), sep).alias("word")))
-        ).otherwise(F.array().cast("array<struct<n:int,word:string>>"))
+        words = F.transform(F.sequence(F.lit(1), F.greatest(cnt, F.lit(1))), lambda i: F.array_join(F.slice(t, i, F.lit(n)), sep))
+        if distinct:  # of strings, which are hashed; structs would be compared with each other
+            words = F.array_distinct(words)
+        return F.when(cnt >= 1, F.transform(words, lambda w: F.struct(F.lit(n).alias("n"), w.alias("word")))
+                      ).otherwise(F.array().cast("array<struct<n:int,word:string>>"))
 
     return F.flatten(F.array(*[one_order(n) for n in orders]))
 
@@ -44,9 +44,7 @@ def explode_ngrams(df: DataFrame, tokens_col: str, orders: Sequence[int], keep:
 
     ``distinct_per_row`` counts an n-gram once per row (document frequency).
     """
-    arr = ngram_structs(F.col(tokens_col), orders, sep)
-    if distinct_per_row:
-        arr = F.array_distinct(arr)
+    arr = ngram_structs(F.col(tokens_col), orders, sep, distinct_per_row)
     return (df.where(F.size(tokens_col) > 0)
             .select(*keep, F.explode(arr).alias("g"))
             .select(*keep, F.col("g.n").alias("n"), F.col("g.word").alias("word")))
@@ -66,8 +64,25 @@ def count_ngrams(df: DataFrame, tokens_col: str = "tokens", orders: Sequence[int
     return split_prefix(counts)
 
 
+def _new_windows(at: Sequence[str], sep: str) -> Column:
+    """``array<struct<mark int, win string>>``: a row's distinct windows, from
+    its tokens and the columns that follow each of them (``at``).  Sorted, the
+    windows that start with an n-gram are neighbours: the first of them is new
+    for it.  ``mark`` + 1 is the least order that a window is new for."""
+    # a separator behind the last token, too: "a b" comes with "a b c", not apart from it by "a bc"
+    win = F.array_sort(F.array_distinct(F.transform(F.arrays_zip(*at), lambda s: F.concat(F.concat_ws(sep, *[s[x] for x in at]), F.lit(sep)))))
+
+    def marked(w: Column, before: Column) -> Column:
+        mark = F.lit(len(at) - 1)
+        for n in reversed(range(1, len(at))):
+            mark = F.when(F.substring_index(w, sep, n) == F.substring_index(before, sep, n), mark).otherwise(F.lit(n - 1))
+        return F.struct(mark.alias("mark"), F.rtrim(w, F.lit(sep)).alias("win"))
+
+    return F.zip_with(win, F.slice(F.concat(F.array(F.lit("")), win), F.lit(1), F.size(win)), marked)
+
+
 def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: str = SEP, marks: tuple[str, int] | None = None,
-                  min_freq: int = 1, partitions: int | None = None) -> DataFrame:
+                  min_freq: int = 1, partitions: int | None = None, once: bool = False) -> DataFrame:
     """``(n, word, freq)`` as ``count_ngrams`` has them, for tokens that do not
     hold ``sep`` (cleaning leaves none).
 
@@ -80,12 +95,17 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
     ``marks``: a column of ``df`` of 0 to k - 1, and k; then f0 to f(k-1) stand
     for freq, of which fj counts the rows marked j or less.  ``min_freq`` is the
     trim threshold: rows whose freq (any of f0 to f(k-1)) reaches it are kept.
-    ``partitions``: into how many the windows go (default: as the session has it)."""
+    ``partitions``: into how many the windows go (default: as the session has it).
+    ``once``: an n-gram counts once per row (document frequency)."""
     orders = sorted(set(int(o) for o in orders))
     most, t = orders[-1], F.col(tokens_col)
-    keep = [F.col(marks[0]).alias("mark")] if marks else []
+    if once:  # a window new for order n counts for n-grams of order n and up
+        marks = ("mark", most)
+    keep = [F.col(marks[0]).alias("mark")] if marks and not once else []
     names = [f"f{j}" for j in range(marks[1])] if marks else ["freq"]
     sums = [F.count(F.when(F.col("mark") <= j, 1)).alias(f"f{j}") for j in range(marks[1])] if marks else [F.count(F.lit(1)).alias("freq")]
+    of = {n: [f"f{n - 1}"] if once else names for n in orders}
+    shown = ["freq"] if once else names
 
     def reaches(totals: Sequence[Column]) -> Column:
         return (F.greatest(*totals) if len(totals) > 1 else totals[0]) >= F.lit(min_freq)
@@ -94,17 +114,20 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
     # rows without tokens give no windows; a filter of them would go below the cleaning and do it a second time
     win = df.select(*keep, *[(F.slice(t, F.lit(i + 1), F.size(t)) if i else t).alias(x) for i, x in enumerate(at)])
     # one column, so that both uses read the same shuffle
-    win = win.select(*win.columns[:len(keep)], F.inline(F.arrays_zip(*at))).select(*win.columns[:len(keep)], F.concat_ws(sep, *at).alias("win"))
+    if once:
+        win = win.select(F.inline(_new_windows(at, sep)))
+    else:
+        win = win.select(*win.columns[:len(keep)], F.inline(F.arrays_zip(*at))).select(*win.columns[:len(keep)], F.concat_ws(sep, *at).alias("win"))
     head = F.substring_index("win", sep, 2)
     win = win.repartition(partitions, head) if partitions else win.repartition(head)
     out = []
     if orders[0] == 1:
-        out.append(win.groupBy(F.substring_index("win", sep, 1).alias("word")).agg(*sums).where(reaches([F.col(f) for f in names]))
-                   .select(F.lit(1).alias("n"), "word", *names))
+        out.append(win.groupBy(F.substring_index("win", sep, 1).alias("word")).agg(*sums).where(reaches([F.col(f) for f in of[1]]))
+                   .select(F.lit(1).alias("n"), "word", *[F.col(f).alias(c) for f, c in zip(of[1], shown)]))
     longer = [n for n in orders if n > 1]
     if longer:
         rest = at[2:]
-        x = win.select(*win.columns[:len(keep)], head.alias("head"), F.expr(f"substring(win, char_length(substring_index(win, '{sep}', 2)) + 2)").alias("tail"))
+        x = win.select(*[c for c in win.columns if c != "win"], head.alias("head"), F.expr(f"substring(win, char_length(substring_index(win, '{sep}', 2)) + 2)").alias("tail"))
         x = x.groupBy("head", "tail").agg(*sums)
         parts = F.split(F.nullif("tail", F.lit("")), sep)
         x = x.select("head", *[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(rest)], *names).sortWithinPartitions("head", *rest)
@@ -114,17 +137,17 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
             # not a filter of x: it would go below the shuffle, which then would be another than that of the single tokens
             whole = F.col("head").contains(sep) if n == 2 else F.col(rest[n - 3]).isNotNull()
             if n == most:
-                totals, first = [F.col(f) for f in names], F.lit(True)
+                totals, first = [F.col(f) for f in of[n]], F.lit(True)
             else:
                 w = Window.partitionBy("head", *rest[:n - 2]).orderBy(*rest[n - 2:])
                 everyone = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-                x = x.select("*", *[F.sum(f).over(everyone).alias(f"{f}_{n}") for f in names], F.row_number().over(w).alias(f"row_{n}"))
-                totals, first = [F.col(f"{f}_{n}") for f in names], F.col(f"row_{n}") == 1
+                x = x.select("*", *[F.sum(f).over(everyone).alias(f"{f}_{n}") for f in of[n]], F.row_number().over(w).alias(f"row_{n}"))
+                totals, first = [F.col(f"{f}_{n}") for f in of[n]], F.col(f"row_{n}") == 1
                 if n == longer[0]:  # an n-gram is at least as frequent as any that it starts; later rows may bring a shorter one's total
                     x = x.where(reaches(totals))
-            grams.append(F.when(first & whole & reaches(totals), F.struct(F.lit(n).alias("n"), word.alias("word"), *[c.alias(f) for c, f in zip(totals, names)])))
+            grams.append(F.when(first & whole & reaches(totals), F.struct(F.lit(n).alias("n"), word.alias("word"), *[c.alias(f) for c, f in zip(totals, shown)])))
         x = x.select(F.explode(F.array(*grams)).alias("g")).where("g IS NOT NULL")
-        out.append(x.select("g.n", "g.word", *[F.col(f"g.{f}").alias(f) for f in names]))
+        out.append(x.select("g.n", "g.word", *[F.col(f"g.{f}").alias(f) for f in shown]))
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 

@@ -193,3 +193,31 @@ def test_windows_clean_each_line_once(spark):
     windows = NG.count_windows(tokens, "tokens", (2, 3))
     assert windows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     assert sorted(windows.collect()) == [(2, "red_fox", 1), (2, "the_red", 2), (3, "the_red_fox", 1)]
+
+
+def test_document_frequency_by_windows(spark):
+    """Each n-gram once per row: windows against the direct form, also where
+    words start like others and where a row ends inside a window; a long row
+    takes no time that grows with its square."""
+    import random
+    import time
+    from sparkngram.operators import ngrams as NG
+    rnd = random.Random(5)
+    vocab = ["a", "ab", "abc", "b", "bc", "c", "A", "a1", "z"]
+    rows = [[rnd.choice(vocab) for _ in range(rnd.randint(0, 14))] for _ in range(200)] + [[], ["a"], ["a", "a"], ["a", "b", "a", "b"]]
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    for orders in ((1, 2, 3), (2,), (1,), (2, 4)):
+        want = {}
+        for r in rows:
+            for g in {(n, "_".join(r[i:i + n])) for n in orders for i in range(len(r) - n + 1)}:
+                want[g] = want.get(g, 0) + 1
+        for made in (NG.count_windows(df, "tokens", orders, once=True), NG.count_windows(df, "tokens", orders, once=True, partitions=7),
+                     NG.count_ngrams(df, "tokens", orders, doc_freq=True)):
+            assert {(r.n, r.word): r.freq for r in made.collect()} == want
+    some = NG.count_windows(df, "tokens", (1, 2, 3), once=True, min_freq=20)
+    assert {(r.n, r.word) for r in some.collect()} == {(r.n, r.word) for r in NG.count_ngrams(df, "tokens", (1, 2, 3), True, 20).collect()} != set()
+    long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(40_000)), lambda i: F.concat(F.lit("w"), i)).alias("tokens"))
+    for count in (lambda: NG.count_windows(long, "tokens", (1, 2, 3), once=True), lambda: NG.count_ngrams(long, "tokens", (1, 2, 3), True)):
+        start = time.time()
+        assert count().count() == 119_997
+        assert time.time() - start < 20
