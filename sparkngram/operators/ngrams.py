@@ -82,7 +82,7 @@ def _new_windows(at: Sequence[str], sep: str) -> Column:
 
 
 def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: str = SEP, marks: tuple[str, int] | None = None,
-                  min_freq: int = 1, partitions: int | None = None, once: bool = False) -> DataFrame:
+                  min_freq: int = 1, partitions: int | None = None, once: bool = False, part: tuple[int, int] | None = None) -> DataFrame:
     """``(n, word, freq)`` as ``count_ngrams`` has them, for tokens that do not
     hold ``sep`` (cleaning leaves none).
 
@@ -96,7 +96,9 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
     for freq, of which fj counts the rows marked j or less.  ``min_freq`` is the
     trim threshold: rows whose freq (any of f0 to f(k-1)) reaches it are kept.
     ``partitions``: into how many the windows go (default: as the session has it).
-    ``once``: an n-gram counts once per row (document frequency)."""
+    ``once``: an n-gram counts once per row (document frequency).
+    ``part`` (k, of): only the n-grams whose first token's hash falls to the k-th
+    of so many parts, which together have all."""
     orders = sorted(set(int(o) for o in orders))
     most, t = orders[-1], F.col(tokens_col)
     if once:  # a window new for order n counts for n-grams of order n and up
@@ -114,10 +116,13 @@ def count_windows(df: DataFrame, tokens_col: str, orders: Sequence[int], sep: st
     # rows without tokens give no windows; a filter of them would go below the cleaning and do it a second time
     win = df.select(*keep, *[(F.slice(t, F.lit(i + 1), F.size(t)) if i else t).alias(x) for i, x in enumerate(at)])
     # one column, so that both uses read the same shuffle
+    mine = lambda first: F.pmod(F.xxhash64(first), F.lit(part[1])) == part[0]
     if once:
         win = win.select(F.inline(_new_windows(at, sep)))
+        win = win.where(mine(F.substring_index("win", sep, 1))) if part else win
     else:
-        win = win.select(*win.columns[:len(keep)], F.inline(F.arrays_zip(*at))).select(*win.columns[:len(keep)], F.concat_ws(sep, *at).alias("win"))
+        win = win.select(*win.columns[:len(keep)], F.inline(F.arrays_zip(*at)))
+        win = (win.where(mine(F.col(at[0]))) if part else win).select(*win.columns[:len(keep)], F.concat_ws(sep, *at).alias("win"))
     head = F.substring_index("win", sep, 2)
     win = win.repartition(partitions, head) if partitions else win.repartition(head)
     out = []

@@ -14,14 +14,14 @@ is exactly the sequence in which the looping reference appends words.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkngram.operators.ngrams import SEP, top_by_group
 from pyspark.sql.window import Window
-from sparkngram.plans.joins import checked_broadcast, lookup_join
+from sparkngram.plans.joins import checked_broadcast, lookup_join, thin
 
 # Fixed values that must equal the reference's: default words and the
 # message for a phrase without a hit.
@@ -187,7 +187,7 @@ def score_options(q: DataFrame, scores: DataFrame, keys: Sequence[str], words: s
 
 
 def freq_clusters(q: DataFrame, counts: DataFrame, gt: DataFrame, keys: Sequence[str], words: str = "words",
-                  cluster: int = 7) -> DataFrame:
+                  cluster: int = 7, store: Callable[[DataFrame], DataFrame] = lambda d: d, parts: int = 1) -> DataFrame:
     """G16 + G17: 4-gram predictor by frequency clusters.
 
     The longest history with 4-gram evidence is used: the last three words
@@ -197,29 +197,34 @@ def freq_clusters(q: DataFrame, counts: DataFrame, gt: DataFrame, keys: Sequence
     <= 5 are replaced by the Good-Turing r* of the matching order (one
     history word -> bigram, two -> trigram, three -> 4-gram), and
     ``probability = count / total * 100`` with the total of the raw counts.
+
+    The levels are looked up one after the other, each for the phrases that no
+    longer history answers, and a level's histories in ``parts`` by their hash.
+    ``store`` keeps a table: with one, only one part's rows are shuffled at a time.
     """
     keys = list(keys)
     sz = F.size(words)
-    hs = q.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("lvl"), F.when(sz >= i, F.array_join(F.slice(F.col(words), -i, i), "_")).alias("h"))
-        for i in (3, 2, 1)])).alias("x")).select(*keys, "x.lvl", "x.h").where(F.col("h").isNotNull())
-    four = counts.where(F.col("n") == 4).select("word", "pred", "freq")
-    parts = F.split(F.col("word"), "_")
-    t3 = four.select(F.lit(3).alias("lvl"), F.concat_ws("_", parts[0], parts[1], parts[2]).alias("h"), "pred", "freq")
-    t2 = four.select(F.lit(2).alias("lvl"), F.concat_ws("_", parts[1], parts[2]).alias("h"), "pred", "freq")
-    t1 = four.select(F.lit(1).alias("lvl"), parts[2].alias("h"), "pred", "freq")
-    # only histories of some phrase go on; the sums, totals and ranks of a history then find its rows together
-    asked = hs.select("lvl", "h").distinct()
-    tab = t3.unionByName(t2).unionByName(t1).join(asked, ["lvl", "h"], "left_semi").groupBy("lvl", "h", "pred").agg(F.sum("freq").alias("freq"))
-    tot = tab.groupBy("lvl", "h").agg(F.sum("freq").alias("total"))
-    found = hs.join(tot, ["lvl", "h"], "inner")
-    best = found.groupBy(*keys).agg(F.max("lvl").alias("lvl"))
-    chosen = found.join(best, [*keys, "lvl"], "inner")
-    # the rank hangs on the history alone: the table is cut before any request meets it
-    ranked = tab.withColumn("crank", F.dense_rank().over(Window.partitionBy("lvl", "h").orderBy(F.col("freq").desc())))
-    rows = chosen.join(ranked.where(F.col("crank") <= F.lit(cluster)), ["lvl", "h"], "inner")
+    four = counts.where(F.col("n") == 4).select(F.substring_index("word", "_", 3).alias("h"), "pred", "freq")
+    left, out = store(q.select(*keys, words)), None
+    for lvl in (3, 2, 1):
+        need = store(left.where(sz >= lvl).select(*keys, F.array_join(F.slice(F.col(words), -lvl, lvl), "_").alias("h")))
+        asked, tab = store(need.select("h").distinct()), None
+        for k in range(parts):
+            mine = lambda t: t.where(F.pmod(F.xxhash64("h"), F.lit(parts)) == k) if parts > 1 else t  # noqa: E731, B023
+            rows = thin(mine(four.withColumn("h", F.substring_index("h", "_", -lvl))), ["h"], asked).join(mine(asked), "h", "left_semi")
+            rows = rows.groupBy("h", "pred").agg(F.sum("freq").alias("freq"))
+            # rank and total hang on the history alone: the table is cut before any phrase meets it
+            own = Window.partitionBy("h")
+            ranked = rows.withColumn("total", F.sum("freq").over(own)).withColumn("crank", F.dense_rank().over(own.orderBy(F.col("freq").desc())))
+            ranked = store(ranked.where(F.col("crank") <= F.lit(cluster)).select(F.lit(lvl).alias("lvl"), "h", "pred", "freq", "total", "crank"))
+            tab = ranked if tab is None else tab.unionByName(ranked)
+        found = need.join(tab, "h")
+        out = found if out is None else out.unionByName(found)
+        if lvl > 1:
+            answered = need.join(tab.select("h").distinct(), "h", "left_semi")
+            left = store(left.join(answered.select(*keys), keys, "left_anti"))
     rs = gt.where((F.col("r") >= 1) & (F.col("r") <= 5)).select((F.col("n") - 1).alias("lvl"), F.col("r").alias("freq"), "r_star")
-    rows = rows.join(F.broadcast(rs), ["lvl", "freq"], "left")  # <= 15 rows
+    rows = out.join(F.broadcast(rs), ["lvl", "freq"], "left")  # <= 15 rows
     adj = F.when(F.col("freq") <= 5, F.col("r_star")).otherwise(F.col("freq").cast("double"))
     return rows.select(*keys, "lvl", F.col("pred").alias("word"), "freq", adj.alias("count"),
                        (adj / F.col("total") * 100).alias("probability"), "crank")

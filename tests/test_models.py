@@ -256,6 +256,51 @@ def test_clusters_bring_a_history_together_once(spark, toy_counts):
     assert "LeftSemi" in r._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_clusters_by_level_and_part(spark, toy_counts):
+    """Levels one after the other, histories in parts, tables kept in between:
+    the rows are those of the definition."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from sparkngram.operators import predict as P
+    from sparkngram.operators.goodturing import gt_table
+    from sparkngram.plans import pipeline as PL
+    rnd = random.Random(3)
+    grams = {"_".join(rnd.choice("abcdef") for _ in range(4)): rnd.randint(1, 9) for _ in range(300)}
+    phrases = sorted({" ".join(rnd.choice("abcdefxy") for _ in range(rnd.randint(1, 5))) for _ in range(150)})
+    want = set()
+    for ctx in phrases:
+        words = ctx.split()
+        for lvl in (3, 2, 1):
+            tab = {}
+            for g, f in grams.items():
+                if len(words) >= lvl and g.split("_")[3 - lvl:3] == words[-lvl:]:
+                    tab[g[-1]] = tab.get(g[-1], 0) + f
+            if tab:
+                ranks = {f: i + 1 for i, f in enumerate(sorted(set(tab.values()), reverse=True))}
+                want |= {(ctx, lvl, p, f, ranks[f], round(100 * f / sum(tab.values()), 6) if f > 5 else None) for p, f in tab.items() if ranks[f] <= 3}
+                break
+    assert {r[1] for r in want} == {1, 2, 3}
+    q = spark.createDataFrame([(p,) for p in phrases], "ctx string").withColumn("words", F.split("ctx", " "))
+    counts = spark.createDataFrame([(4, g, g[-1], f) for g, f in grams.items()], "n int, word string, pred string, freq long")
+    for more in ((), (PL.kept, 3)):
+        r = P.freq_clusters(q, counts, gt_table(toy_counts, (1, 2, 3)), ["ctx"], "words", 3, *more).collect()
+        assert {(x.ctx, x.lvl, x.word, x.freq, x.crank, round(x.probability, 6) if x.freq > 5 else None) for x in r} == want and len(r) == len(want)
+
+
+def test_thinned_rows_hold_all_wanted_keys_and_few_others(spark):
+    from pyspark.sql import functions as F
+
+    from sparkngram.plans.joins import thin
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id")).alias("h"), "id")
+    wanted = rows.where("id % 100 = 7").select("h")
+    for bits, most in ((1 << 16, 400), (1 << 6, 20_000), (1 << 20, 220)):
+        kept = {r.id for r in thin(rows, ["h"], wanted, bits).collect()}
+        assert {i for i in range(20_000) if i % 100 == 7} <= kept and len(kept) <= most
+    assert thin(rows, ["h"], wanted.limit(0)).count() == 0
+
+
 def test_runs_that_share_nothing_are_shuffled_once(spark):
     from sparkngram.operators import ngrams as NG
     runs = [spark.createDataFrame(rows, "n int, word string, freq long") for rows in ([(1, "b", 3), (1, "a", 3)], [(2, "a_b", 5)])]

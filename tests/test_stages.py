@@ -76,3 +76,28 @@ def test_documents_are_counted_once_for_all_stages_of_a_session(spark, tmp_path)
     finally:
         PL.train_tokens = tokens
     assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark) and store.table_root(spark) == store.table_root(spark)
+
+
+def test_counting_passes_let_go_of_their_shuffle_files(spark, tmp_path, monkeypatch):
+    """Whole counts come pass by pass, none of which finds the windows of
+    those before it on disk, and are those of one pass."""
+    from pyspark.sql import functions as F
+    from sparkngram.operators import ngrams as NG
+    from sparkngram.plans import pipeline as PL
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+                                   F.array_join(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: F.substring(F.md5((F.col("id") * i % 97).cast("string")), 1, 3)), " ").alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    PL.ST.let_go(spark)
+    found, count = [], NG.count_windows
+
+    def counted(*a, **b):
+        found.append(store.getAllFiles().mkString("|").count("shuffle_"))
+        return count(*a, **b)
+
+    monkeypatch.setattr(NG, "count_windows", counted)
+    made = PL.ngram_counts(spark, str(tmp_path), (1, 2, 3))
+    # files go a moment later: those of one pass may still be there
+    assert len(found) == PL.PASSES and found[-1] - found[1] < found[1] - found[0], found
+    want = NG.count_ngrams(PL.train_tokens(spark, str(tmp_path)), "tokens", (1, 2, 3))
+    assert {(r.n, r.word, r.freq) for r in made.collect()} == {(r.n, r.word, r.freq) for r in want.collect()}
