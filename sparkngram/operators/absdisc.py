@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sparkngram.operators.ngrams import top_by_group
 from sparkngram.operators.ranking import global_rank
+from sparkngram.plans.joins import thin
 
 # Rows of a last word, and most frequent words, that the arg-max looks at
 # before it ranks all of them (for the histories that need more).
@@ -48,13 +49,23 @@ def _last(h: str = "h") -> Column:
 
 def for_histories(counts: DataFrame, histories: DataFrame, store=lambda d: d) -> DataFrame:
     """The counts that the distributions of ``histories`` (h) hang on: every
-    word, the bigrams that start with a word of a history, and the histories'
-    own trigrams.  The functions below give the same rows on them, and look
-    them up several times."""
-    h = histories.select("h").distinct()
-    asked = h.select(F.lit(3).alias("n"), F.col("h").alias("w")).union(h.select(F.lit(2).alias("n"), F.explode(F.split("h", "_")).alias("w")).distinct())
-    high = counts.where("n in (2, 3)").join(asked, ["n", "w"], "left_semi").select("n", "word", "w", "pred", "freq")
-    return store(counts.where("n = 1").select("n", "word", "w", "pred", "freq").unionByName(high))
+    word, the bigrams that start with a history's last word or are a history,
+    and the histories' own trigrams.  The functions below give the same rows on
+    them, and look them up several times."""
+    cols = ["n", "word", "w", "pred", "freq"]
+    h = store(histories.select("h").distinct())
+    last = h.select(F.lit(2).alias("n"), _last().alias("w")).distinct()
+    asked = h.select(F.lit(3).alias("n"), F.col("h").alias("w")).union(last)
+    high = thin(counts.where("n in (2, 3)").select(*cols), ["n", "w"], asked).join(asked, ["n", "w"], "left_semi").select(*cols)
+    whole = h.select(F.col("h").alias("word"))
+    own = thin(counts.where("n = 2").select(*cols), ["word"], whole).join(whole, "word", "left_semi").join(last, ["n", "w"], "left_anti").select(*cols)
+    return store(counts.where("n = 1").select(*cols).unionByName(high).unionByName(own))
+
+
+def in_parts(histories: DataFrame, parts: int) -> list[DataFrame]:
+    """``histories`` (h) by their last word's hash: a part's distributions hang
+    on counts that few other parts need."""
+    return [histories.where(F.pmod(F.xxhash64(_last()), F.lit(parts)) == k) for k in range(parts)]
 
 
 def observed(counts: DataFrame, histories: DataFrame) -> DataFrame:

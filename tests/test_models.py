@@ -364,3 +364,27 @@ def test_options_meet_the_scores_in_one_join(spark, toy_counts):
     assert r.count() == len(got) == 6
     assert got == {("buy the", "book"): (3, 0.266667), ("buy the", "moon"): (None, None), ("red the", "book"): (2, 0.1),
                    ("", "the"): (1, 0.2), ("", "moon"): (None, None), ("red", "the"): (1, 0.2)}
+
+
+def test_absdisc_words_in_parts(spark):
+    """Histories dealt by their last word, each part on its own counts, which
+    hold no bigram twice: the probabilities of all at once."""
+    import random
+
+    from sparkngram.operators import absdisc as A
+    from sparkngram.operators.ngrams import count_ngrams
+    from sparkngram.plans import pipeline as PL
+    rnd = random.Random(11)
+    lines = [[rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9))] for _ in range(80)]
+    counts = PL.kept(count_ngrams(spark.createDataFrame([(x,) for x in lines], "tokens array<string>"), "tokens", (1, 2, 3)))
+    ask = PL.kept(spark.createDataFrame(sorted({(f"{rnd.choice('abcdefghz')}_{rnd.choice('abcdefghz')}", rnd.choice("abcdefghzy")) for _ in range(120)}), "h string, word string"))
+    show = lambda p: sorted((r.h, r.word, r.kind or "", round(r.prob or -1, 9)) for r in p.collect())
+    want = show(A.absdisc_probability(counts, ask))
+    got, rows = [], 0
+    for part in A.in_parts(ask, 3):
+        own = A.for_histories(counts, part, PL.kept)
+        assert own.count() == own.distinct().count() and 0 < own.where("n = 2").count() < counts.where("n = 2").count()
+        got += show(A.absdisc_probability(own, part))
+        rows += own.where("n = 3").count()
+        PL.dropped(own)
+    assert sorted(got) == want and rows == counts.where("n = 3").join(ask.selectExpr("h AS w").distinct(), "w", "left_semi").count()
