@@ -388,3 +388,29 @@ def test_absdisc_words_in_parts(spark):
         rows += own.where("n = 3").count()
         PL.dropped(own)
     assert sorted(got) == want and rows == counts.where("n = 3").join(ask.selectExpr("h AS w").distinct(), "w", "left_semi").count()
+
+
+def test_sweep_keeps_sums_of_one_configuration_at_a_time(spark):
+    """Each model, order and configuration is answered by itself and leaves a
+    row per held-out set; the figures are those of a lazy plan."""
+    import random
+
+    from sparkngram.operators import sweep as SW
+    from sparkngram.plans import pipeline as PL
+    rnd = random.Random(2)
+    lines = [(i, 0, [rnd.choice("abcde") for _ in range(8)]) for i in range(200)]
+    nested = PL.kept(SW.nested_counts(spark.createDataFrame(lines, "doc_id long, line_no int, tokens array<string>"), (1, 2, 3), (0.5, 0.9)))
+    held = PL.kept(spark.createDataFrame([(rnd.choice(["x", "y"]), " ".join(rnd.choice("abcdef") for _ in range(6))) for _ in range(40)], "dataset string, line string"))
+    sums = []
+
+    def store(df):
+        out = PL.kept(df)
+        if "top3" in out.columns:
+            sums.append(out.count())
+        return out
+
+    kept = SW.sweep(nested, held, (2, 3), (0.5, 0.9), (1, 2), ("sbo", "katz"), store=store).collect()
+    assert len(sums) == 16 and 0 < max(sums) <= 2
+    assert len(kept) == 16 and {r.number_of_predictions for r in kept} == {200} and all(0 < r.precision_top3 <= 100 for r in kept)
+    show = lambda rows: sorted((r.order, r.fraction, r.trim, round(r.overall_score_percent, 6), r.number_of_predictions) for r in rows if r.model == "sbo")
+    assert show(SW.sweep(nested, held, (2, 3), (0.5, 0.9), (1, 2), ("sbo",)).collect()) == show(kept)
