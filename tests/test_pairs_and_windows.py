@@ -178,3 +178,14 @@ def test_pairwise_distance_shuffles_no_pairs(spark):
     want = {(a, b): sum((rows.get(a, {}).get(f, 0) - rows[b].get(f, 0)) ** 2 for f in {*rows.get(a, {}), *rows[b]}) ** 0.5 for a in (0, 10, 20, 999) for b in rows}
     got = {(r.query, r.doc): r.distance for r in out.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and out.count() == len(want)
+
+
+def test_full_cooccurrence_cells_read_columns_and_shuffle_nothing(spark):
+    """Five blocks of features are 15 cells: as many tasks at least, and no
+    document is copied for them."""
+    d = spark.range(40).select(F.col("id").alias("doc"), F.explode(F.sequence(F.lit(0), F.lit(299))).alias("f"))
+    d = d.select("doc", F.format_string("w%03d", "f").alias("feature"), (F.col("f") % 3 + 1).cast("long").alias("count"))
+    out = ST.full_cooccurrence(d, "doc", block=64)
+    assert out.rdd.getNumPartitions() >= 15
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 15 and "Repartition" not in plan.replace("Repartition 1, false", "") and "cell" not in plan
