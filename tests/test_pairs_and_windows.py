@@ -189,3 +189,23 @@ def test_full_cooccurrence_cells_read_columns_and_shuffle_nothing(spark):
     assert out.rdd.getNumPartitions() >= 15
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 15 and "Repartition" not in plan.replace("Repartition 1, false", "") and "cell" not in plan
+
+
+def test_pairwise_distance_copies_no_document(spark):
+    """Blocks of documents meet blocks of queries without a shuffle of either,
+    however many blocks there are; several to a batch and ids that are names."""
+    import random
+    rnd = random.Random(4)
+    rows = [(f"d{i}", f"w{rnd.randint(0, 30)}", rnd.randint(1, 4)) for i in range(90) for _ in range(rnd.randint(0, 12))]
+    d = spark.createDataFrame(rows, "doc_id string, feature string, count long").groupBy("doc_id", "feature").agg(F.sum("count").alias("count"))
+    q = spark.createDataFrame([(f"d{i}",) for i in range(0, 90, 3)] + [("none",)], "q string")
+    out = ST.pairwise_distance(d, q, block=7)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" in plan and "Repartition" not in plan and "Sort" not in plan
+    have = {}
+    for a, f, c in rows:
+        have.setdefault(a, Counter())[f] += c
+    got = {(r["query"], r["doc"]): r["distance"] for r in out.collect()}
+    asked = [r[0] for r in q.collect()]
+    assert got.keys() == {(a, b) for a in asked for b in have} and out.count() == len(got)
+    assert all(abs(got[a, b] - sum((have.get(a, Counter())[f] - have[b][f]) ** 2 for f in {*have.get(a, ()), *have[b]}) ** 0.5) < 1e-9 for a, b in got)
