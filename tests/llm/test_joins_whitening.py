@@ -333,3 +333,23 @@ def test_a_cut_lets_go_of_the_shuffle_files_behind_it(spark):
         if files() <= before + 200:
             break
     assert files() <= before + 200
+
+
+def test_what_the_driver_sends_and_holds_stays_small(spark):
+    """A filter of many ids is sent as bits, the counts of the order once, and
+    the driver hands memory back at each cut."""
+    from sparkngram import session
+    from sparkngram.llm import jaccard_join as J
+    from sparkngram.llm import neardup as ND
+    rows = spark.range(200_000)
+    kept = ND._spared(rows, "id", rows.where("id % 4 = 0").withColumnRenamed("id", "node"))
+    assert "_words" in kept._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id for r in kept.collect()}
+    assert set(range(0, 200_000, 4)) <= got and len(got) < 55_000
+    order = J.Order(np.arange(8, dtype=np.int64).reshape(2, 4))
+    sent = order.shared(rows)
+    assert order.shared(rows) is sent and sent.value.sum() == 28
+    order.release()
+    assert order.shared(rows) is not sent
+    assert "rim" in session._trim(spark)  # what the command answers: trimmed, or not available
+    session.let_go(spark)
